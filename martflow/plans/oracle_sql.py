@@ -284,3 +284,61 @@ FROM {FST} GROUP BY 1, 2 ORDER BY Store_Name, Quarter""",
 def oracle_queries() -> dict[str, str]:
     out = {name: with_star(body) for name, body in OLAP.items()}
     return out
+
+
+def _fk_reason() -> str:
+    checks = [("Customer_ID", "dim_customer", "rc"), ("Product_ID", "dim_product", "rp"),
+              ("Store_ID", "dim_store", "rs"), ("Supplier_ID", "dim_supplier", "rsp"),
+              ("Time_ID", "dim_time", "rt")]
+    whens = " ".join(
+        f"WHEN f.{col} IS NOT NULL AND {a}.{col} IS NULL THEN 'no {dim} row for {col}'"
+        for col, dim, a in checks)
+    joins = " ".join(f"LEFT JOIN r_{dim} {a} ON f.{col} = {a}.{col}" for col, dim, a in checks)
+    return f"CASE {whens} END", joins
+
+
+def _with_recent(body: str) -> str:
+    recent = (f"recent AS (SELECT * FROM staged WHERE Date >= "
+              f"TIMESTAMP '{INCREMENTAL_CUTOFF} 00:00:00')")
+    return f"WITH {_ctes()},{_star()},\n{recent},{_star('recent', 'r_')}\n{body}"
+
+
+def _backfill(dim: str, key: str) -> str:
+    return _with_recent(f"""
+SELECT * FROM r_{dim}
+UNION ALL
+SELECT * FROM {dim} WHERE {key} NOT IN (SELECT {key} FROM r_{dim})""")
+
+
+_reason, _joins = _fk_reason()
+
+ETL = {
+    "etl_staging": with_star("SELECT * FROM staged"),
+    "etl_quarantine": with_star("SELECT * FROM quarantine"),
+    "etl_load_report": with_star("""
+SELECT 'dim_customer' AS table_name, COUNT(*) AS rows_loaded FROM dim_customer
+UNION ALL SELECT 'dim_product', COUNT(*) FROM dim_product
+UNION ALL SELECT 'dim_store', COUNT(*) FROM dim_store
+UNION ALL SELECT 'dim_supplier', COUNT(*) FROM dim_supplier
+UNION ALL SELECT 'dim_time', COUNT(*) FROM dim_time
+UNION ALL SELECT 'fact_sales', COUNT(*) FROM fact"""),
+    "load_dim_customer": with_star("SELECT * FROM dim_customer"),
+    "load_dim_product": with_star("SELECT * FROM dim_product"),
+    "load_dim_store": with_star("SELECT * FROM dim_store"),
+    "load_dim_supplier": with_star("SELECT * FROM dim_supplier"),
+    "load_dim_time": with_star("SELECT * FROM dim_time"),
+    "load_fact_sales": with_star("SELECT * FROM fact"),
+    "load_backfill_dim_store": _backfill("dim_store", "Store_ID"),
+    "load_backfill_dim_product": _backfill("dim_product", "Product_ID"),
+    "load_backfill_dim_customer": _backfill("dim_customer", "Customer_ID"),
+    "load_fk_check_recent_dims": _with_recent(f"""
+SELECT * FROM (SELECT f.*, {_reason} AS Reject_Reason FROM fact f {_joins})
+WHERE Reject_Reason IS NOT NULL"""),
+    "stream_fact_sales": with_star("SELECT * FROM fact"),
+}
+
+
+def all_oracle_queries() -> dict[str, str]:
+    out = oracle_queries()
+    out.update(ETL)
+    return out

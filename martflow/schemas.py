@@ -53,6 +53,19 @@ TRANSACTION_CSV = T.StructType([
     T.StructField("date", T.StringType()),
 ])
 
+# Order-line feed: the same file with the line number and the supplier of
+# each line (used when one order holds several lines).
+TRANSACTION_LINE_CSV = T.StructType([
+    T.StructField("_c0", T.StringType()),
+    T.StructField("orderID", T.StringType()),
+    T.StructField("lineNumber", T.StringType()),
+    T.StructField("Customer_ID", T.StringType()),
+    T.StructField("Product_ID", T.StringType()),
+    T.StructField("supplierID", T.StringType()),
+    T.StructField("quantity", T.StringType()),
+    T.StructField("date", T.StringType()),
+])
+
 # The renames applied to the delivered files.
 PRODUCT_RENAMES = {
     "price$": "Price",
