@@ -34,6 +34,10 @@ def unique_master(master: DataFrame, key: str, order: list[str] | None = None) -
     return first_per_key(master, [key], order, payload)
 
 
+def _file_order(master: DataFrame) -> list[str] | None:
+    return ["_row"] if "_row" in master.columns else None
+
+
 def _constraint_reason(df: DataFrame) -> Column:
     checks = [(F.col(c).isNull(), f"{c} is NULL") for c in STAGED_NOT_NULL]
     checks += [(F.length(F.col(c).cast("string")) > n, f"{c} longer than {n}")
@@ -54,11 +58,12 @@ def enrich(feed: Feed, dedupe_masters: bool = False) -> DataFrame:
     memory.  ``dedupe_masters`` enforces one row per key when the master
     files do not guarantee it.
     """
-    customers = feed.customers.select(*CUSTOMER_COLUMNS)
-    products = feed.products.select(*PRODUCT_COLUMNS)
+    customers, products = feed.customers, feed.products
     if dedupe_masters:
-        customers = unique_master(customers, "Customer_ID")
-        products = unique_master(products, "Product_ID")
+        customers = unique_master(customers, "Customer_ID", _file_order(customers))
+        products = unique_master(products, "Product_ID", _file_order(products))
+    customers = customers.select(*CUSTOMER_COLUMNS)
+    products = products.select(*PRODUCT_COLUMNS)
     customers = customers.withColumn("_cust_hit", F.lit(True))
     products = (products.withColumnRenamed("Supplier_ID", "_prod_supplier")
                 .withColumnRenamed("Supplier_Name", "_prod_supplier_name")

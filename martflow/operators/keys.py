@@ -35,16 +35,28 @@ def not_null(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def insert_ignore(batch: DataFrame, keys: list[str], order_by: list[str],
-                  columns: list[str], target: DataFrame | None = None) -> DataFrame:
+                  columns: list[str], target: DataFrame | None = None,
+                  required: list[str] | None = None) -> DataFrame:
     """Rows of ``batch`` to append to ``target`` under INSERT IGNORE rules.
 
-    NULL keys are skipped, the first row per key (by ``order_by``) wins, and
-    keys already in ``target`` are never touched (SCD type 0).  Only the key
-    columns of the target are read (column pruning at the scan).
+    Rows with a NULL in a ``required`` key part (default: every key part)
+    are skipped, the first row per key (by ``order_by``) wins, and keys
+    already in ``target`` are never touched (SCD type 0).  Optional key parts
+    compare NULL-safely, so a replayed row with a NULL part is recognised.
+    Only the key columns of the target are read (column pruning at the scan).
     """
-    candidates = first_per_key(not_null(batch, keys), keys, order_by,
+    required = keys if required is None else required
+    candidates = first_per_key(not_null(batch, required), keys, order_by,
                                [c for c in columns if c not in keys])
     candidates = candidates.select(*columns)
     if target is None:
         return candidates
-    return candidates.join(target.select(*keys), keys, "left_anti")
+    if set(required) == set(keys):
+        return candidates.join(target.select(*keys), keys, "left_anti")
+    existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_t_{k}")) if k not in required else (
+            F.col(k) == F.col(f"_t_{k}"))
+        cond = c if cond is None else cond & c
+    return candidates.join(existing, cond, "left_anti")

@@ -19,6 +19,7 @@ from martflow.operators.keys import insert_ignore
 from martflow.schemas import (
     ARRIVAL_ORDER, DIM_CUSTOMER_COLUMNS, DIM_PRODUCT_COLUMNS, DIM_STORE_COLUMNS,
     DIM_SUPPLIER_COLUMNS, DIM_TIME_COLUMNS, FACT_COLUMNS, FACT_FOREIGN_KEYS, FACT_KEY,
+    FACT_KEY_REQUIRED,
     REVENUE_FACT, STAR_TABLES,
 )
 
@@ -67,7 +68,8 @@ def fact_rows(staged: DataFrame) -> DataFrame:
 
 
 def fact_sales(staged: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    return insert_ignore(fact_rows(staged), FACT_KEY, ARRIVAL_ORDER, FACT_COLUMNS, target)
+    return insert_ignore(fact_rows(staged), FACT_KEY, ARRIVAL_ORDER, FACT_COLUMNS, target,
+                         required=FACT_KEY_REQUIRED)
 
 
 def foreign_key_check(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -106,7 +108,8 @@ class LoadResult:
         """Rows newly loaded per table (needs the writes to have run)."""
         rows = [(t, int(self.observations[t].get.get("rows", 0))) for t in STAR_TABLES
                 if t in self.observations]
-        return spark.createDataFrame(rows, "table_name string, rows_loaded long")
+        values = ", ".join(f"('{t}', CAST({n} AS BIGINT))" for t, n in rows)
+        return spark.sql(f"SELECT * FROM VALUES {values} AS report(table_name, rows_loaded)")
 
 
 def plan_load(staged: DataFrame, targets: dict[str, DataFrame | None]) -> dict[str, DataFrame]:

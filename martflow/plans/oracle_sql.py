@@ -9,7 +9,7 @@ aggregates, written tables and the DataFrame API.
 
 from __future__ import annotations
 
-from martflow.schemas import ARRIVAL_ORDER, FACT_KEY
+from martflow.schemas import ARRIVAL_ORDER, FACT_KEY, FACT_KEY_REQUIRED
 from martflow.sources.testdata import AGE_BANDS, OLDEST_AGE_BAND
 
 
@@ -95,10 +95,11 @@ staged AS (
 quarantine AS (SELECT * FROM enriched WHERE Reject_Reason IS NOT NULL)"""
 
 
-def _first_per_key(name: str, source: str, keys: list[str], payload: list[str]) -> str:
+def _first_per_key(name: str, source: str, keys: list[str], payload: list[str],
+                   required: list[str] | None = None) -> str:
     part = ", ".join(keys)
     cols = ", ".join(keys + [c for c in payload if c not in keys])
-    not_null = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    not_null = " AND ".join(f"{k} IS NOT NULL" for k in (required or keys))
     return f"""
 {name} AS (
   SELECT {cols} FROM (
@@ -139,7 +140,7 @@ def _star(source: str = "staged", prefix: str = "") -> str:
          CAST(year(Date) AS INTEGER) AS Year
   FROM (SELECT * EXCLUDE (Revenue), CAST(Revenue AS DECIMAL(12,2)) AS Revenue FROM {source})
 )""",
-        _first_per_key(f"{p}fact", f"{p}fact_src", FACT_KEY, FACT_PAYLOAD),
+        _first_per_key(f"{p}fact", f"{p}fact_src", FACT_KEY, FACT_PAYLOAD, FACT_KEY_REQUIRED),
     ])
 
 

@@ -32,7 +32,7 @@ from martflow.sources.feed import Feed
 from martflow.sources.testdata import testdata_feed
 
 # Bump when the load semantics change, so stale warehouses are not reused.
-BUILD_VERSION = "wh-1"
+BUILD_VERSION = "wh-2"
 TESTDATA_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")
 
 _lock = threading.Lock()

@@ -111,6 +111,8 @@ STAGED_MAX_LENGTH = {
 # A transaction is one order line.  The line number alone is not unique in
 # every feed, so product and supplier complete the key.
 FACT_KEY = ["Order_ID", "Line_Number", "Product_ID", "Supplier_ID"]
+# Supplier_ID may be NULL (a product without a supplier); the rest may not.
+FACT_KEY_REQUIRED = ["Order_ID", "Line_Number", "Product_ID"]
 # Total order that decides which delivery of a key is "first".
 ARRIVAL_ORDER = ["Date", "Order_ID", "Line_Number", "Product_ID", "Supplier_ID",
                  "Customer_ID", "Quantity"]
