@@ -23,6 +23,20 @@ from martflow.schemas import (
 from martflow.sources.feed import Feed
 
 REASON = "Reject_Reason"
+# A master is broadcast when rows x row width is known to be under this.
+MASTER_BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+MASTER_BROADCAST_CONF = "martflow.enrich.broadcastLimitBytes"
+
+
+def _bounded(master: DataFrame, rows: int | None) -> DataFrame:
+    """Broadcast hint only behind a proven size bound; otherwise the
+    planner decides (a shuffle join for a large master)."""
+    if rows is None:
+        return master
+    from martflow.plans.star import row_bytes
+    spark = master.sparkSession
+    limit = int(spark.conf.get(MASTER_BROADCAST_CONF, str(MASTER_BROADCAST_LIMIT_BYTES)))
+    return F.broadcast(master) if rows * row_bytes(master.schema) <= limit else master
 
 
 def unique_master(master: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
@@ -70,15 +84,16 @@ def enrich(feed: Feed, dedupe_masters: bool = False) -> DataFrame:
                 .withColumnRenamed("Price", "_raw_price")
                 .withColumn("_prod_hit", F.lit(True)))
 
-    df = feed.transactions.join(customers, "Customer_ID", "left")
-    df = df.join(products, "Product_ID", "left")
+    sizes = feed.master_rows or {}
+    df = feed.transactions.join(_bounded(customers, sizes.get("customers")), "Customer_ID", "left")
+    df = df.join(_bounded(products, sizes.get("products")), "Product_ID", "left")
     supplier_id = F.coalesce(F.col("Supplier_ID"), F.col("_prod_supplier"))
     df = df.withColumn("Supplier_ID", supplier_id)
     if feed.suppliers is not None:
         sup = feed.suppliers.select("Supplier_ID", F.col("Supplier_Name").alias("_sup_name"))
         if dedupe_masters:
             sup = unique_master(sup, "Supplier_ID")
-        df = df.join(sup, "Supplier_ID", "left")
+        df = df.join(_bounded(sup, sizes.get("suppliers")), "Supplier_ID", "left")
         supplier_name = F.coalesce(F.col("_sup_name"), F.col("_prod_supplier_name"))
     else:
         supplier_name = F.col("_prod_supplier_name")

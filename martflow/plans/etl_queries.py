@@ -85,7 +85,8 @@ def stream_fact(spark: SparkSession, sf_dir: str, files: int = 8,
             write_marker(spark, f"{root}/_DELIVERED", "ok")
         masters = Feed(transactions=None, customers=testdata.customers(spark, sf_dir),
                        products=testdata.products(spark, sf_dir),
-                       suppliers=testdata.suppliers(spark, sf_dir))
+                       suppliers=testdata.suppliers(spark, sf_dir),
+                       master_rows=testdata.master_rows(spark, sf_dir))
         run_ingest(spark, wh, drop, masters, f"{root}/checkpoint",
                    max_files_per_trigger=max_files_per_trigger, lines=True,
                    product_type="bigint")

@@ -1,10 +1,13 @@
 """The twenty analytical queries over the star schema (Q1-Q20) and the
 variants their titles ask for.
 
-Every query is a star join: the fact is joined to the dimensions it needs on
-their keys (the planner broadcasts a dimension whose measured size is under
-the threshold and shuffles otherwise), aggregated with a partial + final
-aggregate, and - where the question asks for it - windowed or limited.
+Every query is a star aggregate (``plans/star.py``): the fact is joined to
+the dimensions it needs on their keys - broadcast when the dimension's exact
+size is under the bound, otherwise after pre-aggregating the fact on that
+dimension's key - aggregated with a partial + final aggregate, and, where
+the question asks for it, windowed, rolled up or limited.  Rollups run on
+the pre-aggregated rows, so the rollup's row expansion never touches the
+fact.
 Sums are exact DECIMAL aggregates, reported as DOUBLE.  Every LIMIT has a
 unique tie-breaker so the answer is deterministic.
 """
@@ -17,51 +20,45 @@ from pyspark.sql import functions as F
 from martflow.functions.calendar import day_type, half_year, season
 from martflow.functions.measures import pct_change
 from martflow.operators.affinity import co_purchase_counts
+from martflow.plans.star import Derived, star_aggregate
 from martflow.plans.warehouse import Warehouse
 
+DAY_TYPE = {"DayType": Derived(["Is_Weekend"], lambda: day_type(F.col("Is_Weekend")))}
+SEASON = {"Season": Derived(["Month"], lambda: season(F.col("Month")))}
+HALF_YEAR = {"Half_Year": Derived(["Month"], lambda: half_year(F.col("Month")))}
+
 
 def _money(c: Column) -> Column:
     return c.cast("double")
 
 
-def total(col: str = "Revenue") -> Column:
-    """Exact DECIMAL sum, reported as DOUBLE."""
-    return _money(F.sum(col))
-
+def revenue_by(wh: Warehouse, dims: list[str], group_by: list[str], name: str = "_rev",
+               **kwargs) -> DataFrame:
+    """Exact DECIMAL revenue per group over the star join."""
+    return star_aggregate(wh, dims, group_by, sums={name: "Revenue"}, **kwargs)
 
-def star(wh: Warehouse, *dims: str, fact_columns: list[str] | None = None) -> DataFrame:
-    """The fact joined to the named dimensions on their keys.
 
-    Only the columns the caller names are kept from the fact, so the parquet
-    scan reads just those (plus the join keys)."""
-    keys = {"customer": "Customer_ID", "product": "Product_ID", "store": "Store_ID",
-            "supplier": "Supplier_ID", "time": "Time_ID"}
-    cols = list(dict.fromkeys((fact_columns or ["Revenue"]) + [keys[d] for d in dims]))
-    df = wh.fact.select(*cols)
-    for d in dims:
-        dim = getattr(wh, d)
-        if d == "product":  # the fact carries its own store / supplier keys
-            dim = dim.drop("Store_ID", "Supplier_ID")
-        if d == "store":  # City_Category of the store is not the buyer's
-            dim = dim.withColumnRenamed("City_Category", "Store_City_Category")
-        df = df.join(dim, keys[d], "inner")
-    return df
+def total_by(wh: Warehouse, dims: list[str], group_by: list[str], name: str,
+             **kwargs) -> DataFrame:
+    """Revenue per group, reported as DOUBLE under ``name``."""
+    agg = revenue_by(wh, dims, group_by, "_rev", **kwargs)
+    return agg.select(*group_by, _money(F.col("_rev")).alias(name))
 
 
 # ----------------------------------------------------------------- section 1
 def q1(wh: Warehouse) -> DataFrame:
     """Revenue by category x month x day type; the first five by month,
     then revenue (highest first)."""
-    df = star(wh, "product", "time").withColumn("DayType", day_type(F.col("Is_Weekend")))
-    agg = df.groupBy("Product_Category", "Month", "DayType").agg(total().alias("Total_Revenue"))
+    agg = total_by(wh, ["product", "time"], ["Product_Category", "Month", "DayType"],
+                   "Total_Revenue", derived=DAY_TYPE)
     return agg.orderBy(F.col("Month").asc(), F.col("Total_Revenue").desc(),
                        "Product_Category", "DayType").limit(5)
 
 
 def q1_top_n_per_month(wh: Warehouse, n: int = 5) -> DataFrame:
     """Top ``n`` category x day-type cells inside every month."""
-    df = star(wh, "product", "time").withColumn("DayType", day_type(F.col("Is_Weekend")))
-    agg = df.groupBy("Product_Category", "Month", "DayType").agg(total().alias("Total_Revenue"))
+    agg = total_by(wh, ["product", "time"], ["Product_Category", "Month", "DayType"],
+                   "Total_Revenue", derived=DAY_TYPE)
     w = Window.partitionBy("Month").orderBy(F.col("Total_Revenue").desc(),
                                             "Product_Category", "DayType")
     return agg.withColumn("Rank", F.row_number().over(w)).filter(F.col("Rank") <= n)
@@ -69,8 +66,7 @@ def q1_top_n_per_month(wh: Warehouse, n: int = 5) -> DataFrame:
 
 def q2(wh: Warehouse) -> DataFrame:
     """Monthly revenue per category with the previous month and growth %."""
-    agg = (star(wh, "product", "time").groupBy("Product_Category", "Month")
-           .agg(F.sum("Revenue").alias("_rev")))
+    agg = revenue_by(wh, ["product", "time"], ["Product_Category", "Month"])
     w = Window.partitionBy("Product_Category").orderBy("Month")
     prev = F.lag("_rev").over(w)
     return agg.select(
@@ -83,8 +79,7 @@ def q2(wh: Warehouse) -> DataFrame:
 
 def q2_year_month(wh: Warehouse) -> DataFrame:
     """Q2 with calendar months (year + month) instead of month numbers."""
-    agg = (star(wh, "product", "time").groupBy("Product_Category", "Year", "Month")
-           .agg(F.sum("Revenue").alias("_rev")))
+    agg = revenue_by(wh, ["product", "time"], ["Product_Category", "Year", "Month"])
     w = Window.partitionBy("Product_Category").orderBy("Year", "Month")
     prev = F.lag("_rev").over(w)
     return agg.select(
@@ -97,8 +92,8 @@ def q2_year_month(wh: Warehouse) -> DataFrame:
 
 def q3(wh: Warehouse) -> DataFrame:
     """Revenue by occupation x product category."""
-    return (star(wh, "customer", "product").groupBy("Occupation", "Product_Category")
-            .agg(total().alias("Total_Sales")).orderBy(F.col("Total_Sales").desc()))
+    return (total_by(wh, ["customer", "product"], ["Occupation", "Product_Category"],
+                     "Total_Sales").orderBy(F.col("Total_Sales").desc()))
 
 
 def q4(wh: Warehouse, n: int = 5) -> DataFrame:
@@ -110,42 +105,42 @@ def q4(wh: Warehouse, n: int = 5) -> DataFrame:
 
 def q5(wh: Warehouse) -> DataFrame:
     """Revenue by category x season."""
-    df = star(wh, "product", "time").withColumn("Season", season(F.col("Month")))
-    return (df.groupBy("Product_Category", "Season").agg(total().alias("Total_Sales"))
+    return (total_by(wh, ["product", "time"], ["Product_Category", "Season"], "Total_Sales",
+                     derived=SEASON)
             .orderBy("Product_Category", F.col("Total_Sales").desc()))
 
 
 # ----------------------------------------------------------------- section 2
 def q6(wh: Warehouse) -> DataFrame:
     """Revenue by gender x age x city category."""
-    return (star(wh, "customer").groupBy("Gender", "Age", "City_Category")
-            .agg(total().alias("Total_Purchase")).orderBy(F.col("Total_Purchase").desc()))
+    return (total_by(wh, ["customer"], ["Gender", "Age", "City_Category"], "Total_Purchase")
+            .orderBy(F.col("Total_Purchase").desc()))
 
 
 def q7(wh: Warehouse) -> DataFrame:
     """Revenue by gender x age x quarter."""
-    return (star(wh, "customer", "time").groupBy("Gender", "Age", "Quarter")
-            .agg(total().alias("Total_Revenue"))
+    return (total_by(wh, ["customer", "time"], ["Gender", "Age", "Quarter"], "Total_Revenue")
             .orderBy("Quarter", F.col("Total_Revenue").desc()))
 
 
 def q8(wh: Warehouse) -> DataFrame:
     """Average fact revenue by gender x years in the city."""
-    agg = star(wh, "customer").groupBy("Gender", "Stay_In_Current_City_Years").agg(
-        (F.sum("Revenue").cast("double") / F.count("Revenue")).alias("Avg_Purchase"))
-    return agg.orderBy(F.col("Avg_Purchase").desc())
+    keys = ["Gender", "Stay_In_Current_City_Years"]
+    agg = star_aggregate(wh, ["customer"], keys, sums={"_s": "Revenue"},
+                         counts={"_n": "Revenue"})
+    out = agg.select(*keys, (F.col("_s").cast("double") / F.col("_n")).alias("Avg_Purchase"))
+    return out.orderBy(F.col("Avg_Purchase").desc())
 
 
 def q9(wh: Warehouse) -> DataFrame:
     """Revenue by age band x day type."""
-    df = star(wh, "customer", "time").withColumn("DayType", day_type(F.col("Is_Weekend")))
-    return (df.groupBy("Age", "DayType").agg(total().alias("Total_Sales"))
+    return (total_by(wh, ["customer", "time"], ["Age", "DayType"], "Total_Sales",
+                     derived=DAY_TYPE)
             .orderBy(F.col("Total_Sales").desc()))
 
 
 def _category_occupation(wh: Warehouse) -> DataFrame:
-    return (star(wh, "customer", "product").groupBy("Product_Category", "Occupation")
-            .agg(total().alias("Revenue")))
+    return total_by(wh, ["customer", "product"], ["Product_Category", "Occupation"], "Revenue")
 
 
 def q10(wh: Warehouse, n: int = 5) -> DataFrame:
@@ -165,24 +160,22 @@ def q10_top_n_per_category(wh: Warehouse, n: int = 5) -> DataFrame:
 # ----------------------------------------------------------------- section 3
 def q11(wh: Warehouse, n: int = 5) -> DataFrame:
     """Top five store x category cells by revenue."""
-    agg = (star(wh, "product", "store").groupBy("Store_Name", "Product_Category")
-           .agg(total().alias("Total_Revenue")))
+    agg = total_by(wh, ["product", "store"], ["Store_Name", "Product_Category"],
+                   "Total_Revenue")
     return agg.orderBy(F.col("Total_Revenue").desc(), "Store_Name", "Product_Category").limit(n)
 
 
 def q12(wh: Warehouse) -> DataFrame:
     """Revenue by store x supplier x category."""
-    return (star(wh, "store", "supplier", "product")
-            .groupBy("Store_Name", "Supplier_Name", "Product_Category")
-            .agg(total().alias("Total_Sales"))
+    return (total_by(wh, ["store", "supplier", "product"],
+                     ["Store_Name", "Supplier_Name", "Product_Category"], "Total_Sales")
             .orderBy("Store_Name", F.col("Total_Sales").desc()))
 
 
 def q13(wh: Warehouse) -> DataFrame:
     """Revenue by city category x marital status x month."""
-    return (star(wh, "customer", "time")
-            .groupBy("City_Category", "Marital_Status", "Month")
-            .agg(total().alias("Total_Revenue"))
+    return (total_by(wh, ["customer", "time"], ["City_Category", "Marital_Status", "Month"],
+                     "Total_Revenue")
             .orderBy("Month", F.col("Total_Revenue").desc()))
 
 
@@ -192,17 +185,15 @@ def q14(wh: Warehouse, year: int = 1998) -> DataFrame:
     The fact is partitioned by year, and a fact row's year is the year of
     its date, so the filter is also applied to the fact: the scan then
     reads one year's partition instead of all of them."""
-    fact = wh.fact.filter(F.col("Year") == year).select("Revenue", "Store_ID", "Time_ID")
-    t = wh.time.filter(F.col("Year") == year).select("Time_ID", "Quarter")
-    df = fact.join(wh.store, "Store_ID").join(t, "Time_ID")
-    return (df.groupBy("Store_Name", "Quarter").agg(total().alias("Total_Revenue"))
+    fact = wh.fact.filter(F.col("Year") == year)
+    return (total_by(wh, ["store", "time"], ["Store_Name", "Quarter"], "Total_Revenue",
+                     fact=fact, dim_filters={"time": F.col("Year") == year})
             .orderBy("Store_Name", "Quarter"))
 
 
 def q14_growth(wh: Warehouse) -> DataFrame:
     """Quarter-over-quarter revenue growth per store (what Q14's title asks)."""
-    agg = (star(wh, "store", "time").groupBy("Store_Name", "Year", "Quarter")
-           .agg(F.sum("Revenue").alias("_rev")))
+    agg = revenue_by(wh, ["store", "time"], ["Store_Name", "Year", "Quarter"])
     w = Window.partitionBy("Store_Name").orderBy("Year", "Quarter")
     prev = F.lag("_rev").over(w)
     return agg.select("Store_Name", "Year", "Quarter",
@@ -213,9 +204,7 @@ def q14_growth(wh: Warehouse) -> DataFrame:
 
 def q15(wh: Warehouse) -> DataFrame:
     """Monthly revenue and month-to-month change per store x supplier."""
-    agg = (star(wh, "store", "supplier", "time")
-           .groupBy("Store_Name", "Supplier_Name", "Month")
-           .agg(F.sum("Revenue").alias("_rev")))
+    agg = revenue_by(wh, ["store", "supplier", "time"], ["Store_Name", "Supplier_Name", "Month"])
     w = Window.partitionBy("Store_Name", "Supplier_Name").orderBy("Month")
     out = agg.select("Store_Name", "Supplier_Name", "Month",
                      _money(F.col("_rev")).alias("Monthly_Revenue"),
@@ -227,26 +216,27 @@ def q15(wh: Warehouse) -> DataFrame:
 def q16(wh: Warehouse) -> DataFrame:
     """ROLLUP (year, quarter, category); Grouping_ID tells a subtotal row
     from a row whose key is NULL."""
-    return (star(wh, "product", "time").rollup("Year", "Quarter", "Product_Category")
-            .agg(total().alias("Total_Revenue"),
-                 F.grouping_id().cast("int").alias("Grouping_ID")))
+    keys = ["Year", "Quarter", "Product_Category"]
+    base = revenue_by(wh, ["product", "time"], keys)
+    return base.rollup(*keys).agg(_money(F.sum("_rev")).alias("Total_Revenue"),
+                                  F.grouping_id().cast("int").alias("Grouping_ID"))
 
 
 def q17(wh: Warehouse) -> DataFrame:
     """ROLLUP (store, supplier, category, year)."""
-    return (star(wh, "store", "supplier", "product", "time")
-            .rollup("Store_Name", "Supplier_Name", "Product_Category", "Year")
-            .agg(total().alias("Total_Revenue"),
-                 F.grouping_id().cast("int").alias("Grouping_ID")))
+    keys = ["Store_Name", "Supplier_Name", "Product_Category", "Year"]
+    base = revenue_by(wh, ["store", "supplier", "product", "time"], keys)
+    return base.rollup(*keys).agg(_money(F.sum("_rev")).alias("Total_Revenue"),
+                                  F.grouping_id().cast("int").alias("Grouping_ID"))
 
 
 def q18(wh: Warehouse) -> DataFrame:
     """Revenue and units by category x half-year."""
-    df = (star(wh, "product", "time", fact_columns=["Revenue", "Quantity"])
-          .withColumn("Half_Year", half_year(F.col("Month"))))
-    return (df.groupBy("Product_Category", "Half_Year")
-            .agg(total().alias("Total_Revenue"),
-                 F.sum("Quantity").cast("bigint").alias("Total_Quantity"))
+    keys = ["Product_Category", "Half_Year"]
+    agg = star_aggregate(wh, ["product", "time"], keys,
+                         sums={"_rev": "Revenue", "_qty": "Quantity"}, derived=HALF_YEAR)
+    return (agg.select(*keys, _money(F.col("_rev")).alias("Total_Revenue"),
+                       F.col("_qty").cast("bigint").alias("Total_Quantity"))
             .orderBy("Product_Category", "Half_Year"))
 
 
@@ -255,8 +245,7 @@ def q19(wh: Warehouse) -> DataFrame:
 
     ``x > 2 * avg`` is evaluated exactly as ``x * days > 2 * sum`` on the
     DECIMAL sums; the mean is reported as DOUBLE."""
-    daily = (star(wh, "product", "time").groupBy("Product_Category", "Date")
-             .agg(F.sum("Revenue").alias("_day")))
+    daily = revenue_by(wh, ["product", "time"], ["Product_Category", "Date"], "_day")
     w = Window.partitionBy("Product_Category")
     df = daily.withColumn("_sum", F.sum("_day").over(w)).withColumn("_n", F.count("_day").over(w))
     spikes = df.filter(F.col("_day") * F.col("_n") > F.col("_sum") * 2)
@@ -268,8 +257,7 @@ def q19(wh: Warehouse) -> DataFrame:
 
 
 def store_quarterly_sales(wh: Warehouse) -> DataFrame:
-    return (star(wh, "store", "time").groupBy("Store_Name", "Quarter")
-            .agg(total().alias("Total_Sales")))
+    return total_by(wh, ["store", "time"], ["Store_Name", "Quarter"], "Total_Sales")
 
 
 def q20(wh: Warehouse, view_name: str = "STORE_QUARTERLY_SALES") -> DataFrame:

@@ -29,7 +29,7 @@ from martflow.operators.load import LoadResult, plan_load
 from martflow.schemas import STAGED_COLUMNS, STAR_TABLES
 from martflow.session import apply_runtime_defaults, path_exists, shared_dir, write_marker
 from martflow.sources.feed import Feed
-from martflow.sources.testdata import testdata_feed
+from martflow.sources.testdata import count_rows, testdata_feed
 
 # Bump when the load semantics change, so stale warehouses are not reused.
 BUILD_VERSION = "wh-2"
@@ -43,6 +43,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._counts: dict[str, int] | None = None
+        self._tables: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -51,11 +53,36 @@ class Warehouse:
         return path_exists(self.spark, self.path(name))
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The table as a DataFrame; the file listing is reused until the
+        next load into this warehouse."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(self.path(name))
+        return self._tables[name]
+
+    def invalidate(self) -> None:
+        self._counts = None
+        self._tables = {}
 
     def maybe_table(self, name: str) -> DataFrame | None:
         return self.table(name) if self.exists(name) else None
 
+    def row_count(self, name: str) -> int | None:
+        """Exact row count of a table (None when it does not exist).
+
+        A column-less parquet count is answered from the files' row-group
+        metadata, so this stays cheap for a large table; it is cached until
+        the next load into this warehouse."""
+        if self._counts is None:
+            self._counts = {}
+        if name not in self._counts:
+            if not self.exists(name):
+                return None
+            # count every star table that is still unknown in the same job
+            names = [t for t in STAR_TABLES if t not in self._counts and self.exists(t)]
+            names = list(dict.fromkeys(names + [name]))
+            self._counts.update(count_rows({t: self.table(t) for t in names}))
+        return self._counts[name]
+
     @property
     def fact(self) -> DataFrame:
         return self.table("fact_sales")
@@ -81,7 +108,7 @@ class Warehouse:
         return self.table("dim_time")
 
     def staged(self, batch: str | None = None) -> DataFrame:
-        df = self.table("staging")
+        df = self.spark.read.parquet(self.path("staging"))
         if batch is not None:
             df = df.filter(F.col("batch") == batch)
         return df.filter(F.col("Status") == "staged").select(*STAGED_COLUMNS)
@@ -110,6 +137,7 @@ def load_staged(wh: Warehouse, batch: str) -> LoadResult | None:
     staged = wh.staged(batch)
     if staged.isEmpty():
         return None
+    wh.invalidate()
     targets = {t: wh.maybe_table(t) for t in STAR_TABLES}
     appended = plan_load(staged, targets)
     result = LoadResult(appended=appended)
@@ -128,6 +156,7 @@ def load_staged(wh: Warehouse, batch: str) -> LoadResult | None:
     rejected.write.mode("append").parquet(wh.path("quarantine"))
     report = result.report(spark).withColumn("batch", F.lit(batch))
     report.write.mode("append").parquet(wh.path("load_report"))
+    wh.invalidate()
     # The staging batch is marked consumed only after the fact commit.
     write_marker(spark, wh.path(f"_consumed/{batch}"), "loaded")
     return result

@@ -18,9 +18,14 @@ class Feed:
     products: product master; Price is the unrounded price.
     suppliers: optional supplier master (Supplier_ID, Supplier_Name) for feeds
         whose supplier is an attribute of the transaction.
+    master_rows: exact row counts of the masters ("customers", "products",
+        "suppliers"), when known.
     """
 
     transactions: DataFrame
     customers: DataFrame
     products: DataFrame
     suppliers: DataFrame | None = None
+    # Exact master row counts when the source knows them (None: unknown).
+    # A master is broadcast only when its count proves it small.
+    master_rows: dict[str, int] | None = None

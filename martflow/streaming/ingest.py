@@ -34,7 +34,8 @@ def start_ingest(spark: SparkSession, wh: Warehouse, drop_dir: str, masters: Fee
 
     def load_micro_batch(batch: DataFrame, epoch_id: int) -> None:
         feed = Feed(transactions=batch, customers=masters.customers,
-                    products=masters.products, suppliers=masters.suppliers)
+                    products=masters.products, suppliers=masters.suppliers,
+                    master_rows=masters.master_rows)
         load_feed(wh, feed, batch=f"epoch-{epoch_id:08d}", dedupe_masters=dedupe_masters)
 
     writer = (stream.writeStream.foreachBatch(load_micro_batch)
