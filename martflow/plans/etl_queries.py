@@ -17,6 +17,7 @@ on the staged rows:
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from martflow.sources.feed import Feed
 from martflow.streaming.ingest import run_ingest
 
 INCREMENTAL_CUTOFF = "1998-01-01"
+_stream_lock = threading.Lock()
 
 
 def staging(wh: Warehouse) -> DataFrame:
@@ -78,6 +80,13 @@ def stream_fact(spark: SparkSession, sf_dir: str, files: int = 8,
                        f"{max_files_per_trigger}".encode()).hexdigest()[:16]
     root = f"{shared_dir(spark)}/martflow/stream-{key}"
     wh = Warehouse(spark, f"{root}/warehouse")
+    with _stream_lock:
+        _ingest_once(spark, sf_dir, root, wh, files, max_files_per_trigger)
+    return wh.fact
+
+
+def _ingest_once(spark: SparkSession, sf_dir: str, root: str, wh: Warehouse, files: int,
+                 max_files_per_trigger: int) -> None:
     if not path_exists(spark, f"{root}/_COMPLETE"):
         drop = f"{root}/drop"
         if not path_exists(spark, f"{root}/_DELIVERED"):
@@ -91,7 +100,6 @@ def stream_fact(spark: SparkSession, sf_dir: str, files: int = 8,
                    max_files_per_trigger=max_files_per_trigger, lines=True,
                    product_type="bigint")
         write_marker(spark, f"{root}/_COMPLETE", "ok")
-    return wh.fact
 
 
 def _wh(fn):

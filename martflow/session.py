@@ -58,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     local = tempfile.mkdtemp(prefix="martflow-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -28,3 +28,20 @@ def test_insert_ignore_keeps_existing_and_skips_null_keys(spark):
     # replaying the same batch on top of the result appends nothing
     loaded = target.unionByName(insert_ignore(batch, ["k"], ["o"], ["k", "v"], target))
     assert insert_ignore(batch, ["k"], ["o"], ["k", "v"], loaded).count() == 0
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-5, 5), st.integers(0, 9)),
+                min_size=1, max_size=40))
+def test_first_per_key_equals_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "k int, o int, v int")
+    got = {r.k: (r.o, r.v) for r in first_per_key(df, ["k"], ["o"], ["o", "v"]).collect()}
+    want = {}
+    for k, o, v in rows:
+        if k not in want or (o, v) < want[k]:
+            want[k] = (o, v)
+    assert got == want
