@@ -73,9 +73,21 @@ def fk_check_recent_dims(wh: Warehouse, cutoff: str = INCREMENTAL_CUTOFF) -> Dat
     return rejected
 
 
-def stream_fact(spark: SparkSession, sf_dir: str, files: int = 8,
-                max_files_per_trigger: int = 2) -> DataFrame:
-    """Fact loaded by the streaming ingest from CSV deliveries of the feed."""
+ROWS_PER_DELIVERED_FILE = 1_000_000
+MIN_DELIVERED_FILES = 4
+
+
+def delivered_files(spark: SparkSession, sf_dir: str) -> int:
+    """Number of CSV files the feed is delivered in: grows with the data."""
+    rows = testdata.count_rows({"lines": testdata.table(spark, sf_dir, "lineitem")})["lines"]
+    return max(MIN_DELIVERED_FILES, -(-rows // ROWS_PER_DELIVERED_FILE))
+
+
+def stream_fact(spark: SparkSession, sf_dir: str, files: int | None = None,
+                max_files_per_trigger: int = 1) -> DataFrame:
+    """Fact loaded by the streaming ingest from CSV deliveries of the feed
+    (one micro-batch per delivered file)."""
+    files = files or delivered_files(spark, sf_dir)
     key = hashlib.sha1(f"{BUILD_VERSION}|{_fingerprint(sf_dir)}|{files}|"
                        f"{max_files_per_trigger}".encode()).hexdigest()[:16]
     root = f"{shared_dir(spark)}/martflow/stream-{key}"
