@@ -34,6 +34,25 @@ def not_null(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.filter(cond)
 
 
+def _null_safe_keys(df: DataFrame, keys: list[str], optional: list[str]) -> tuple[DataFrame, list[str]]:
+    """Plain, never-NULL key columns for the optional key parts: (value or a
+    typed default, is-NULL flag).  Grouping and joining on them equals
+    NULL-safe grouping / joining on the original column, and because they
+    are plain columns the join can reuse the aggregate's partitioning."""
+    types = dict(df.dtypes)
+    out = df
+    names = []
+    for k in keys:
+        if k not in optional:
+            names.append(k)
+            continue
+        default = F.lit("") if types[k] == "string" else F.lit(0).cast(types[k])
+        out = out.withColumn(f"_v_{k}", F.coalesce(F.col(k), default)) \
+                 .withColumn(f"_n_{k}", F.col(k).isNull())
+        names += [f"_v_{k}", f"_n_{k}"]
+    return out, names
+
+
 def insert_ignore(batch: DataFrame, keys: list[str], order_by: list[str],
                   columns: list[str], target: DataFrame | None = None,
                   required: list[str] | None = None) -> DataFrame:
@@ -46,17 +65,12 @@ def insert_ignore(batch: DataFrame, keys: list[str], order_by: list[str],
     Only the key columns of the target are read (column pruning at the scan).
     """
     required = keys if required is None else required
-    candidates = first_per_key(not_null(batch, required), keys, order_by,
-                               [c for c in columns if c not in keys])
-    candidates = candidates.select(*columns)
+    optional = [k for k in keys if k not in required]
+    rows, group_keys = _null_safe_keys(not_null(batch, required), keys, optional)
+    payload = [c for c in columns if c not in group_keys]
+    candidates = first_per_key(rows, group_keys, order_by, payload)
     if target is None:
-        return candidates
-    if set(required) == set(keys):
-        return candidates.join(target.select(*keys), keys, "left_anti")
-    existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_t_{k}")) if k not in required else (
-            F.col(k) == F.col(f"_t_{k}"))
-        cond = c if cond is None else cond & c
-    return candidates.join(existing, cond, "left_anti")
+        return candidates.select(*columns)
+    existing, _ = _null_safe_keys(not_null(target, required), keys, optional)
+    existing = existing.select(*group_keys)
+    return candidates.join(existing, group_keys, "left_anti").select(*columns)
