@@ -9,12 +9,12 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the plans are tuned for.  They are applied only where
-# the session has not set them itself, so a cluster's own sizing wins.
+# the session has not set them itself, so a cluster's own sizing wins.  (No
+# time zone is needed: every timestamp is TIMESTAMP_NTZ, a wall-clock value.)
 RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
