@@ -18,6 +18,7 @@ query.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import threading
 
@@ -27,12 +28,16 @@ from pyspark.sql import functions as F
 from martflow.operators.enrich import REASON, enrich
 from martflow.operators.load import LoadResult, plan_load
 from martflow.schemas import STAGED_COLUMNS, STAR_TABLES
-from martflow.session import apply_runtime_defaults, path_exists, shared_dir, write_marker
+from pyspark.sql import types as T
+
+from martflow.session import (
+    apply_runtime_defaults, path_exists, read_marker, shared_dir, write_marker,
+)
 from martflow.sources.feed import Feed
 from martflow.sources.testdata import count_rows, testdata_feed
 
 # Bump when the load semantics change, so stale warehouses are not reused.
-BUILD_VERSION = "wh-3"
+BUILD_VERSION = "wh-4"
 TESTDATA_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")
 
 _lock = threading.Lock()
@@ -56,9 +61,20 @@ class Warehouse:
         """The table as a DataFrame; the file listing is reused until the
         next load into this warehouse."""
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(self.path(name))
+            schema = self.schema(name)
+            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+            self._tables[name] = reader.parquet(self.path(name))
         return self._tables[name]
 
+    def schema(self, name: str) -> T.StructType | None:
+        """The table's contract, recorded when it was first written."""
+        text = read_marker(self.spark, self.path(f"_schema/{name}.json"))
+        return None if not text else T.StructType.fromJson(json.loads(text))
+
+    def record_schema(self, name: str, schema: T.StructType) -> None:
+        if self.schema(name) is None:
+            write_marker(self.spark, self.path(f"_schema/{name}.json"), schema.json())
+
     def invalidate(self) -> None:
         self._counts = None
         self._tables = {}
@@ -108,7 +124,9 @@ class Warehouse:
         return self.table("dim_time")
 
     def staged(self, batch: str | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.path("staging"))
+        schema = self.schema("staging")
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        df = reader.parquet(self.path("staging"))
         if batch is not None:
             df = df.filter(F.col("batch") == batch)
         return df.filter(F.col("Status") == "staged").select(*STAGED_COLUMNS)
@@ -124,6 +142,7 @@ def stage(wh: Warehouse, enriched: DataFrame, batch: str) -> None:
     out = enriched.withColumn("Status", status).withColumn("batch", F.lit(batch))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch", "Status").parquet(wh.path("staging")))
+    wh.record_schema("staging", wh.spark.read.parquet(wh.path("staging")).schema)
 
 
 def load_staged(wh: Warehouse, batch: str) -> LoadResult | None:
@@ -150,18 +169,37 @@ def load_staged(wh: Warehouse, batch: str) -> LoadResult | None:
         else:
             writer = df.write
         writer.mode("append").parquet(wh.path(name))
+        wh.record_schema(name, spark.read.parquet(wh.path(name)).schema)
         result.observations[name] = obs
     rejected = wh.table("staging").filter(
         (F.col("batch") == batch) & (F.col("Status") == "quarantined")).drop("Status")
     rejected.write.mode("append").parquet(wh.path("quarantine"))
+    wh.record_schema("quarantine", spark.read.parquet(wh.path("quarantine")).schema)
     report = result.report(spark).withColumn("batch", F.lit(batch))
     report.write.mode("append").parquet(wh.path("load_report"))
+    wh.record_schema("load_report", spark.read.parquet(wh.path("load_report")).schema)
     wh.invalidate()
     # The staging batch is marked consumed only after the fact commit.
     write_marker(spark, wh.path(f"_consumed/{batch}"), "loaded")
     return result
 
 
+def reset_warehouse(wh: Warehouse) -> None:
+    """S10 drop / recreate: every existing table is replaced by an empty table
+    with the same schema (the contracts stay, the rows go)."""
+    for name in ["staging", "quarantine", "load_report", *STAR_TABLES]:
+        if not wh.exists(name):
+            continue
+        empty = wh.spark.createDataFrame([], wh.table(name).schema)
+        writer = empty.write.mode("overwrite")
+        if name == "fact_sales":
+            writer = writer.partitionBy("Year")
+        elif name == "staging":
+            writer = writer.partitionBy("batch", "Status")
+        writer.parquet(wh.path(name))
+    wh.invalidate()
+
+
 def load_feed(wh: Warehouse, feed: Feed, batch: str, dedupe_masters: bool = False) -> LoadResult | None:
     """Enrich, stage and load one batch of transactions."""
     apply_runtime_defaults(wh.spark)

@@ -92,3 +92,16 @@ def write_marker(spark: SparkSession, path: str, text: str = "") -> None:
             fh.write(text)
         return
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_marker(spark: SparkSession, path: str) -> str | None:
+    """Text of a marker written by :func:`write_marker` (None if absent)."""
+    if is_local_path(path):
+        p = local_path(path)
+        if not os.path.exists(p):
+            return None
+        with open(p) as fh:
+            return fh.read()
+    if not path_exists(spark, path):
+        return None
+    return "\n".join(r.value for r in spark.read.text(path).collect())

@@ -162,3 +162,14 @@ def test_stream_equals_batch_and_absorbs_redelivery(spark, files, scratch):
     assert _fact(wh) == EXPECTED_FACT
     batch_wh, _ = _load(spark, files)
     assert _fact(batch_wh) == _fact(wh)
+
+
+def test_reset_then_reload(spark, files):
+    from martflow.plans.warehouse import reset_warehouse
+    wh, _ = _load(spark, files)
+    schema = wh.fact.schema
+    reset_warehouse(wh)
+    assert wh.fact.count() == 0 and wh.customer.count() == 0
+    assert wh.fact.schema == schema
+    _load(spark, files, batch="again", wh=wh)
+    assert _fact(wh) == EXPECTED_FACT
