@@ -71,8 +71,10 @@ class Warehouse:
         text = read_marker(self.spark, self.path(f"_schema/{name}.json"))
         return None if not text else T.StructType.fromJson(json.loads(text))
 
-    def record_schema(self, name: str, schema: T.StructType) -> None:
+    def record_schema(self, name: str) -> None:
+        """Record the contract of a table that was just written (once)."""
         if self.schema(name) is None:
+            schema = self.spark.read.parquet(self.path(name)).schema
             write_marker(self.spark, self.path(f"_schema/{name}.json"), schema.json())
 
     def invalidate(self) -> None:
@@ -135,17 +137,21 @@ class Warehouse:
         return self.table("quarantine")
 
 
-def stage(wh: Warehouse, enriched: DataFrame, batch: str) -> None:
+def stage(wh: Warehouse, enriched: DataFrame, batch: str) -> int:
     """Write one batch of enriched rows, staged and quarantined, in one
-    pass (the status is a partition column)."""
+    pass (the status is a partition column).  Returns the number of staged
+    rows, counted during the write."""
     status = F.when(F.col(REASON).isNull(), F.lit("staged")).otherwise(F.lit("quarantined"))
     out = enriched.withColumn("Status", status).withColumn("batch", F.lit(batch))
+    obs = Observation(f"staging_{batch}")
+    out = out.observe(obs, F.sum(F.when(F.col(REASON).isNull(), 1).otherwise(0)).alias("staged"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch", "Status").parquet(wh.path("staging")))
-    wh.record_schema("staging", wh.spark.read.parquet(wh.path("staging")).schema)
+    wh.record_schema("staging")
+    return int(obs.get.get("staged") or 0)
 
 
-def load_staged(wh: Warehouse, batch: str) -> LoadResult | None:
+def load_staged(wh: Warehouse, batch: str, staged_rows: int | None = None) -> LoadResult | None:
     """Staging -> star for one batch.
 
     Dimensions are written before the fact; every table is insert-ignore
@@ -154,7 +160,7 @@ def load_staged(wh: Warehouse, batch: str) -> LoadResult | None:
     """
     spark = wh.spark
     staged = wh.staged(batch)
-    if staged.isEmpty():
+    if (staged.isEmpty() if staged_rows is None else staged_rows == 0):
         return None
     wh.invalidate()
     targets = {t: wh.maybe_table(t) for t in STAR_TABLES}
@@ -169,15 +175,15 @@ def load_staged(wh: Warehouse, batch: str) -> LoadResult | None:
         else:
             writer = df.write
         writer.mode("append").parquet(wh.path(name))
-        wh.record_schema(name, spark.read.parquet(wh.path(name)).schema)
+        wh.record_schema(name)
         result.observations[name] = obs
     rejected = wh.table("staging").filter(
         (F.col("batch") == batch) & (F.col("Status") == "quarantined")).drop("Status")
     rejected.write.mode("append").parquet(wh.path("quarantine"))
-    wh.record_schema("quarantine", spark.read.parquet(wh.path("quarantine")).schema)
+    wh.record_schema("quarantine")
     report = result.report(spark).withColumn("batch", F.lit(batch))
     report.write.mode("append").parquet(wh.path("load_report"))
-    wh.record_schema("load_report", spark.read.parquet(wh.path("load_report")).schema)
+    wh.record_schema("load_report")
     wh.invalidate()
     # The staging batch is marked consumed only after the fact commit.
     write_marker(spark, wh.path(f"_consumed/{batch}"), "loaded")
@@ -203,8 +209,8 @@ def reset_warehouse(wh: Warehouse) -> None:
 def load_feed(wh: Warehouse, feed: Feed, batch: str, dedupe_masters: bool = False) -> LoadResult | None:
     """Enrich, stage and load one batch of transactions."""
     apply_runtime_defaults(wh.spark)
-    stage(wh, enrich(feed, dedupe_masters=dedupe_masters), batch)
-    return load_staged(wh, batch)
+    staged_rows = stage(wh, enrich(feed, dedupe_masters=dedupe_masters), batch)
+    return load_staged(wh, batch, staged_rows)
 
 
 def _fingerprint(sf_dir: str) -> str:
