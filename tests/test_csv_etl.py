@@ -173,3 +173,25 @@ def test_reset_then_reload(spark, files):
     assert wh.fact.schema == schema
     _load(spark, files, batch="again", wh=wh)
     assert _fact(wh) == EXPECTED_FACT
+
+
+def test_continuous_ingest_picks_up_new_files(spark, files, scratch):
+    from martflow.streaming.ingest import start_ingest
+    drop = f"{scratch}/live"
+    os.makedirs(drop)
+    masters = Feed(transactions=None,
+                   customers=read_customer_master(spark, files["customer"]),
+                   products=read_product_master(spark, files["product"]))
+    wh = Warehouse(spark, f"{scratch}/live_wh")
+    query = start_ingest(spark, wh, drop, masters, f"{scratch}/live_ckpt", lines=False,
+                         available_now=False, processing_time="1 second", dedupe_masters=True)
+    try:
+        write_csv(f"{drop}/a.csv", TXN_HEADER, TXNS_A)
+        query.processAllAvailable()
+        assert wh.fact.count() == 3
+        write_csv(f"{drop}/b.csv", TXN_HEADER, TXNS_B)
+        query.processAllAvailable()
+        assert _fact(wh) == EXPECTED_FACT
+        assert query.isActive
+    finally:
+        query.stop()
