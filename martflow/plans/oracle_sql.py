@@ -336,6 +336,22 @@ UNION ALL SELECT 'fact_sales', COUNT(*) FROM fact"""),
 SELECT * FROM (SELECT f.*, {_reason} AS Reject_Reason FROM fact f {_joins})
 WHERE Reject_Reason IS NOT NULL"""),
     "stream_fact_sales": with_star("SELECT * FROM fact"),
+    # Delivered-CSV layout: no line number (1), product ids as text, no
+    # supplier; the first delivery of an (order, product) wins.
+    "csv_batch_fact_sales": with_star("""
+SELECT Order_ID, Line_Number, Customer_ID, Product_ID, Store_ID, Supplier_ID, Time_ID,
+       Quantity, Revenue, Year
+FROM (
+  SELECT s.Order_ID, CAST(1 AS INTEGER) AS Line_Number, s.Customer_ID,
+         CAST(s.Product_ID AS VARCHAR) AS Product_ID, s.Store_ID,
+         CAST(NULL AS BIGINT) AS Supplier_ID,
+         CAST(year(s.Date) * 10000 + month(s.Date) * 100 + day(s.Date) AS INTEGER) AS Time_ID,
+         s.Quantity, CAST(s.Revenue AS DECIMAL(12,2)) AS Revenue,
+         CAST(year(s.Date) AS INTEGER) AS Year,
+         row_number() OVER (PARTITION BY s.Order_ID, s.Product_ID
+                            ORDER BY s.Date, s.Customer_ID, s.Quantity) AS rn
+  FROM staged s
+) WHERE rn = 1"""),
 }
 
 

@@ -122,3 +122,27 @@ def testdata_feed(spark: SparkSession, sf_dir: str) -> Feed:
         suppliers=suppliers(spark, sf_dir),
         master_rows=master_rows(spark, sf_dir),
     )
+
+
+def export_delivered_csv(spark: SparkSession, sf_dir: str, directory: str) -> dict[str, str]:
+    """Write the feed in the delivered CSV layout (leading row index,
+    original column names, ISO dates); returns the three paths.
+
+    The transaction file has no line number or supplier, as delivered;
+    products carry no supplier in the test tables."""
+    out = {k: f"{directory.rstrip('/')}/{k}" for k in ("customer", "product", "transaction")}
+    cu = customers(spark, sf_dir)
+    cu.select(F.col("Customer_ID").alias("idx"), *CUSTOMER_COLUMNS) \
+        .write.mode("overwrite").option("header", True).csv(out["customer"])
+    pr = products(spark, sf_dir)
+    pr.select(F.col("Product_ID").alias("idx"), "Product_ID", "Product_Category",
+              F.col("Price").alias("price$"), F.col("Store_ID").alias("storeID"),
+              F.col("Supplier_ID").alias("supplierID"), F.col("Store_Name").alias("storeName"),
+              F.col("Supplier_Name").alias("supplierName")) \
+        .write.mode("overwrite").option("header", True).csv(out["product"])
+    tx = transactions(spark, sf_dir)
+    tx.select(F.lit(0).alias("idx"), F.col("Order_ID").alias("orderID"), "Customer_ID",
+              "Product_ID", F.col("Quantity").alias("quantity"),
+              F.date_format("Date", "yyyy-MM-dd").alias("date")) \
+        .write.mode("overwrite").option("header", True).csv(out["transaction"])
+    return out
