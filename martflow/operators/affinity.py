@@ -4,14 +4,25 @@ For products A != B, the count is the number of (line of A, line of B)
 pairs inside the same order, summed over orders; (A, B) and (B, A) have the
 same count.
 
-Plan: order lines are first reduced to one row per (order, product) with
-its line count, map-side combined, so repeated lines of a hot order collapse
-before any shuffle.  The self-join then matches each product only with the
-larger product ids of the same order (each unordered pair once), and the
-per-pair products of line counts are summed with a partial aggregate.  The
-mirror image (B, A) is produced after the aggregation, from the aggregated
-rows.  AQE's skew-join handling splits an order whose partition is
-oversized across several tasks.
+Plan:
+
+1. Order lines are reduced to one row per (order, product) with its line
+   count, combined map-side, so repeated lines of a hot order collapse
+   before any shuffle.
+2. Orders with more than ``block_size`` lines ("hot" orders) are found with
+   a hash aggregate.  Their products are split into ``ceil(lines /
+   block_size)`` blocks by a hash of the product id, and the pairs of a hot
+   order are formed per *block pair*: each row is replicated once per block
+   on the other side and the self-join key is (order, block of A, block of
+   B).  No task ever forms the pairs of a whole hot order.  Ordinary orders
+   use a plain self-join on the order (one shared exchange for both sides).
+3. Each unordered pair is formed once (A < B); the per-pair products of
+   line counts are summed with a partial aggregate and the mirror image
+   (B, A) is produced after the aggregation.
+
+The pairs themselves are the answer's support: an order with d distinct
+products contributes d(d-1)/2 distinct pairs, which are spread over
+block pairs but cannot be avoided by an exact method.
 """
 
 from __future__ import annotations
@@ -19,18 +30,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BLOCK_SIZE = 1024
+HOT_LIST_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _hot_orders(lines: DataFrame, order: str, block_size: int) -> DataFrame:
+    """Orders with more than ``block_size`` lines, and their block count.
+
+    The line count bounds the number of distinct products from above, so
+    every order that needs splitting is found by one hash aggregate over
+    the order key (combined map-side)."""
+    return (lines.groupBy(order).agg(F.count(F.lit(1)).alias("lines"))
+            .filter(F.col("lines") > block_size)
+            .select(order, F.ceil(F.col("lines") / F.lit(block_size)).cast("int").alias("blocks")))
+
+
+def _plain_pairs(rows: DataFrame, order: str) -> DataFrame:
+    a = rows.select(F.col(order).alias("_oa"), F.col("_p").alias("Product_A"),
+                    F.col("n").alias("n_a"))
+    b = rows.select(F.col(order).alias("_ob"), F.col("_p").alias("Product_B"),
+                    F.col("n").alias("n_b"))
+    return a.join(b, (F.col("_oa") == F.col("_ob"))
+                  & (F.col("Product_A") < F.col("Product_B")), "inner") \
+        .select("Product_A", "n_a", "Product_B", "n_b")
+
+
+def _block_pairs(rows: DataFrame, order: str) -> DataFrame:
+    """Pairs of hot orders, formed per (order, block of A, block of B)."""
+    blocked = rows.withColumn("block", F.pmod(F.xxhash64("_p"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    a = blocked.select(F.col(order).alias("_oa"), F.col("_p").alias("Product_A"),
+                       F.col("n").alias("n_a"), F.col("block").alias("_ba"), other.alias("_bb"))
+    b = blocked.select(F.col(order).alias("_ob"), F.col("_p").alias("Product_B"),
+                       F.col("n").alias("n_b"), other.alias("_ba2"), F.col("block").alias("_bb2"))
+    return a.join(b, (F.col("_oa") == F.col("_ob")) & (F.col("_ba") == F.col("_ba2"))
+                  & (F.col("_bb") == F.col("_bb2"))
+                  & (F.col("Product_A") < F.col("Product_B")), "inner") \
+        .select("Product_A", "n_a", "Product_B", "n_b")
+
 
-def co_purchase_counts(lines: DataFrame, order: str = "Order_ID",
-                       product: str = "Product_ID") -> DataFrame:
+def co_purchase_counts(lines: DataFrame, order: str = "Order_ID", product: str = "Product_ID",
+                       block_size: int = BLOCK_SIZE) -> DataFrame:
     """(Product_A, Product_B, Times_Bought_Together) for every ordered pair
     of different products that share an order."""
-    per_order = (lines.filter(F.col(order).isNotNull() & F.col(product).isNotNull())
-                 .groupBy(order, product).agg(F.count(F.lit(1)).alias("n")))
-    a = per_order.select(F.col(order), F.col(product).alias("Product_A"), F.col("n").alias("n_a"))
-    b = per_order.select(F.col(order).alias("_order_b"), F.col(product).alias("Product_B"),
-                         F.col("n").alias("n_b"))
-    pairs = a.join(b, (F.col(order) == F.col("_order_b"))
-                   & (F.col("Product_A") < F.col("Product_B")), "inner")
+    lines = lines.filter(F.col(order).isNotNull() & F.col(product).isNotNull())
+    per_order = (lines.groupBy(order, F.col(product).alias("_p"))
+                 .agg(F.count(F.lit(1)).alias("n")))
+    hot = _hot_orders(lines, order, block_size)
+    hot_rows = hot.count()
+    if hot_rows == 0:
+        pairs = _plain_pairs(per_order, order)
+    else:
+        # The hot list has at most (lines / block_size) entries; it is
+        # broadcast only when its counted size is under the bound.
+        if hot_rows * 24 <= HOT_LIST_BROADCAST_BYTES:
+            hot = F.broadcast(hot)
+        tagged = per_order.join(hot, order, "left")
+        pairs = _plain_pairs(tagged.filter(F.col("blocks").isNull()), order).unionByName(
+            _block_pairs(tagged.filter(F.col("blocks").isNotNull()), order))
     counted = pairs.groupBy("Product_A", "Product_B").agg(
         F.sum(F.col("n_a") * F.col("n_b")).alias("cnt"))
     mirrored = counted.select(

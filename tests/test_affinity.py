@@ -24,3 +24,16 @@ def test_pairs_match_brute_force_with_hot_order(spark):
     want = brute_force(lines)
     assert got == dict(want)
     assert all(got[(a, b)] == got[(b, a)] for a, b in got)
+    # the hot order split into blocks of 3 products gives the same counts
+    split = {(r.Product_A, r.Product_B): r.Times_Bought_Together
+             for r in co_purchase_counts(df, block_size=3).collect()}
+    assert split == dict(want)
+
+
+def test_block_split_spreads_a_hot_order(spark):
+    lines = [(1, p) for p in range(60)] + [(2, 1), (2, 2)]
+    df = spark.createDataFrame(lines, "Order_ID long, Product_ID long")
+    got = {(r.Product_A, r.Product_B): r.Times_Bought_Together
+           for r in co_purchase_counts(df, block_size=8).collect()}
+    assert len(got) == 60 * 59
+    assert got[(1, 2)] == 2 and got[(2, 1)] == 2 and got[(0, 59)] == 1
