@@ -28,3 +28,25 @@ def test_entry_and_rollup_total(spark):
     grand = [r for r in olap.q16(wh).collect() if r.Grouping_ID == 7]
     plain = wh.fact.agg({"Revenue": "sum"}).first()[0]
     assert len(grand) == 1 and abs(grand[0].Total_Revenue - float(plain)) < 1e-6
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+def test_star_table_contracts(spark):
+    from martflow.plans.warehouse import open_warehouse
+    wh = open_warehouse(spark, SF)
+    fact = dict(wh.fact.dtypes)
+    assert fact["Revenue"] == "decimal(12,2)" and fact["Quantity"] == "int"
+    assert fact["Time_ID"] == "int" and fact["Year"] == "int"
+    assert dict(wh.product.dtypes)["Price"] == "decimal(10,2)"
+    assert dict(wh.staged().dtypes)["Revenue"] == "decimal(10,2)"
+    t = dict(wh.time.dtypes)
+    assert t["Date"] == "date" and t["Weekday_Name"] == "string" and t["Is_Weekend"] == "int"
+    c = dict(wh.customer.dtypes)
+    assert c["Stay_In_Current_City_Years"] == "int" and c["Occupation"] == "int"
+    # keys are unique in every dimension and in the fact
+    for name, key in [("dim_customer", ["Customer_ID"]), ("dim_product", ["Product_ID"]),
+                      ("dim_store", ["Store_ID"]), ("dim_supplier", ["Supplier_ID"]),
+                      ("dim_time", ["Date"]),
+                      ("fact_sales", ["Order_ID", "Line_Number", "Product_ID", "Supplier_ID"])]:
+        df = wh.table(name)
+        assert df.count() == df.select(*key).distinct().count(), name
