@@ -26,6 +26,39 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str],
                                for c in payload if c not in keys])
 
 
+# A key set is "few" when (number of keys x row width) is under this.
+FEW_KEYS_BYTES = 64 * 1024 * 1024
+
+
+def first_per_key_few(df: DataFrame, keys: list[str], order_by: list[str],
+                      payload: list[str], limit_bytes: int = FEW_KEYS_BYTES) -> DataFrame:
+    """:func:`first_per_key` for a key set that is small next to the rows
+    (a dimension: stores, suppliers, customers of a batch).
+
+    Phase 1 is a hash aggregate (numeric / date buffers) that finds, per
+    key, the smallest value of the leading order column.  Its size is
+    counted; when it fits ``limit_bytes`` it is broadcast and phase 2 keeps
+    only the rows at that leading value (map-side), so the sort-based
+    tie-break runs on those few rows instead of sorting the whole batch.
+    The lexicographic minimum of (o0, o1, ...) is the minimum of (o1, ...)
+    among the rows whose o0 is minimal, so the result is exact.  NULL sorts
+    first, as in :func:`first_per_key`.  Over the limit, this is
+    :func:`first_per_key`.
+    """
+    from martflow.plans.star import row_bytes
+    lead = next(c for c in order_by if c not in keys)
+    phase1 = df.groupBy(*keys).agg(
+        F.min(lead).alias("_lead_min"),
+        F.max(F.col(lead).isNull().cast("int")).alias("_lead_null"))
+    n = phase1.count()
+    if n * row_bytes(phase1.schema) > limit_bytes:
+        return first_per_key(df, keys, order_by, payload)
+    at_lead = df.join(F.broadcast(phase1), keys, "inner").filter(
+        F.when(F.col("_lead_null") == 1, F.col(lead).isNull())
+        .otherwise(F.col(lead) == F.col("_lead_min")))
+    return first_per_key(at_lead.drop("_lead_min", "_lead_null"), keys, order_by, payload)
+
+
 def not_null(df: DataFrame, keys: list[str]) -> DataFrame:
     cond = None
     for k in keys:
@@ -55,7 +88,7 @@ def _null_safe_keys(df: DataFrame, keys: list[str], optional: list[str]) -> tupl
 
 def insert_ignore(batch: DataFrame, keys: list[str], order_by: list[str],
                   columns: list[str], target: DataFrame | None = None,
-                  required: list[str] | None = None) -> DataFrame:
+                  required: list[str] | None = None, few_keys: bool = False) -> DataFrame:
     """Rows of ``batch`` to append to ``target`` under INSERT IGNORE rules.
 
     Rows with a NULL in a ``required`` key part (default: every key part)
@@ -63,12 +96,14 @@ def insert_ignore(batch: DataFrame, keys: list[str], order_by: list[str],
     already in ``target`` are never touched (SCD type 0).  Optional key parts
     compare NULL-safely, so a replayed row with a NULL part is recognised.
     Only the key columns of the target are read (column pruning at the scan).
+    ``few_keys`` (dimensions) picks :func:`first_per_key_few`.
     """
     required = keys if required is None else required
     optional = [k for k in keys if k not in required]
     rows, group_keys = _null_safe_keys(not_null(batch, required), keys, optional)
     payload = [c for c in columns if c not in group_keys]
-    candidates = first_per_key(rows, group_keys, order_by, payload)
+    pick = first_per_key_few if few_keys else first_per_key
+    candidates = pick(rows, group_keys, order_by, payload)
     if target is None:
         return candidates.select(*columns)
     existing, _ = _null_safe_keys(not_null(target, required), keys, optional)

@@ -25,21 +25,25 @@ from martflow.schemas import (
 
 
 def dim_customer(staged: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    return insert_ignore(staged, ["Customer_ID"], ARRIVAL_ORDER, DIM_CUSTOMER_COLUMNS, target)
+    return insert_ignore(staged, ["Customer_ID"], ARRIVAL_ORDER, DIM_CUSTOMER_COLUMNS, target,
+                         few_keys=True)
 
 
 def dim_product(staged: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    return insert_ignore(staged, ["Product_ID"], ARRIVAL_ORDER, DIM_PRODUCT_COLUMNS, target)
+    return insert_ignore(staged, ["Product_ID"], ARRIVAL_ORDER, DIM_PRODUCT_COLUMNS, target,
+                         few_keys=True)
 
 
 def dim_store(staged: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """City_Category comes from the buyer, so a store has one candidate per
     buyer city; the earliest sale decides."""
-    return insert_ignore(staged, ["Store_ID"], ARRIVAL_ORDER, DIM_STORE_COLUMNS, target)
+    return insert_ignore(staged, ["Store_ID"], ARRIVAL_ORDER, DIM_STORE_COLUMNS, target,
+                         few_keys=True)
 
 
 def dim_supplier(staged: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    return insert_ignore(staged, ["Supplier_ID"], ARRIVAL_ORDER, DIM_SUPPLIER_COLUMNS, target)
+    return insert_ignore(staged, ["Supplier_ID"], ARRIVAL_ORDER, DIM_SUPPLIER_COLUMNS, target,
+                         few_keys=True)
 
 
 def dim_time(staged: DataFrame, target: DataFrame | None = None) -> DataFrame:

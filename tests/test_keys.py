@@ -45,3 +45,16 @@ def test_first_per_key_equals_brute_force(spark, rows):
         if k not in want or (o, v) < want[k]:
             want[k] = (o, v)
     assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 2)),
+                          st.integers(-3, 3), st.integers(0, 9)), min_size=1, max_size=40))
+def test_first_per_key_few_equals_first_per_key(spark, rows):
+    from martflow.operators.keys import first_per_key_few
+    df = spark.createDataFrame(rows, "k int, d int, o int, v int")
+    cols = ["d", "o", "v"]
+    a = sorted(tuple(r) for r in first_per_key(df, ["k"], ["d", "o"], cols).collect())
+    b = sorted(tuple(r) for r in first_per_key_few(df, ["k"], ["d", "o"], cols).collect())
+    c = sorted(tuple(r) for r in first_per_key_few(df, ["k"], ["d", "o"], cols, 0).collect())
+    assert a == b == c
