@@ -7,6 +7,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Round-robin an under-partitioned *scan* over the cluster's cores.
+
+    A feed that arrives as one file (or one parquet row group) would run
+    the whole enrich-and-stage pipeline in a single task.  When the scan
+    has fewer partitions than the cluster has cores it is redistributed
+    round-robin (no key, so no hot key can pile up); a large input already
+    has enough partitions and is left alone.  Call it on a plain scan only:
+    counting the partitions of a plan with exchanges would execute them."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 @dataclass
 class Feed:
     """Inputs of the enrich step.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from martflow.schemas import (
     CUSTOMER_COLUMNS, PRODUCT_COLUMNS, RAW_PRICE, SUPPLIER_COLUMNS, TRANSACTION_COLUMNS,
 )
-from martflow.sources.feed import Feed
+from martflow.sources.feed import Feed, spread
 
 # Account-balance upper bounds of the seven age bands.
 AGE_BANDS = [
@@ -45,8 +45,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Both sides are large, so this is a shuffle join on the order key; it
     runs once per load, never per query."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     return joined.select(

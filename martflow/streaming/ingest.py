@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martflow.plans.warehouse import Warehouse, load_feed
 from martflow.sources.csv_files import transaction_stream
-from martflow.sources.feed import Feed
+from martflow.sources.feed import Feed, spread
 
 
 def start_ingest(spark: SparkSession, wh: Warehouse, drop_dir: str, masters: Feed,
@@ -33,7 +33,7 @@ def start_ingest(spark: SparkSession, wh: Warehouse, drop_dir: str, masters: Fee
                                 product_type=product_type)
 
     def load_micro_batch(batch: DataFrame, epoch_id: int) -> None:
-        feed = Feed(transactions=batch, customers=masters.customers,
+        feed = Feed(transactions=spread(batch), customers=masters.customers,
                     products=masters.products, suppliers=masters.suppliers,
                     master_rows=masters.master_rows)
         load_feed(wh, feed, batch=f"epoch-{epoch_id:08d}", dedupe_masters=dedupe_masters)
