@@ -9,8 +9,6 @@ transaction ends up either staged or quarantined.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,6 +123,3 @@ def accepted(enriched: DataFrame) -> DataFrame:
 def quarantined(enriched: DataFrame) -> DataFrame:
     return enriched.filter(F.col(REASON).isNotNull())
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
