@@ -90,7 +90,7 @@ def stream_fact(spark: SparkSession, sf_dir: str, files: int | None = None,
     """Fact loaded by the streaming ingest from CSV deliveries of the feed
     (one micro-batch per delivered file)."""
     files = files or delivered_files(spark, sf_dir)
-    key = hashlib.sha1(f"{BUILD_VERSION}|{_fingerprint(sf_dir)}|{files}|"
+    key = hashlib.sha1(f"{BUILD_VERSION}|{_fingerprint(sf_dir, spark)}|{files}|"
                        f"{max_files_per_trigger}".encode()).hexdigest()[:16]
     root = f"{shared_dir(spark)}/martflow/stream-{key}"
     wh = Warehouse(spark, f"{root}/warehouse")
@@ -122,7 +122,7 @@ _csv_lock = threading.Lock()
 def csv_batch_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact loaded through the delivered-CSV batch path (S1-S3, renames,
     text parsing, master de-duplication by file row)."""
-    key = hashlib.sha1(f"{BUILD_VERSION}|{_fingerprint(sf_dir)}|csv".encode()).hexdigest()[:16]
+    key = hashlib.sha1(f"{BUILD_VERSION}|{_fingerprint(sf_dir, spark)}|csv".encode()).hexdigest()[:16]
     root = f"{shared_dir(spark)}/martflow/csv-{key}"
     wh = Warehouse(spark, f"{root}/warehouse")
     with _csv_lock:

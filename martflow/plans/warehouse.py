@@ -213,18 +213,29 @@ def load_feed(wh: Warehouse, feed: Feed, batch: str, dedupe_masters: bool = Fals
     return load_staged(wh, batch, staged_rows)
 
 
-def _fingerprint(sf_dir: str) -> str:
+def _fingerprint(sf_dir: str, spark: SparkSession | None = None) -> str:
+    """Identity of the input tables: sizes and times of local files; for a
+    remote store, the file names and exact row counts (one metadata-only
+    job), so changed data never reuses an old warehouse."""
     parts = [BUILD_VERSION, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
-    for name in TESTDATA_TABLES:
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+    if "://" not in sf_dir or sf_dir.startswith("file:"):
+        base = sf_dir[len("file:"):] if sf_dir.startswith("file:") else sf_dir
+        for name in TESTDATA_TABLES:
+            p = os.path.join(base, f"{name}.parquet")
+            if os.path.exists(p):
+                st = os.stat(p)
+                parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+    elif spark is not None:
+        frames = {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet")
+                  for n in TESTDATA_TABLES}
+        counts = count_rows(frames)
+        for n, df in frames.items():
+            parts.append(f"{n}:{counts[n]}:{','.join(sorted(df.inputFiles()))}")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 def warehouse_root(spark: SparkSession, sf_dir: str) -> str:
-    return f"{shared_dir(spark)}/martflow/warehouse-{_fingerprint(sf_dir)}"
+    return f"{shared_dir(spark)}/martflow/warehouse-{_fingerprint(sf_dir, spark)}"
 
 
 def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
