@@ -109,3 +109,48 @@ def insert_ignore(batch: DataFrame, keys: list[str], order_by: list[str],
     existing, _ = _null_safe_keys(not_null(target, required), keys, optional)
     existing = existing.select(*group_keys)
     return candidates.join(existing, group_keys, "left_anti").select(*columns)
+
+
+def insert_ignore_rare(batch: DataFrame, keys: list[str], order_by: list[str],
+                       columns: list[str], target: DataFrame | None = None,
+                       required: list[str] | None = None,
+                       limit_bytes: int = FEW_KEYS_BYTES) -> DataFrame:
+    """:func:`insert_ignore` for keys that are almost always unique (the
+    order lines of the fact).
+
+    Only the key columns are shuffled: a hash aggregate counts each key of
+    the batch (and, with a ``target``, marks keys already loaded).  The keys
+    that need attention - repeated in the batch or already present - are
+    checkpointed to the shared folder and counted; when they fit
+    ``limit_bytes`` they are broadcast, every other row passes straight
+    through (map-side), and only the repeated new keys go through the
+    first-row-per-key aggregate.  The result is the same as
+    :func:`insert_ignore`, which is also the fallback when that key set is
+    not small.
+    """
+    from martflow.plans.star import row_bytes
+    from martflow.session import shared_dir
+    required = keys if required is None else required
+    optional = [k for k in keys if k not in required]
+    rows, group_keys = _null_safe_keys(not_null(batch, required), keys, optional)
+    counts = rows.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_n"))
+    if target is not None:
+        existing, _ = _null_safe_keys(not_null(target, required), keys, optional)
+        existing = existing.select(*group_keys, F.lit(True).alias("_old"))
+        counts = counts.join(existing, group_keys, "left")
+        special = counts.filter((F.col("_n") > 1) | F.col("_old").isNotNull()).select(
+            *group_keys, F.col("_old").isNotNull().alias("_exists"))
+    else:
+        special = counts.filter(F.col("_n") > 1).select(*group_keys,
+                                                         F.lit(False).alias("_exists"))
+    shared_dir(batch.sparkSession)  # make sure the checkpoint folder is set
+    special = special.checkpoint(eager=True)
+    if special.count() * row_bytes(special.schema) > limit_bytes:
+        return insert_ignore(batch, keys, order_by, columns, target, required)
+    flagged = F.broadcast(special)
+    passthrough = rows.join(flagged, group_keys, "left_anti")
+    repeated = rows.join(flagged.filter(~F.col("_exists")).select(*group_keys), group_keys,
+                         "left_semi")
+    payload = [c for c in columns if c not in group_keys]
+    firsts = first_per_key(repeated, group_keys, order_by, payload)
+    return passthrough.select(*columns).unionByName(firsts.select(*columns))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.calendar import calendar_columns, time_key
-from martflow.operators.keys import insert_ignore
+from martflow.operators.keys import insert_ignore, insert_ignore_rare
 from martflow.schemas import (
     ARRIVAL_ORDER, DIM_CUSTOMER_COLUMNS, DIM_PRODUCT_COLUMNS, DIM_STORE_COLUMNS,
     DIM_SUPPLIER_COLUMNS, DIM_TIME_COLUMNS, FACT_COLUMNS, FACT_FOREIGN_KEYS, FACT_KEY,
@@ -72,8 +72,11 @@ def fact_rows(staged: DataFrame) -> DataFrame:
 
 
 def fact_sales(staged: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    return insert_ignore(fact_rows(staged), FACT_KEY, ARRIVAL_ORDER, FACT_COLUMNS, target,
-                         required=FACT_KEY_REQUIRED)
+    """Fact rows to append.  Order lines are almost never repeated, so only
+    the key columns are shuffled to find the few that are (or that are
+    already loaded); all other rows go straight to the write."""
+    return insert_ignore_rare(fact_rows(staged), FACT_KEY, ARRIVAL_ORDER, FACT_COLUMNS, target,
+                              required=FACT_KEY_REQUIRED)
 
 
 def foreign_key_check(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

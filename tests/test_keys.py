@@ -58,3 +58,23 @@ def test_first_per_key_few_equals_first_per_key(spark, rows):
     b = sorted(tuple(r) for r in first_per_key_few(df, ["k"], ["d", "o"], cols).collect())
     c = sorted(tuple(r) for r in first_per_key_few(df, ["k"], ["d", "o"], cols, 0).collect())
     assert a == b == c
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 6), st.one_of(st.none(), st.integers(0, 1)),
+                          st.integers(0, 3), st.integers(0, 9)), min_size=1, max_size=30),
+       st.lists(st.tuples(st.integers(0, 6), st.one_of(st.none(), st.integers(0, 1))),
+                max_size=4, unique=True))
+def test_insert_ignore_rare_equals_insert_ignore(spark, rows, existing):
+    from martflow.operators.keys import insert_ignore_rare
+    batch = spark.createDataFrame(rows, "k int, s int, o int, v int")
+    target = spark.createDataFrame([(k, s, 0, 0) for k, s in existing],
+                                   "k int, s int, o int, v int")
+    cols = ["k", "s", "o", "v"]
+    for tgt in (None, target):
+        a = sorted(map(repr, insert_ignore(batch, ["k", "s"], ["o"], cols, tgt, ["k"]).collect()))
+        b = sorted(map(repr, insert_ignore_rare(batch, ["k", "s"], ["o"], cols, tgt,
+                                                ["k"]).collect()))
+        c = sorted(map(repr, insert_ignore_rare(batch, ["k", "s"], ["o"], cols, tgt, ["k"],
+                                                limit_bytes=0).collect()))
+        assert a == b == c
