@@ -37,9 +37,13 @@ from martflow.sources.feed import Feed
 from martflow.sources.testdata import count_rows, testdata_feed
 
 # Bump when the load semantics change, so stale warehouses are not reused.
-BUILD_VERSION = "wh-7"
+BUILD_VERSION = "wh-8"
 TESTDATA_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")
 
+VERSIONED_TABLES = set(STAR_TABLES) | {"quarantine", "load_report"}
+# Target size of a compacted file, in rows.
+COMPACT_ROWS_PER_FILE = 4_000_000
+
 _lock = threading.Lock()
 _opened: dict[tuple[str, str], "Warehouse"] = {}
 
@@ -50,8 +54,17 @@ class Warehouse:
         self.root = root.rstrip("/")
         self._counts: dict[str, int] | None = None
         self._tables: dict[str, DataFrame] = {}
+        self._versions: dict[str, str | None] = {}
 
     def path(self, name: str) -> str:
+        """Folder of a table; a compacted table lives in a versioned folder
+        named by the ``_current/<table>`` pointer."""
+        if name in VERSIONED_TABLES:
+            if name not in self._versions:
+                text = read_marker(self.spark, f"{self.root}/_current/{name}")
+                self._versions[name] = text.strip() if text else None
+            if self._versions[name]:
+                return f"{self.root}/{name}__{self._versions[name]}"
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
@@ -80,6 +93,7 @@ class Warehouse:
     def invalidate(self) -> None:
         self._counts = None
         self._tables = {}
+        self._versions = {}
 
     def maybe_table(self, name: str) -> DataFrame | None:
         return self.table(name) if self.exists(name) else None
@@ -125,10 +139,14 @@ class Warehouse:
     def time(self) -> DataFrame:
         return self.table("dim_time")
 
-    def staged(self, batch: str | None = None) -> DataFrame:
+    def staged_all(self) -> DataFrame:
+        """Every staged and quarantined row of every batch (fresh listing)."""
         schema = self.schema("staging")
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        df = reader.parquet(self.path("staging"))
+        return reader.parquet(self.path("staging"))
+
+    def staged(self, batch: str | None = None) -> DataFrame:
+        df = self.staged_all()
         if batch is not None:
             df = df.filter(F.col("batch") == batch)
         return df.filter(F.col("Status") == "staged").select(*STAGED_COLUMNS)
@@ -137,21 +155,24 @@ class Warehouse:
         return self.table("quarantine")
 
 
-def stage(wh: Warehouse, enriched: DataFrame, batch: str) -> int:
+def stage(wh: Warehouse, enriched: DataFrame, batch: str) -> tuple[int, int]:
     """Write one batch of enriched rows, staged and quarantined, in one
-    pass (the status is a partition column).  Returns the number of staged
-    rows, counted during the write."""
+    pass (the status is a partition column).  Returns the numbers of staged
+    and quarantined rows, counted during the write."""
     status = F.when(F.col(REASON).isNull(), F.lit("staged")).otherwise(F.lit("quarantined"))
     out = enriched.withColumn("Status", status).withColumn("batch", F.lit(batch))
     obs = Observation(f"staging_{batch}")
-    out = out.observe(obs, F.sum(F.when(F.col(REASON).isNull(), 1).otherwise(0)).alias("staged"))
+    out = out.observe(obs, F.sum(F.when(F.col(REASON).isNull(), 1).otherwise(0)).alias("staged"),
+                      F.sum(F.when(F.col(REASON).isNull(), 0).otherwise(1)).alias("rejected"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch", "Status").parquet(wh.path("staging")))
     wh.record_schema("staging")
-    return int(obs.get.get("staged") or 0)
+    got = obs.get
+    return int(got.get("staged") or 0), int(got.get("rejected") or 0)
 
 
-def load_staged(wh: Warehouse, batch: str, staged_rows: int | None = None) -> LoadResult | None:
+def load_staged(wh: Warehouse, batch: str, staged_rows: int | None = None,
+                rejected_rows: int | None = None) -> LoadResult | None:
     """Staging -> star for one batch.
 
     Dimensions are written before the fact; every table is insert-ignore
@@ -177,10 +198,11 @@ def load_staged(wh: Warehouse, batch: str, staged_rows: int | None = None) -> Lo
         writer.mode("append").parquet(wh.path(name))
         wh.record_schema(name)
         result.observations[name] = obs
-    rejected = wh.table("staging").filter(
-        (F.col("batch") == batch) & (F.col("Status") == "quarantined")).drop("Status")
-    rejected.write.mode("append").parquet(wh.path("quarantine"))
-    wh.record_schema("quarantine")
+    if rejected_rows is None or rejected_rows > 0 or not wh.exists("quarantine"):
+        rejected = wh.staged_all().filter(
+            (F.col("batch") == batch) & (F.col("Status") == "quarantined")).drop("Status")
+        rejected.write.mode("append").parquet(wh.path("quarantine"))
+        wh.record_schema("quarantine")
     report = result.report(spark).withColumn("batch", F.lit(batch))
     report.write.mode("append").parquet(wh.path("load_report"))
     wh.record_schema("load_report")
@@ -190,6 +212,31 @@ def load_staged(wh: Warehouse, batch: str, staged_rows: int | None = None) -> Lo
     return result
 
 
+def compact(wh: Warehouse, name: str, rows_per_file: int = COMPACT_ROWS_PER_FILE) -> str:
+    """Rewrite a table into about ``rows / rows_per_file`` files in a new
+    version folder, then switch the table's pointer to it.
+
+    Appends of many small loads (stream micro-batches) leave many small
+    files; this folds them.  Readers of the old version keep working (its
+    files are left in place).  Run it between loads, not while a load is
+    writing the same table."""
+    import uuid
+    spark = wh.spark
+    df = wh.table(name)
+    rows = wh.row_count(name) or 0
+    files = max(1, -(-rows // rows_per_file))
+    version = f"c{uuid.uuid4().hex[:12]}"
+    target = f"{wh.root}/{name}__{version}"
+    out = df.repartition(files)  # round-robin: no key, so no hot key
+    if name == "fact_sales":
+        out.sortWithinPartitions("Year", "Time_ID").write.partitionBy("Year").parquet(target)
+    else:
+        out.write.parquet(target)
+    write_marker(spark, f"{wh.root}/_current/{name}", version)
+    wh.invalidate()
+    return target
+
+
 def reset_warehouse(wh: Warehouse) -> None:
     """S10 drop / recreate: every existing table is replaced by an empty table
     with the same schema (the contracts stay, the rows go)."""
@@ -209,8 +256,8 @@ def reset_warehouse(wh: Warehouse) -> None:
 def load_feed(wh: Warehouse, feed: Feed, batch: str, dedupe_masters: bool = False) -> LoadResult | None:
     """Enrich, stage and load one batch of transactions."""
     apply_runtime_defaults(wh.spark)
-    staged_rows = stage(wh, enrich(feed, dedupe_masters=dedupe_masters), batch)
-    return load_staged(wh, batch, staged_rows)
+    staged_rows, rejected_rows = stage(wh, enrich(feed, dedupe_masters=dedupe_masters), batch)
+    return load_staged(wh, batch, staged_rows, rejected_rows)
 
 
 def _fingerprint(sf_dir: str, spark: SparkSession | None = None) -> str:

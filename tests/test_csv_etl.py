@@ -195,3 +195,28 @@ def test_continuous_ingest_picks_up_new_files(spark, files, scratch):
         assert query.isActive
     finally:
         query.stop()
+
+
+def _files(path):
+    return sum(1 for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+
+def test_compact_after_many_micro_batches(spark, files):
+    from martflow.plans.warehouse import compact
+    wh = Warehouse(spark, f"{files['root']}/wh_many")
+    # many small loads, like a stream's micro-batches
+    for i, rows in enumerate([TXNS_A[:2], TXNS_A[2:], TXNS_B[:3], TXNS_B[3:], TXNS_A]):
+        write_csv(files["txn"], TXN_HEADER, rows)
+        _load(spark, files, batch=f"mb{i}", wh=wh)
+    before = {t: sorted(map(repr, wh.table(t).collect())) for t in ("dim_customer", "fact_sales")}
+    many = _files(wh.path("dim_customer"))
+    compact(wh, "dim_customer")
+    compact(wh, "fact_sales")
+    assert _files(wh.path("dim_customer")) == 1 < many
+    for t, rows in before.items():
+        assert sorted(map(repr, wh.table(t).collect())) == rows
+    # later loads append to the compacted version; a re-delivery adds nothing
+    write_csv(files["txn"], TXN_HEADER, TXNS_A + TXNS_B)
+    _load(spark, files, batch="later", wh=wh)
+    assert _fact(wh) == EXPECTED_FACT
+    assert Warehouse(spark, wh.root).fact.count() == len(EXPECTED_FACT)
