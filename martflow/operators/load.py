@@ -119,13 +119,17 @@ class LoadResult:
         return spark.sql(f"SELECT * FROM VALUES {values} AS report(table_name, rows_loaded)")
 
 
+# Loader of each star table: (staged rows, existing table or None) -> rows to append.
+LOADERS = {
+    "dim_customer": dim_customer,
+    "dim_product": dim_product,
+    "dim_store": dim_store,
+    "dim_supplier": dim_supplier,
+    "dim_time": dim_time,
+    "fact_sales": fact_sales,
+}
+
+
 def plan_load(staged: DataFrame, targets: dict[str, DataFrame | None]) -> dict[str, DataFrame]:
     """Rows to append to each star table for one staged batch."""
-    return {
-        "dim_customer": dim_customer(staged, targets.get("dim_customer")),
-        "dim_product": dim_product(staged, targets.get("dim_product")),
-        "dim_store": dim_store(staged, targets.get("dim_store")),
-        "dim_supplier": dim_supplier(staged, targets.get("dim_supplier")),
-        "dim_time": dim_time(staged, targets.get("dim_time")),
-        "fact_sales": fact_sales(staged, targets.get("fact_sales")),
-    }
+    return {name: loader(staged, targets.get(name)) for name, loader in LOADERS.items()}

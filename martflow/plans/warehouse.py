@@ -21,12 +21,13 @@ import hashlib
 import json
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.operators.enrich import REASON, enrich
-from martflow.operators.load import LoadResult, plan_load
+from martflow.operators.load import LOADERS, LoadResult
 from martflow.schemas import STAGED_COLUMNS, STAR_TABLES
 from pyspark.sql import types as T
 
@@ -37,7 +38,7 @@ from martflow.sources.feed import Feed
 from martflow.sources.testdata import count_rows, testdata_feed
 
 # Bump when the load semantics change, so stale warehouses are not reused.
-BUILD_VERSION = "wh-8"
+BUILD_VERSION = "wh-9"
 TESTDATA_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")
 
 VERSIONED_TABLES = set(STAR_TABLES) | {"quarantine", "load_report"}
@@ -185,19 +186,29 @@ def load_staged(wh: Warehouse, batch: str, staged_rows: int | None = None,
         return None
     wh.invalidate()
     targets = {t: wh.maybe_table(t) for t in STAR_TABLES}
-    appended = plan_load(staged, targets)
-    result = LoadResult(appended=appended)
-    for name in STAR_TABLES:  # dimensions first, the fact last
+    for t in STAR_TABLES:  # resolve table folders before the writers run
+        wh.path(t)
+
+    def append(name: str) -> tuple[str, DataFrame, Observation]:
+        rows = LOADERS[name](staged, targets.get(name))
         obs = Observation(f"{name}_{batch}")
-        df = appended[name].observe(obs, F.count(F.lit(1)).alias("rows"))
-        writer = df
+        df = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
         if name == "fact_sales":
             writer = df.sortWithinPartitions("Year", "Time_ID").write.partitionBy("Year")
         else:
             writer = df.write
         writer.mode("append").parquet(wh.path(name))
         wh.record_schema(name)
-        result.observations[name] = obs
+        return name, rows, obs
+
+    # The dimensions are independent: their (small) jobs run concurrently
+    # and share the executors.  The fact is written only after all of them.
+    dims = [t for t in STAR_TABLES if t != "fact_sales"]
+    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+        done = list(pool.map(append, dims))
+    done.append(append("fact_sales"))
+    result = LoadResult(appended={n: rows for n, rows, _ in done},
+                        observations={n: obs for n, _, obs in done})
     if rejected_rows is None or rejected_rows > 0 or not wh.exists("quarantine"):
         rejected = wh.staged_all().filter(
             (F.col("batch") == batch) & (F.col("Status") == "quarantined")).drop("Status")
