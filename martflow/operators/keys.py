@@ -119,7 +119,8 @@ def insert_ignore_rare(batch: DataFrame, keys: list[str], order_by: list[str],
     order lines of the fact).
 
     Only the key columns are shuffled: a hash aggregate counts each key of
-    the batch (and, with a ``target``, marks keys already loaded).  The keys
+    the batch, and with a ``target`` a semi join finds the batch keys that
+    are already loaded.  The keys
     that need attention - repeated in the batch or already present - are
     checkpointed to the shared folder and counted; when they fit
     ``limit_bytes`` they are broadcast, every other row passes straight
@@ -134,15 +135,17 @@ def insert_ignore_rare(batch: DataFrame, keys: list[str], order_by: list[str],
     optional = [k for k in keys if k not in required]
     rows, group_keys = _null_safe_keys(not_null(batch, required), keys, optional)
     counts = rows.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_n"))
+    special = counts.filter(F.col("_n") > 1).select(*group_keys, F.lit(False).alias("_exists"))
     if target is not None:
         existing, _ = _null_safe_keys(not_null(target, required), keys, optional)
-        existing = existing.select(*group_keys, F.lit(True).alias("_old"))
-        counts = counts.join(existing, group_keys, "left")
-        special = counts.filter((F.col("_n") > 1) | F.col("_old").isNotNull()).select(
-            *group_keys, F.col("_old").isNotNull().alias("_exists"))
-    else:
-        special = counts.filter(F.col("_n") > 1).select(*group_keys,
-                                                         F.lit(False).alias("_exists"))
+        # Loaded keys that occur in this batch.  As a semi join of the table
+        # with the batch keys, Spark's runtime bloom filter (built from the
+        # batch side) skips most of a large table before the shuffle.
+        present = (existing.select(*group_keys)
+                   .join(rows.select(*group_keys), group_keys, "left_semi")
+                   .select(*group_keys, F.lit(True).alias("_exists")))
+        special = special.unionByName(present).groupBy(*group_keys).agg(
+            F.max("_exists").alias("_exists"))
     shared_dir(batch.sparkSession)  # make sure the checkpoint folder is set
     special = special.checkpoint(eager=True)
     if special.count() * row_bytes(special.schema) > limit_bytes:

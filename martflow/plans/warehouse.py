@@ -38,7 +38,7 @@ from martflow.sources.feed import Feed
 from martflow.sources.testdata import count_rows, testdata_feed
 
 # Bump when the load semantics change, so stale warehouses are not reused.
-BUILD_VERSION = "wh-9"
+BUILD_VERSION = "wh-10"
 TESTDATA_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")
 
 VERSIONED_TABLES = set(STAR_TABLES) | {"quarantine", "load_report"}
