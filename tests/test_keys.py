@@ -78,3 +78,24 @@ def test_insert_ignore_rare_equals_insert_ignore(spark, rows, existing):
         c = sorted(map(repr, insert_ignore_rare(batch, ["k", "s"], ["o"], cols, tgt, ["k"],
                                                 limit_bytes=0).collect()))
         assert a == b == c
+
+
+def test_foreign_key_check_allows_null_and_names_missing_parent(spark):
+    from martflow.operators.load import foreign_key_split
+    fact = spark.createDataFrame(
+        [(1, 10, "P1", 1, 7, 20200101), (2, 11, "P1", None, 7, 20200101),
+         (3, 99, "P1", 1, 7, 20200101), (4, 10, "P9", 1, 7, 20200102)],
+        "Order_ID long, Customer_ID long, Product_ID string, Store_ID int, "
+        "Supplier_ID long, Time_ID int")
+    dims = {
+        "dim_customer": spark.createDataFrame([(10,), (11,)], "Customer_ID long"),
+        "dim_product": spark.createDataFrame([("P1",)], "Product_ID string"),
+        "dim_store": spark.createDataFrame([(1,)], "Store_ID int"),
+        "dim_supplier": spark.createDataFrame([(7,)], "Supplier_ID long"),
+        "dim_time": spark.createDataFrame([(20200101,)], "Time_ID int"),
+    }
+    ok, bad = foreign_key_split(fact, dims)
+    assert sorted(r.Order_ID for r in ok.collect()) == [1, 2]  # NULL store is allowed
+    reasons = {r.Order_ID: r.Reject_Reason for r in bad.collect()}
+    assert reasons == {3: "no dim_customer row for Customer_ID",
+                       4: "no dim_product row for Product_ID"}
