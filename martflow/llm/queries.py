@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .jaccard_join import op5_jaccard_join
 from .mixing import OP1_SQL, op1_mixing
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op5_jaccard_join": op5_jaccard_join,
 }
 
 ORACLE_SQL = {
