@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from .bpe import op8_bpe
 from .jaccard_join import op5_jaccard_join
 from .mixing import OP1_SQL, op1_mixing
 
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_jaccard_join": op5_jaccard_join,
+    "op8_bpe": op8_bpe,
 }
 
 ORACLE_SQL = {
