@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from .block_search import OP7_SQL, op7_block_search
 from .bpe import op8_bpe
 from .jaccard_join import op5_jaccard_join
 from .mixing import OP1_SQL, op1_mixing
+from .projection_dedup import op10_projection_dedup
 
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_jaccard_join": op5_jaccard_join,
+    "op7_block_search": op7_block_search,
     "op8_bpe": op8_bpe,
+    "op10_projection_dedup": op10_projection_dedup,
 }
 
 ORACLE_SQL = {
     "op1_mixing": OP1_SQL,
+    "op7_block_search": OP7_SQL,
 }
