@@ -7,10 +7,12 @@ from .bpe import op8_bpe
 from .jaccard_join import op5_jaccard_join
 from .mixing import OP1_SQL, op1_mixing
 from .projection_dedup import op10_projection_dedup
+from .quality_crf import op2_quality_crf
 from .secret_scan import op3_secret_scan
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_quality_crf": op2_quality_crf,
     "op3_secret_scan": op3_secret_scan,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_block_search": op7_block_search,
