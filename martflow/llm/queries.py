@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .block_search import OP7_SQL, op7_block_search
 from .bpe import op8_bpe
+from .html_extract import op9_html_extract
 from .jaccard_join import op5_jaccard_join
 from .mixing import OP1_SQL, op1_mixing
 from .projection_dedup import op10_projection_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op7_block_search": op7_block_search,
     "op8_bpe": op8_bpe,
+    "op9_html_extract": op9_html_extract,
     "op10_projection_dedup": op10_projection_dedup,
 }
 
