@@ -10,11 +10,13 @@ from .mixing import OP1_SQL, op1_mixing
 from .projection_dedup import op10_projection_dedup
 from .quality_crf import op2_quality_crf
 from .secret_scan import op3_secret_scan
+from .suffix_dedup import op4_suffix_dedup
 
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality_crf": op2_quality_crf,
     "op3_secret_scan": op3_secret_scan,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_block_search": op7_block_search,
     "op8_bpe": op8_bpe,
