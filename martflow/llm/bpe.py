@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -199,50 +200,48 @@ def _chunks(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
-def _encoder(spec, texts_out: bool):
+def _sha(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8")).hexdigest()
+
+
+# What can be returned of a document's encoding, from its ids and its decoded
+# tokens as texts.
+OUTPUTS = {
+    "ids": ("array<int>", pa.list_(pa.int32()), lambda ids, decoded: np.array(ids.split(), np.int32)),
+    "decoded": ("string", pa.string(), lambda ids, decoded: decoded),
+    "ids_sha256": ("string", pa.string(), lambda ids, decoded: _sha(ids)),
+    "decoded_sha256": ("string", pa.string(), lambda ids, decoded: _sha(decoded)),
+}
+
+
+def _encoder(spec, wanted: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = WordBpe(spec.value)
         for batch in batches:
-            ids, start = batch.column(0), 0
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for chunk in _chunks(texts):
-                rows = []
-                for coded, decoded in bpe.encode(chunk):
-                    n = coded.count(" ") + 1 if coded else 0
-                    if texts_out:
-                        rows.append((n, coded, decoded))
-                    else:
-                        rows.append((n, *(hashlib.sha256(x.encode("utf-8")).hexdigest() for x in (coded, decoded))))
-                n, coded, decoded = zip(*rows)
-                if texts_out:
-                    coded = [list(map(int, c.split())) for c in coded]
+            start = 0
+            for chunk in _chunks([t or "" for t in batch.column(1).to_pylist()]):
+                counts, out = [], {w: [] for w in wanted}
+                for ids, decoded in bpe.encode(chunk):
+                    counts.append(ids.count(" ") + 1 if ids else 0)
+                    for w in wanted:
+                        out[w].append(OUTPUTS[w][2](ids, decoded))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, len(rows)).cast(pa.int64()), pa.array(n, pa.int64()),
-                     pa.array(coded, pa.list_(pa.int32()) if texts_out else pa.string()),
-                     pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
-                start += len(rows)
+                    [batch.column(0).slice(start, len(chunk)).cast(pa.int64()), pa.array(counts, pa.int64())]
+                    + [pa.array(out[w], OUTPUTS[w][1]) for w in wanted], names=["doc_id", "n_tokens", *wanted])
+                start += len(chunk)
     return run
 
 
-def _spec(spark: SparkSession, path: str):
+def encode(docs: DataFrame, path: str, *wanted: str) -> DataFrame:
+    """``doc_id, n_tokens`` and the ``wanted`` columns (any of ``OUTPUTS``; all
+    if none is named) for ``docs (doc_id, text)``.  ``path`` names the
+    tokenizer's file on the driver."""
+    wanted = wanted or tuple(OUTPUTS)
     with open(path, encoding="utf-8") as fh:     # a vocabulary file, of fixed size
-        return spark.sparkContext.broadcast(fh.read())
-
-
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids array<int>, decoded`` for ``docs (doc_id, text)``;
-    ``path`` names the tokenizer's file on the driver."""
-    run = _encoder(_spec(docs.sparkSession, path), True)
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids array<int>, decoded string")
-
-
-def encode_digests(docs: DataFrame, path: str) -> DataFrame:
-    """As :func:`encode`, with SHA-256 digests of ids and decoded text."""
-    run = _encoder(_spec(docs.sparkSession, path), False)
+        spec = docs.sparkSession.sparkContext.broadcast(fh.read())
+    columns = ", ".join(f"{w} {OUTPUTS[w][0]}" for w in wanted)
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids string, decoded string"
-    ).withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})
+        _encoder(spec, wanted), f"doc_id long, n_tokens long, {columns}")
 
 
 def word_bpe_path() -> str:
@@ -251,4 +250,4 @@ def word_bpe_path() -> str:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_digests(read(spark, sf_dir, "documents"), word_bpe_path())
+    return encode(read(spark, sf_dir, "documents"), word_bpe_path(), "ids_sha256", "decoded_sha256")

@@ -34,7 +34,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, keep, read
@@ -45,6 +45,8 @@ SIMILARITY = Fraction(4, 5)
 MAX_FREQUENT = 1 << 18
 #: Counters a task keeps while it counts shingles.
 COUNTERS = 1 << 16
+#: Lists of shingles at least this frequent are never brought into one task.
+HOT_LIST = 10_000
 MAX_LIGHT = 16
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -146,70 +148,84 @@ def _first_pass(words: int, counters: int):
 
 
 def _signatures(words: int, t: Fraction, light: int, frequent):
-    """Rows ``sig, key, n, pos`` of each distinct set in the task: the prefix
-    elements of a set that may link with heavy ones, and a light set's subsets."""
+    """Rows ``sig, doc, n, pos, hot`` of each distinct set in the task: the
+    prefix elements of a set that may link with heavy ones, and the subsets of
+    a light set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, rank = frequent.value
         done: set[int] = set()
         for batch in batches:
-            parts, keys, sizes = [], [], []
-            for _, text in _texts(batch):
+            parts, docs, sizes = [], [], []
+            for doc_id, text in _texts(batch):
                 s = shingle_set(text, words)
-                n, key = len(s), set_key(s) if len(s) else 0
-                if not n or key in done:
+                n, key = len(s), set_key(s)
+                if not n or doc_id is None or key in done:
                     continue
                 done.add(key)
-                sig, pos = [], []
+                sig, pos, hot = [], [], []
                 if int(n / t) > light:
                     p = prefix_length(n, t)
-                    where = np.searchsorted(common, s)
-                    where[where == len(common)] = 0
-                    weight = np.where(common[where] == s, rank[where], 0) if len(common) else np.zeros(n, np.int64)
-                    head = s[np.lexsort((s, weight))[:p]]
-                    sig.append(head)
-                    pos.append(np.arange(len(head)))
+                    weight = np.zeros(n, np.int64)
+                    if len(common):
+                        where = np.minimum(np.searchsorted(common, s), len(common) - 1)
+                        weight = np.where(common[where] == s, rank[where], 0)
+                    order = np.lexsort((s, weight))[:p]
+                    sig.append(s[order])
+                    pos.append(np.arange(p))
+                    hot.append(weight[order] >= HOT_LIST)
                 if n <= light:
                     subsets = [xxhash.xxh3_64_intdigest(np.array(c).tobytes(), o)
                                for o in subset_sizes(n, light, t) for c in combinations(s.tolist(), o)]
                     sig.append(np.array(subsets, np.uint64).view(np.int64))
                     pos.append(np.zeros(len(subsets), np.int64))
-                sig = np.concatenate(sig)
-                parts.append((sig, np.concatenate(pos)))
-                keys.append(np.full(len(sig), key))
-                sizes.append(np.full(len(sig), n))
+                    hot.append(np.zeros(len(subsets), bool))
+                parts.append([np.concatenate(x) for x in (sig, pos, hot)])
+                docs.append(np.full(len(parts[-1][0]), doc_id))
+                sizes.append(np.full(len(parts[-1][0]), n))
             if parts:
+                sig, pos, hot = (np.concatenate(x) for x in zip(*parts))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([p[0] for p in parts]), pa.int64()),
-                     pa.array(np.concatenate(keys), pa.int64()),
-                     pa.array(np.concatenate(sizes), pa.int32()),
-                     pa.array(np.concatenate([p[1] for p in parts]), pa.int32())],
-                    names=["sig", "key", "n", "pos"])
+                    [pa.array(sig, pa.int64()), pa.array(np.concatenate(docs), pa.int64()),
+                     pa.array(np.concatenate(sizes), pa.int32()), pa.array(pos, pa.int32()), pa.array(hot)],
+                    names=["sig", "doc", "n", "pos", "hot"])
     return run
 
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = shingles = None
         for batch in batches:
-            arrays = [shingle_set(text, words) for _, text in _texts(batch)]
+            out = []
+            for _, own in _texts(batch):
+                if shingles is None or own != text:     # a text stands once for each of its pairs
+                    text, shingles = own, shingle_set(own, words)
+                out.append(shingles.tolist())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_key(s) for s in arrays], pa.int64()),
-                 pa.array([s.tolist() for s in arrays], pa.list_(pa.int64()))], names=["key", "shingles"])
+                [batch.column(2), batch.column(3), pa.array(out, pa.list_(pa.int64()))],
+                names=["pair", "side", "shingles"])
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, t: Fraction) -> DataFrame:
-    """The pairs ``(a, b)`` of set keys that link, checked on the whole sets."""
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    ids = wanted.join(classes, "key").select(F.col("rep").alias("_id"))
-    texts = docs.join(ids, docs["doc_id"] == F.col("_id"), "left_semi").select("doc_id", "text")
-    sets = keep(texts.mapInArrow(_sets(words), "key long, shingles array<long>").dropDuplicates(["key"]), "sets")
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-    shared = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", shared.alias("both"), (F.size("sa") + F.size("sb")).alias("sum"))
-    return keep(joined.where(F.col("both") * (t.numerator + t.denominator) >= F.col("sum") * t.numerator)
-                .select("a", "b"), "links")
+def _verified(pairs: DataFrame, docs: DataFrame, words: int, t: Fraction) -> DataFrame:
+    """The pairs ``(a, b)`` of documents that link, checked on the whole sets:
+    each document's set goes once to each of its pairs."""
+    numbered = keep(pairs.withColumn("pair", F.monotonically_increasing_id()), "pairs")
+    sides = keep(numbered.select(F.col("a").alias("_id"), "pair", F.lit(0).alias("side")).unionByName(
+        numbered.select(F.col("b").alias("_id"), "pair", F.lit(1).alias("side"))), "sides")
+    texts = docs.join(sides, docs["doc_id"] == F.col("_id")).select("doc_id", "text", "pair", "side")
+    sets = texts.mapInArrow(_sets(words), "pair long, side int, shingles array<long>")
+    both = sets.groupBy("pair").agg(F.collect_list(F.struct("side", "shingles")).alias("s"))
+    # one row each, as ids are unique; where one is repeated, any of its texts may link
+    left = F.filter("s", lambda r: r["side"] == 0)
+    right = F.filter("s", lambda r: r["side"] == 1)
+
+    def links(x: Column, y: Column) -> Column:
+        shared = F.size(F.array_intersect(x["shingles"], y["shingles"]))
+        total = F.size(x["shingles"]) + F.size(y["shingles"])
+        return shared * (t.numerator + t.denominator) >= total * t.numerator
+
+    linked = both.where(F.exists(left, lambda x: F.exists(right, lambda y: links(x, y)))).select("pair")
+    return keep(numbered.join(keep(linked, "linked"), "pair").select("a", "b"), "links")
 
 
 def _possible(t: Fraction):
@@ -240,40 +256,52 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = SIMILA
     light = light_boundary(length, t) if light is None else light
     frequent = spark.sparkContext.broadcast((common, rank))
 
-    rows = keep(docs.mapInArrow(_signatures(words, t, light, frequent), "sig long, key long, n int, pos int"), "lists")
-    lists = (rows.groupBy("sig").agg(F.min(F.struct("key", "n", "pos")).alias("hub"), F.max("key").alias("last"))
-             .where("hub.key <> last").select("sig", "hub"))
-    members = keep(rows.join(lists, "sig"), "members")   # lists of two sets at least
-
-    star = members.where("key <> hub.key").select(
-        F.struct("key", "n", "pos").alias("x"), F.col("hub").alias("y"))
-    pairs = star.where(_possible(t)).select(F.col("y.key").alias("a"), F.col("x.key").alias("b")).distinct()
-    links = _verified(pairs, docs, classes, words, t)
+    rows = keep(docs.mapInArrow(_signatures(words, t, light, frequent),
+                                "sig long, doc long, n int, pos int, hot boolean"), "lists")
+    # lists with a single member drop out here; those of frequent shingles stay as they are
+    inside = Window.partitionBy("sig").orderBy("doc")
+    cold = (rows.where(~F.col("hot")).withColumn("near", F.coalesce(F.lag("doc").over(inside), F.lead("doc").over(inside)))
+            .where("near is not null").drop("near"))
+    copies = sized.join(classes, "key").where("doc_id <> rep").select(F.col("doc_id").alias("doc"), "rep").distinct()
+    members = keep(cold.unionByName(rows.where("hot")).join(keep(copies, "copies"), "doc", "left")
+                   .select("sig", F.coalesce("rep", "doc").alias("doc"), "n", "pos")
+                   .dropDuplicates(["sig", "doc"]), "members")
+
+    lists = (members.groupBy("sig").agg(F.min(F.struct("doc", "n", "pos")).alias("hub"), F.max("doc").alias("last"))
+             .where("hub.doc <> last").select("sig", "hub"))
+    star = members.join(lists, "sig").where("doc <> hub.doc").select(
+        F.struct("doc", "n", "pos").alias("x"), F.col("hub").alias("y"))
+    pairs = keep(star.where(_possible(t)).select(F.col("y.doc").alias("a"), F.col("x.doc").alias("b")).distinct(), "star")
+    links = _verified(pairs, docs, words, t)
     group = components(links)
 
     # lists that still join several components: all their pairs across them
-    placed = members.select("sig", "key", "n", "pos").join(
-        group.select(F.col("node").alias("key"), "component"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key"))
+    placed = members.join(group.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
+        "component", F.coalesce("component", "doc"))
     mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
                   .where("lo <> hi").select("sig")
-    open_lists = keep(placed.join(mixed, "sig", "left_semi").distinct(), "open")
+    open_lists = keep(placed.join(mixed, "sig", "left_semi"), "open")
     x, y = open_lists.alias("x"), open_lists.alias("y")
     rest = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")))
             .where(_possible(t))
-            .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
+            .select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct())
     rest = keep(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
-    links = links.unionByName(_verified(rest, docs, classes, words, t))
+    links = links.unionByName(_verified(rest, docs, words, t))
 
-    by_id = (links.join(classes.withColumnsRenamed({"key": "a", "rep": "ra"}), "a")
-             .join(classes.withColumnsRenamed({"key": "b", "rep": "rb"}), "b")
-             .select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-    label = components(by_id).select(F.col("node").alias("rep"), "component")
+    label = components(links).withColumnRenamed("node", "rep")
     named = classes.join(label, "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
     return (sized.join(named, (sized["key"] == named["key"]) & (F.col("n_shingles") > 0), "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
 
 
+def one_of_each_group(docs: DataFrame, words: int = WORDS, t: Fraction = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` but those linked, directly or not, to a document
+    with a smaller id.  Rows that repeat an id are the same document."""
+    found = jaccard_components(docs, words, t)
+    gone = keep(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "gone")
+    return docs.join(gone, docs["doc_id"] == F.col("_id"), "left_anti")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))

@@ -112,8 +112,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
 def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mixed corpus itself: every row of ``docs`` as often as it is taken.
-    Rows are matched by ``doc_id``, which must be unique here."""
-    often = mixed.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies"))
+    Rows are matched by ``doc_id``; those that repeat an id go together."""
+    often = (mixed.where("copies > 0").groupBy(F.col("doc_id").alias("_id"))
+             .agg(F.max("copies").alias("_copies")))
     return (docs.join(often, F.col("doc_id").eqNullSafe(F.col("_id")))
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))
 

@@ -3,15 +3,14 @@
 Each pass gives a vector the signs of random projections as a bit string,
 sorts all vectors by it and compares every vector with its next ``WINDOW``
 neighbours in that order; pairs verified by cosine in double precision are
-united over the passes.  Close vectors share long bit prefixes, so they meet
+united over the passes (of a block's pairs, those that connect its rows).  Close vectors share long bit prefixes, so they meet
 in some pass: the number of passes follows from the number of vectors and the
 recall wanted.
 
 The order is cut into blocks of bounded size that overlap by one window, so no
-task holds more than a block.  Equal vectors are one class with a count.  In a
-group with more members than a window can hold, windows cannot see all pairs:
-there the links are counted by tiles over the group's own members (counts only;
-no pair leaves a tile).
+task holds more than a block.  Equal vectors are one class with a count.  A
+window cannot see all pairs of a large group, so links are counted afterwards
+inside the components, by tiles of bounded size; only counts leave a tile.
 
 Vectors that are null, zero or hold null or non-finite components link with
 nothing and form their own component; rows with a null id are kept unlinked;
@@ -36,6 +35,7 @@ COSINE = 0.95
 WINDOW = 64
 BLOCK = 4096
 BITS = 64
+CHUNK = 1024
 MISSED = 1e-3
 
 
@@ -77,45 +77,65 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _windows(window: int, cosine: float):
+    """Verified pairs of a block, as many as it takes to connect its linked rows."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("rank")
         ids, own = table["vec_id"].to_numpy(), table["own"].to_numpy()
         group = table["dim"].to_numpy().astype(np.int64) * 100_000 + table["pass"].to_numpy()
         lists = table["v"].combine_chunks()
-        left, right = [], []
+        left: list[int] = []
+        right: list[int] = []
         for g in np.unique(group).tolist():
             at = np.nonzero(group == g)[0]
             x, vid, first = _unit(matrix(lists.take(pa.array(at)))), ids[at], own[at]
+            root = np.arange(len(at))
             for d in range(1, min(window, len(at) - 1) + 1):
                 hit = np.nonzero((dots(x[:-d], x[d:]) >= cosine) & first[:-d])[0]
-                left.append(np.minimum(vid[hit], vid[hit + d]))
-                right.append(np.maximum(vid[hit], vid[hit + d]))
-        a, b = (np.concatenate(s) if s else np.empty(0, np.int64) for s in (left, right))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                for i in hit[root[hit] != root[hit + d]].tolist():
+                    a, b = root[i], root[i + d]
+                    while a != root[a]:
+                        a = root[a]
+                    while b != root[b]:
+                        b = root[b]
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        left.append(vid[i])
+                        right.append(vid[i + d])
+                while (root[root] != root).any():
+                    root = root[root]
+        a, b = np.array(left, np.int64), np.array(right, np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
     return run
 
 
 def _counts(cosine: float):
-    """Links between two chunks of a group, as the weight each member gains."""
+    """Links inside one tile, as the copies that each member gains.  A tile
+    holds two chunks of one large component, or many small ones whole."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         i, j = int(key[1].as_py()), int(key[2].as_py())
-        chunk, ids = table["chunk"].to_numpy(), table["vec_id"].to_numpy()
-        x, weight = _unit(matrix(table["v"])), table["copies"].to_numpy().astype(np.float64)
-        a, b = np.nonzero(chunk == i)[0], np.nonzero(chunk == j)[0]
+        chunk, ids, group = (table[c].to_numpy() for c in ("chunk", "vec_id", "component"))
         gained = np.zeros(len(ids))
-        for s in range(0, len(a), 512):
-            rows = a[s:s + 512]
-            near = x[rows] @ x[b].T
-            link = near >= cosine
-            # decide pairs at the threshold by the one exact product used everywhere
-            r, c = np.nonzero(np.abs(near - cosine) < 1e-9)
-            link[r, c] = dots(x[rows[r]], x[b[c]]) >= cosine
-            if i == j:
-                link[ids[rows][:, None] == ids[b][None, :]] = False
-            gained[rows] += link @ weight[b]
-            if i != j:
-                gained[b] += weight[rows] @ link
-        return pa.table({"vec_id": pa.array(ids, pa.int64()), "gained": pa.array(gained.astype(np.int64), pa.int64())})
+        weight = table["copies"].to_numpy().astype(np.float64)
+        dims = np.asarray(table["v"].combine_chunks().value_lengths())
+        for dim in np.unique(dims).tolist():
+            at = np.nonzero(dims == dim)[0]
+            x = np.zeros((len(ids), dim))
+            x[at] = _unit(matrix(table["v"].combine_chunks().take(pa.array(at))))
+            a, b = at[chunk[at] == i], at[chunk[at] == j]
+            for s in range(0, len(a), 512):
+                rows = a[s:s + 512]
+                near = x[rows] @ x[b].T
+                link = near >= cosine
+                # pairs at the threshold are decided by the product used everywhere
+                r, c = np.nonzero(np.abs(near - cosine) < 1e-9)
+                link[r, c] = dots(x[rows[r]], x[b[c]]) >= cosine
+                link &= group[rows][:, None] == group[b][None, :]
+                if i == j:
+                    link[ids[rows][:, None] == ids[b][None, :]] = False
+                gained[rows] += link @ weight[b]
+                if i != j:
+                    gained[b] += weight[rows] @ link
+        return pa.table({"vec_id": ids, "gained": gained.astype(np.int64)})
     return run
 
 
@@ -141,28 +161,27 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, window: int = WI
                  .applyInArrow(_windows(window, cosine), "a long, b long").distinct(), "pairs")
     label = keep(components(pairs), "components")
 
-    copies = reps.select("vec_id", "copies")
-    ends = pairs.select(F.col("a").alias("vec_id"), F.col("b").alias("other")).unionByName(
-        pairs.select(F.col("b").alias("vec_id"), F.col("a").alias("other")))
-    direct = (ends.join(copies.withColumnRenamed("vec_id", "other"), "other")
-              .groupBy("vec_id").agg(F.sum("copies").alias("seen")))
-    # groups beyond a window: chunks of their members, counted tile by tile
-    large = label.groupBy("component").agg(F.count("*").alias("members")).where(F.col("members") > window)
-    chunked = (label.join(large, "component").join(reps, F.col("node") == F.col("vec_id"))
-               .withColumn("chunks", F.ceil(F.col("members") / 1024))
-               .withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks"))))
-    tiles = (chunked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-             .withColumn("lo", F.least("chunk", "other")).withColumn("hi", F.greatest("chunk", "other"))
-             .select("component", "lo", "hi", "chunk", "vec_id", "v", "copies"))
-    counted = (tiles.groupBy("component", "lo", "hi").applyInArrow(_counts(cosine), "vec_id long, gained long")
+    # all links lie inside components: count them there, tile by tile
+    members = keep(label.join(reps, F.col("node") == F.col("vec_id")).drop("node"), "members")
+    sizes = members.groupBy("component").agg(F.count("*").alias("members"))
+    bins = max(1, -(-members.count() // CHUNK))
+    sized = members.join(sizes, "component").withColumn("chunks", F.ceil(F.col("members") / CHUNK))
+    whole = sized.where("chunks = 1").select(
+        F.pmod(F.xxhash64("component"), F.lit(bins)).alias("tile"), F.lit(0).cast("long").alias("lo"),
+        F.lit(0).cast("long").alias("hi"), F.lit(0).cast("long").alias("chunk"), "component", "vec_id", "v", "copies")
+    split = sized.where("chunks > 1").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    split = split.select((-1 - F.col("component")).alias("tile"), F.least("chunk", "other").alias("lo"),
+                         F.greatest("chunk", "other").alias("hi"), "chunk", "component", "vec_id", "v", "copies")
+    counted = (whole.unionByName(split).groupBy("tile", "lo", "hi")
+               .applyInArrow(_counts(cosine), "vec_id long, gained long")
                .groupBy("vec_id").agg(F.sum("gained").alias("counted")))
 
     info = (classes.select("h", "v", "rep", F.col("copies").alias("same"))
             .join(label, F.col("rep") == F.col("node"), "left")
-            .join(direct.withColumnRenamed("vec_id", "rep"), "rep", "left")
             .join(counted.withColumnRenamed("vec_id", "rep"), "rep", "left")
             .select("h", "v", F.coalesce("component", "rep").alias("component"),
-                    (F.col("same") - 1 + F.coalesce("counted", "seen", F.lit(0))).alias("links")))
+                    (F.col("same") - 1 + F.coalesce("counted", F.lit(0))).alias("links")))
     found = keep(rows.join(info, ["h", "v"]).groupBy("vec_id").agg(
         F.max("links").alias("links"), F.min("component").alias("component")), "found")
     every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))

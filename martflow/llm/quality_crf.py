@@ -212,6 +212,16 @@ def _scorer(field: dict[str, np.ndarray], step: int = 512):
     return run
 
 
+def _good_rows(field: dict[str, np.ndarray], text_at: int, threshold: float, step: int = 512):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), step):
+                part = batch.slice(start, step)
+                scores = document_scores(part.column(text_at).to_pylist(), field)
+                yield part.filter(pa.array(scores >= threshold))
+    return run
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
@@ -238,5 +248,12 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score at least
+    ``threshold``.  Rows are scored where they are; nothing is shuffled."""
+    run = _good_rows(fitted(docs, labels), docs.columns.index("text"), threshold)
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

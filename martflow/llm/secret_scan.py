@@ -167,11 +167,11 @@ def thresholds(found: DataFrame) -> dict[int, int]:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``doc_id, spans array<struct<start, kind, end>>`` with kinds as numbers
-    into ``KINDS``, by start and kind."""
+    """``doc_id, text_hash, spans array<struct<start, kind, end>>`` with kinds as
+    numbers into ``KINDS``, by start and kind."""
     text = F.coalesce(F.col("text"), F.lit(""))
     parts = docs.select("doc_id", text.alias("text")).withColumn("base", F.concat(*base_spans(F.col("text"))))
-    found = keep(parts.select("doc_id", F.transform("base", lambda b: F.struct(
+    found = keep(parts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.transform("base", lambda b: F.struct(
         b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end"))).alias("base"),
         candidates(F.col("text"), F.col("base")).alias("tests")), "scanned")
     limits = thresholds(found)
@@ -184,7 +184,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     added = F.transform(F.filter("tests", random), lambda t: F.struct(
         t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
-    return found.select("doc_id", F.array_sort(F.concat("base", added)).alias("spans"))
+    return found.select("doc_id", "text_hash", F.array_sort(F.concat("base", added)).alias("spans"))
 
 
 def _joined(spans: Column) -> Column:
@@ -195,8 +195,10 @@ def _joined(spans: Column) -> Column:
 
 def mask(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by ``[SECRET]``; ``spans`` as from
-    :func:`scan`.  Rows are matched by ``doc_id``, which must be unique here."""
-    own = spans.where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
+    :func:`scan`."""
+    own = keep(spans.where(F.size("spans") > 0).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
+        .dropDuplicates(["_id", "_hash"]), "secrets")
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.col("text")
 
@@ -209,7 +211,8 @@ def mask(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
     masked = F.aggregate(F.col("_spans"), begin, step,
                          lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return (docs.join(own, F.col("doc_id") == F.col("_id"), "left")
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    return (docs.join(own, same, "left")
             .withColumn("text", F.when(F.col("_spans").isNotNull(), masked).otherwise(text)).select(*docs.columns))
 
 
