@@ -15,7 +15,7 @@ from martflow.llm.common import keep, read
 from martflow.llm.jaccard_join import one_of_each_group
 from martflow.llm.mixing import mix, repeat_documents
 from martflow.llm.quality_crf import keep_good
-from martflow.llm.secret_scan import mask, scan
+from martflow.llm.secret_scan import mask
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; ``n_chars`` follows the text."""
-    masked = mask(docs, scan(docs))
-    return masked.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+    return mask(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

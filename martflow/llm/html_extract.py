@@ -44,8 +44,7 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img in
                    "span strike strong sub sup time tt u var wbr br nobr".split())
 CELLS = frozenset(("td", "th", "br"))
 CONTAINERS = frozenset("div section ul ol dl table figure details center header".split())
-CLOSES_ITSELF = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
-                 "th": ("tr", "table"), "option": ("select",)}
+CLOSES_ITSELF = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",)}
 # Words in a class, id or role that mark what is not article.
 MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies "
                   "consent gdpr notice notices alert popup modal overlay menu nav navbar navigation breadcrumb "
@@ -146,12 +145,14 @@ def parse(html: str | None) -> tuple[list[tuple[str, list[int]]], int]:
         tag = m[3].lower()
         if m[2]:
             if tag in INLINE:
-                i = depth_of(tag, ("p", "div", "li", "td", "article", "section"))
+                i = depth_of(tag, ("p", "div", "li", "tr", "article", "section"))
                 if i:
                     del stack[i]
                 continue
-            if tag in CELLS and not stack[-1].dropped:
-                buffer.append(" ")
+            if tag in CELLS:
+                if not stack[-1].dropped:
+                    buffer.append(" ")
+                continue
             i = depth_of(tag)
             if i:
                 close(i)
@@ -168,7 +169,7 @@ def parse(html: str | None) -> tuple[list[tuple[str, list[int]]], int]:
                 buffer.append(" ")
             continue
         if tag not in INLINE:
-            i = depth_of("p", ("td", "th", "table", "article", "body"))
+            i = depth_of("p", ("table", "article", "body"))
             if i:
                 close(i)
             if tag in CLOSES_ITSELF:
@@ -179,11 +180,11 @@ def parse(html: str | None) -> tuple[list[tuple[str, list[int]]], int]:
                 i = depth_of("head")
                 if i:
                     close(i)
-            if tag in CELLS:
+            if tag in CELLS:        # cells of a row stay in one block
                 if not stack[-1].dropped:
                     buffer.append(" ")
-            else:
-                flush()
+                continue
+            flush()
         if tag in VOID:
             continue
         parent = stack[-1]

@@ -115,8 +115,9 @@ def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     Rows are matched by ``doc_id``; those that repeat an id go together."""
     often = (mixed.where("copies > 0").groupBy(F.col("doc_id").alias("_id"))
              .agg(F.max("copies").alias("_copies")))
-    return (docs.join(often, F.col("doc_id").eqNullSafe(F.col("_id")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))
+    return (docs.join(often, docs["doc_id"].eqNullSafe(often["_id"]))
+            .select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), often["_copies"])).alias("_copy"))
+            .drop("_copy"))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -233,7 +233,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
               .where("quality = _top"))
     sample = (usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS)
               .select(F.col("doc_id").alias("_id"), "quality"))
-    rows = (docs.join(F.broadcast(sample), docs["doc_id"] == F.col("_id"))
+    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
             .select("_id", F.col("quality").cast("int").alias("quality"),
                     F.substring_index("text", "\n", TRAIN_LINES).alias("text")).collect())
     rows.sort(key=lambda r: (r["_id"], r["text"] or ""))

@@ -36,7 +36,7 @@ CANDIDATE = r"[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+"
 LEAST_LENGTH = 16
 #: A random string needs this many bits to count as a secret.
 LEAST_BITS = 80.0
-FDR = 0.05
+FDR = 0.01
 #: Resolution of the ranking of p-values, in powers of ten.
 BIN = 0.01
 
@@ -166,25 +166,36 @@ def thresholds(found: DataFrame) -> dict[int, int]:
     return out
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, spans array<struct<start, kind, end>>`` with kinds as
-    numbers into ``KINDS``, by start and kind."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    parts = docs.select("doc_id", text.alias("text")).withColumn("base", F.concat(*base_spans(F.col("text"))))
-    found = keep(parts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.transform("base", lambda b: F.struct(
-        b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end"))).alias("base"),
-        candidates(F.col("text"), F.col("base")).alias("tests")), "scanned")
-    limits = thresholds(found)
-
-    def random(t: Column) -> Column:
-        rejected = F.lit(False)
-        for cls, b in limits.items():
-            rejected = rejected | ((t["class"] == cls) & (t["bin"] >= b))
-        return ~rejected & (t["bits"] >= LEAST_BITS)
-
-    added = F.transform(F.filter("tests", random), lambda t: F.struct(
+def _random(t: Column, limits: dict[int, int]) -> Column:
+    """Whether the battery leaves a candidate standing as a random string."""
+    rejected = F.lit(False)
+    for cls, b in limits.items():
+        rejected = rejected | ((t["class"] == cls) & (t["bin"] >= b))
+    return ~rejected & (t["bits"] >= LEAST_BITS)
+
+
+def _bare(spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+
+
+def _all_spans(base: Column, tests: Column, limits: dict[int, int]) -> Column:
+    added = F.transform(F.filter(tests, lambda t: _random(t, limits)), lambda t: F.struct(
         t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
-    return found.select("doc_id", "text_hash", F.array_sort(F.concat("base", added)).alias("spans"))
+    return F.array_sort(F.concat(_bare(base), added))
+
+
+def _scanned(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, base, tests`` of each row, from its text alone."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return (docs.select("doc_id", text.alias("text")).withColumn("base", F.concat(*base_spans(F.col("text"))))
+            .withColumn("tests", candidates(F.col("text"), F.col("base"))))
+
+
+def scan(docs: DataFrame) -> DataFrame:
+    """``doc_id, spans array<struct<start, kind, end>>`` with kinds as numbers
+    into ``KINDS``, by start and kind."""
+    found = keep(_scanned(docs).select("doc_id", _bare(F.col("base")).alias("base"), "tests"), "scanned")
+    return found.select("doc_id", _all_spans(F.col("base"), F.col("tests"), thresholds(found)).alias("spans"))
 
 
 def _joined(spans: Column) -> Column:
@@ -193,27 +204,27 @@ def _joined(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def mask(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with every span replaced by ``[SECRET]``; ``spans`` as from
-    :func:`scan`."""
-    own = keep(spans.where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
-        .dropDuplicates(["_id", "_hash"]), "secrets")
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    text = F.col("text")
+def mask(docs: DataFrame) -> DataFrame:
+    """``docs`` with every span replaced by ``[SECRET]``, overlapping ones by
+    one mark.  Only the battery's few limits are gathered; each row is masked
+    where it is."""
+    limits = thresholds(keep(_scanned(docs).select("tests").where(F.size("tests") > 0), "tests"))
+    inner = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"))
+    spans = _all_spans(F.col("base"), F.col("tests"), limits)
+    rows = (inner.withColumn("base", F.concat(*base_spans(F.coalesce("text", F.lit("")))))
+            .withColumn("tests", candidates(F.coalesce("text", F.lit("")), F.col("base")))
+            .withColumn("spans", spans))
+    text, begin = F.col("text"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        new = s["end"] > acc["at"]
         gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
         mark = F.when(s["start"] >= acc["at"], F.concat(gap, F.lit("[SECRET]"))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(new, F.concat(acc["out"], mark)).otherwise(acc["out"]).alias("out"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], mark).alias("out"))
 
-    masked = F.aggregate(F.col("_spans"), begin, step,
+    masked = F.aggregate("spans", begin, step,
                          lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    return (docs.join(own, same, "left")
-            .withColumn("text", F.when(F.col("_spans").isNotNull(), masked).otherwise(text)).select(*docs.columns))
+    new_text = F.when(F.size("spans") > 0, masked).otherwise(text).alias("text")
+    return rows.select(*[new_text if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
