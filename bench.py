@@ -88,11 +88,11 @@ def main() -> None:
                        master_rows=testdata.master_rows(spark, sf_dir))
         swh = Warehouse(spark, f"{sroot}/warehouse")
         t0 = time.perf_counter()
-        progress = run_ingest(spark, swh, f"{sroot}/drop", masters, f"{sroot}/checkpoint",
-                              max_files_per_trigger=1, lines=True, product_type="bigint")
+        totals = run_ingest(spark, swh, f"{sroot}/drop", masters, f"{sroot}/checkpoint",
+                            max_bytes_per_trigger=512 << 20, lines=True, product_type="bigint")
         extra["stream_ingest"] = round(time.perf_counter() - t0, 3)
-        extra["stream_micro_batches"] = len(progress)
-        extra["stream_rows"] = int(sum(p["numInputRows"] for p in progress))
+        extra["stream_micro_batches"] = totals["micro_batches"]
+        extra["stream_rows"] = totals["fact_rows"]
         extra["stream_rows_per_sec"] = round(extra["stream_rows"] / extra["stream_ingest"])
     print(json.dumps({
         "metric": "etl_load_plus_all_queries",

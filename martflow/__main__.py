@@ -43,8 +43,8 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
     from martflow.plans.warehouse import Warehouse, load_feed
-    from martflow.session import build_session
-    spark = spark or build_session(app_name=f"martflow-{args.cmd}")
+    from martflow.session import attach_session
+    spark = spark or attach_session(f"martflow-{args.cmd}")
     wh = Warehouse(spark, args.warehouse)
     if args.cmd == "load":
         from martflow.sources.csv_files import (
@@ -56,14 +56,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             masters = Feed(transactions=None,
                            customers=read_customer_master(spark, args.customers),
                            products=read_product_master(spark, args.products))
-            progress = run_ingest(spark, wh, args.transactions, masters,
+            totals = run_ingest(spark, wh, args.transactions, masters,
                                   args.checkpoint or f"{args.warehouse}/_stream",
                                   max_files_per_trigger=args.max_files_per_trigger,
                                   lines=args.lines, dedupe_masters=True)
-            print(json.dumps({"micro_batches": len(progress),
-                              "rows": int(sum(p["numInputRows"] for p in progress))}))
+            print(json.dumps(totals))
         else:
-            feed = csv_feed(spark, args.customers, args.products, args.transactions)
+            feed = csv_feed(spark, args.customers, args.products, args.transactions, lines=args.lines)
             result = load_feed(wh, feed, batch=args.batch_id, dedupe_masters=True)
             if result is not None:
                 result.report(spark).show(truncate=False)

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from martflow.schemas import RAW_PRICE
 
 
-def revenue(quantity: Column, raw_price: Column, precision: int = 12) -> Column:
-    """Quantity x unrounded price, rounded half-up to cents.
+def exact_revenue(quantity: Column, raw_price: Column) -> Column:
+    """Quantity x unrounded price, exact in DECIMAL."""
+    return quantity.cast("decimal(10,0)") * raw_price.cast(RAW_PRICE)
 
-    The product is exact in DECIMAL; the final cast rounds (77.505 -> 77.51).
-    """
-    exact = quantity.cast("decimal(10,0)") * raw_price.cast(RAW_PRICE)
-    return exact.cast(f"decimal({precision},2)")
+
+def revenue(quantity: Column, raw_price: Column, precision: int = 12) -> Column:
+    """Quantity x unrounded price, rounded half-up to cents (77.505 -> 77.51);
+    NULL when it does not fit the precision, so one such row cannot fail a
+    batch."""
+    return exact_revenue(quantity, raw_price).try_cast(f"decimal({precision},2)")
 
 
 def pct_change(current: Column, previous: Column, scale: int = 2) -> Column:

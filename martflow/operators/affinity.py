@@ -9,8 +9,9 @@ Plan:
 1. Order lines are reduced to one row per (order, product) with its line
    count, combined map-side, so repeated lines of a hot order collapse
    before any shuffle.
-2. Orders with more than ``block_size`` lines ("hot" orders) are found with
-   a hash aggregate.  Their products are split into ``ceil(lines /
+2. Orders with more than ``block_size`` distinct products ("hot" orders) are
+   found with hash aggregates: by lines first, then, only for the orders that
+   remain, by products.  Their products are split into ``ceil(products /
    block_size)`` blocks by a hash of the product id, and the pairs of a hot
    order are formed per *block pair*: each row is replicated once per block
    on the other side and the self-join key is (order, block of A, block of
@@ -18,7 +19,8 @@ Plan:
    use a plain self-join on the order (one shared exchange for both sides).
 3. Each unordered pair is formed once (A < B); the per-pair products of
    line counts are summed with a partial aggregate and the mirror image
-   (B, A) is produced after the aggregation.
+   (B, A) is produced after the aggregation - for a top n, after the n best
+   unordered pairs are known, among which the n best ordered ones must be.
 
 The pairs themselves are the answer's support: an order with d distinct
 products contributes d(d-1)/2 distinct pairs, which are spread over
@@ -34,15 +36,17 @@ BLOCK_SIZE = 1024
 HOT_LIST_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _hot_orders(lines: DataFrame, order: str, block_size: int) -> DataFrame:
-    """Orders with more than ``block_size`` lines, and their block count.
+def _hot_orders(lines: DataFrame, per_order: DataFrame, order: str, block_size: int) -> DataFrame:
+    """Orders with more than ``block_size`` products, and their block count.
 
-    The line count bounds the number of distinct products from above, so
-    every order that needs splitting is found by one hash aggregate over
-    the order key (combined map-side)."""
-    return (lines.groupBy(order).agg(F.count(F.lit(1)).alias("lines"))
-            .filter(F.col("lines") > block_size)
-            .select(order, F.ceil(F.col("lines") / F.lit(block_size)).cast("int").alias("blocks")))
+    The line count bounds the number of products from above, so one hash
+    aggregate over the order key (combined map-side) leaves the few orders
+    whose products need counting."""
+    long = (lines.groupBy(order).agg(F.count(F.lit(1)).alias("lines"))
+            .filter(F.col("lines") > block_size).select(order))
+    return (per_order.join(long, order, "left_semi").groupBy(order).agg(F.count(F.lit(1)).alias("products"))
+            .filter(F.col("products") > block_size)
+            .select(order, F.ceil(F.col("products") / F.lit(block_size)).cast("int").alias("blocks")))
 
 
 def _plain_pairs(rows: DataFrame, order: str) -> DataFrame:
@@ -73,10 +77,34 @@ def co_purchase_counts(lines: DataFrame, order: str = "Order_ID", product: str =
                        block_size: int = BLOCK_SIZE) -> DataFrame:
     """(Product_A, Product_B, Times_Bought_Together) for every ordered pair
     of different products that share an order."""
+    return _mirrored(unordered_counts(lines, order, product, block_size))
+
+
+def top_pairs(lines: DataFrame, n: int, order: str = "Order_ID", product: str = "Product_ID",
+              block_size: int = BLOCK_SIZE) -> DataFrame:
+    """The ``n`` ordered pairs bought together most often, then by id."""
+    best = unordered_counts(lines, order, product, block_size).orderBy(
+        F.col("cnt").desc(), "Product_A", "Product_B").limit(n)
+    return _mirrored(best).orderBy(F.col("Times_Bought_Together").desc(), "Product_A", "Product_B").limit(n)
+
+
+def _mirrored(counted: DataFrame) -> DataFrame:
+    both = counted.select(
+        F.explode(F.array(
+            F.struct(F.col("Product_A").alias("a"), F.col("Product_B").alias("b")),
+            F.struct(F.col("Product_B").alias("a"), F.col("Product_A").alias("b")),
+        )).alias("p"), "cnt")
+    return both.select(F.col("p.a").alias("Product_A"), F.col("p.b").alias("Product_B"),
+                       F.col("cnt").cast("bigint").alias("Times_Bought_Together"))
+
+
+def unordered_counts(lines: DataFrame, order: str = "Order_ID", product: str = "Product_ID",
+                     block_size: int = BLOCK_SIZE) -> DataFrame:
+    """(Product_A, Product_B, cnt) with A < B, for products that share an order."""
     lines = lines.filter(F.col(order).isNotNull() & F.col(product).isNotNull())
     per_order = (lines.groupBy(order, F.col(product).alias("_p"))
                  .agg(F.count(F.lit(1)).alias("n")))
-    hot = _hot_orders(lines, order, block_size)
+    hot = _hot_orders(lines, per_order, order, block_size)
     hot_rows = hot.count()
     if hot_rows == 0:
         pairs = _plain_pairs(per_order, order)
@@ -88,12 +116,4 @@ def co_purchase_counts(lines: DataFrame, order: str = "Order_ID", product: str =
         tagged = per_order.join(hot, order, "left")
         pairs = _plain_pairs(tagged.filter(F.col("blocks").isNull()), order).unionByName(
             _block_pairs(tagged.filter(F.col("blocks").isNotNull()), order))
-    counted = pairs.groupBy("Product_A", "Product_B").agg(
-        F.sum(F.col("n_a") * F.col("n_b")).alias("cnt"))
-    mirrored = counted.select(
-        F.explode(F.array(
-            F.struct(F.col("Product_A").alias("a"), F.col("Product_B").alias("b")),
-            F.struct(F.col("Product_B").alias("a"), F.col("Product_A").alias("b")),
-        )).alias("p"), "cnt")
-    return mirrored.select(F.col("p.a").alias("Product_A"), F.col("p.b").alias("Product_B"),
-                           F.col("cnt").cast("bigint").alias("Times_Bought_Together"))
+    return pairs.groupBy("Product_A", "Product_B").agg(F.sum(F.col("n_a") * F.col("n_b")).alias("cnt"))

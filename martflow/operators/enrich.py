@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.functions.measures import revenue
+from martflow.functions.measures import exact_revenue, revenue
 from martflow.operators.keys import first_per_key
 from martflow.schemas import (
     CUSTOMER_COLUMNS, PRICE, PRODUCT_COLUMNS, STAGED_COLUMNS, STAGED_MAX_LENGTH,
@@ -102,24 +102,19 @@ def enrich(feed: Feed, dedupe_masters: bool = False) -> DataFrame:
         "Customer_ID", "Gender", "Age", "Occupation", "City_Category",
         "Stay_In_Current_City_Years", "Marital_Status",
         "Product_ID", "Product_Category",
-        F.col("_raw_price").cast(PRICE).alias("Price"),
+        F.col("_raw_price").try_cast(PRICE).alias("Price"),
         "Store_ID", "Store_Name", "Supplier_ID",
         supplier_name.alias("Supplier_Name"),
-        "Parse_Error", "_cust_hit", "_prod_hit",
+        "Parse_Error", "_cust_hit", "_prod_hit", "_raw_price",
+        exact_revenue(F.col("Quantity"), F.col("_raw_price")).alias("_exact"),
     )
     reason = F.coalesce(
         F.col("Parse_Error"),
         F.when(F.col("_cust_hit").isNull(), F.lit("unknown Customer_ID")),
         F.when(F.col("_prod_hit").isNull(), F.lit("unknown Product_ID")),
+        F.when(F.col("_raw_price").isNull(), F.lit("unreadable Price")),
+        F.when(F.col("Price").isNull(), F.lit("Price out of range")),
+        F.when(F.col("_exact").isNotNull() & F.col("Revenue").isNull(), F.lit("Revenue out of range")),
         _constraint_reason(staged),
     )
     return staged.withColumn(REASON, reason).select(*STAGED_COLUMNS, REASON)
-
-
-def accepted(enriched: DataFrame) -> DataFrame:
-    return enriched.filter(F.col(REASON).isNull()).select(*STAGED_COLUMNS)
-
-
-def quarantined(enriched: DataFrame) -> DataFrame:
-    return enriched.filter(F.col(REASON).isNotNull())
-

@@ -84,8 +84,9 @@ def foreign_key_check(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     NULL when every non-NULL foreign key has its dimension row.
 
     One left join per key against the key column of the dimension (which
-    is unique there).  Dimensions under the broadcast threshold are
-    broadcast by the planner, larger ones are shuffled."""
+    is unique there).  A caller that has counted a dimension may pass it with
+    a broadcast hint; the others are the planner's to place.  A row without a
+    key (NULL) has no parent to look for and skips the join on that key."""
     df = fact
     reasons = []
     for i, (col, dim, dim_col) in enumerate(FACT_FOREIGN_KEYS):
@@ -128,8 +129,3 @@ LOADERS = {
     "dim_time": dim_time,
     "fact_sales": fact_sales,
 }
-
-
-def plan_load(staged: DataFrame, targets: dict[str, DataFrame | None]) -> dict[str, DataFrame]:
-    """Rows to append to each star table for one staged batch."""
-    return {name: loader(staged, targets.get(name)) for name, loader in LOADERS.items()}

@@ -10,14 +10,19 @@ on the staged rows:
   only keys it has not seen.
 * foreign-key check: the whole fact checked against dimensions that were
   loaded from the recent sales only.
+* the same through a written warehouse, fact included.
+* partial masters: customers and products withheld, one product listed twice;
+  their sales must be quarantined, the others loaded.
 * stream: the transactions delivered as CSV files and loaded by the
-  Structured Streaming ingest must give the same fact as the batch load.
+  Structured Streaming ingest must give the same fact as the batch load, also
+  when a file is delivered a second time.
 """
 
 from __future__ import annotations
 
 import hashlib
 import threading
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +82,8 @@ def fk_check_recent_dims(wh: Warehouse, cutoff: str = INCREMENTAL_CUTOFF) -> Dat
 
 ROWS_PER_DELIVERED_FILE = 1_000_000
 MIN_DELIVERED_FILES = 4
+#: Intake of one micro-batch: constant, whatever the number of files.
+MICRO_BATCH_BYTES = 512 << 20
 
 
 def delivered_files(spark: SparkSession, sf_dir: str) -> int:
@@ -85,53 +92,106 @@ def delivered_files(spark: SparkSession, sf_dir: str) -> int:
     return max(MIN_DELIVERED_FILES, -(-rows // ROWS_PER_DELIVERED_FILE))
 
 
-def stream_fact(spark: SparkSession, sf_dir: str, files: int | None = None,
-                max_files_per_trigger: int = 1) -> DataFrame:
-    """Fact loaded by the streaming ingest from CSV deliveries of the feed
-    (one micro-batch per delivered file)."""
-    files = files or delivered_files(spark, sf_dir)
-    key = hashlib.sha1(f"{BUILD_VERSION}|{_fingerprint(sf_dir, spark)}|{files}|"
-                       f"{max_files_per_trigger}".encode()).hexdigest()[:16]
-    root = f"{shared_dir(spark)}/martflow/stream-{key}"
+def _masters(spark: SparkSession, sf_dir: str) -> Feed:
+    return Feed(transactions=None, customers=testdata.customers(spark, sf_dir),
+                products=testdata.products(spark, sf_dir),
+                suppliers=testdata.suppliers(spark, sf_dir),
+                master_rows=testdata.master_rows(spark, sf_dir))
+
+
+def _built(spark: SparkSession, sf_dir: str, name: str, build) -> Warehouse:
+    """A scenario's warehouse, built once per data set by ``build(wh, root)``."""
+    key = hashlib.sha1(f"{BUILD_VERSION}|{_fingerprint(spark, sf_dir)}|{name}".encode()).hexdigest()[:16]
+    root = f"{shared_dir(spark)}/martflow/{name}-{key}"
     wh = Warehouse(spark, f"{root}/warehouse")
     with _stream_lock:
-        _ingest_once(spark, sf_dir, root, wh, files, max_files_per_trigger)
-    return wh.fact
+        if not path_exists(spark, f"{root}/_COMPLETE"):
+            build(wh, root)
+            write_marker(spark, f"{root}/_COMPLETE", "ok")
+    wh.invalidate()
+    return wh
+
 
+def streamed(spark: SparkSession, sf_dir: str, files: int | None = None,
+             max_files_per_trigger: int | None = None) -> Warehouse:
+    """Warehouse loaded by the streaming ingest from CSV deliveries of the feed."""
+    files = files or delivered_files(spark, sf_dir)
 
-def _ingest_once(spark: SparkSession, sf_dir: str, root: str, wh: Warehouse, files: int,
-                 max_files_per_trigger: int) -> None:
-    if not path_exists(spark, f"{root}/_COMPLETE"):
+    def build(wh: Warehouse, root: str) -> None:
         drop = f"{root}/drop"
-        if not path_exists(spark, f"{root}/_DELIVERED"):
-            write_transaction_files(testdata.transactions(spark, sf_dir), drop, files)
-            write_marker(spark, f"{root}/_DELIVERED", "ok")
-        masters = Feed(transactions=None, customers=testdata.customers(spark, sf_dir),
-                       products=testdata.products(spark, sf_dir),
-                       suppliers=testdata.suppliers(spark, sf_dir),
-                       master_rows=testdata.master_rows(spark, sf_dir))
-        run_ingest(spark, wh, drop, masters, f"{root}/checkpoint",
-                   max_files_per_trigger=max_files_per_trigger, lines=True,
-                   product_type="bigint")
-        write_marker(spark, f"{root}/_COMPLETE", "ok")
+        write_transaction_files(testdata.transactions(spark, sf_dir), drop, files)
+        bound = ({"max_files_per_trigger": max_files_per_trigger} if max_files_per_trigger
+                 else {"max_bytes_per_trigger": MICRO_BATCH_BYTES})
+        run_ingest(spark, wh, drop, _masters(spark, sf_dir), f"{root}/checkpoint", lines=True,
+                   product_type="bigint", **bound)
+
+    return _built(spark, sf_dir, f"stream-{files}-{max_files_per_trigger or 'bytes'}", build)
+
+
+def stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed(spark, sf_dir).fact
+
+
+def stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores by id and name; their city is that of the first buyer *of the
+    first micro-batch*, which depends on how the feed is cut, so it is left out."""
+    return streamed(spark, sf_dir).store.select("Store_ID", "Store_Name")
+
 
+def stream_redelivered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivered file arrives twice, the second time under another name."""
+    def build(wh: Warehouse, root: str) -> None:
+        drop, masters = f"{root}/drop", _masters(spark, sf_dir)
+        lines = testdata.transactions(spark, sf_dir)
+        for turn in ("first", "again"):
+            write_transaction_files(lines, f"{drop}/{turn}", MIN_DELIVERED_FILES)
+            run_ingest(spark, wh, f"{drop}/*", masters, f"{root}/checkpoint", lines=True,
+                       product_type="bigint", max_bytes_per_trigger=MICRO_BATCH_BYTES)
 
-_csv_lock = threading.Lock()
+    return _built(spark, sf_dir, "redelivered", build).fact
+
+
+def backfilled(spark: SparkSession, sf_dir: str, cutoff: str = INCREMENTAL_CUTOFF) -> Warehouse:
+    """Recent sales loaded first, then the full history into the same tables."""
+    def build(wh: Warehouse, root: str) -> None:
+        feed = testdata.testdata_feed(spark, sf_dir)
+        recent = feed.transactions.filter(F.col("Date") >= F.lit(cutoff).cast("timestamp_ntz"))
+        load_feed(wh, replace(feed, transactions=recent), batch="recent")
+        load_feed(wh, feed, batch="history")
+
+    return _built(spark, sf_dir, f"backfill-{cutoff}", build)
+
+
+def partial_masters(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Masters without the customers divisible by 7 and the products divisible
+    by 11, and with the products divisible by 5 listed twice (the second time
+    at another price): which rows are withheld is the scenario."""
+    def build(wh: Warehouse, root: str) -> None:
+        feed = testdata.testdata_feed(spark, sf_dir)
+        products = feed.products.filter(F.col("Product_ID") % 11 != 0).withColumn("_row", F.lit(0).cast("bigint"))
+        twice = (products.filter(F.col("Product_ID") % 5 == 0).withColumn("_row", F.lit(1).cast("bigint"))
+                 .withColumn("Price", (F.col("Price") + 1).cast(dict(products.dtypes)["Price"])))
+        load_feed(wh, replace(feed, customers=feed.customers.filter(F.col("Customer_ID") % 7 != 0),
+                              products=products.unionByName(twice), master_rows=None),
+                  batch="partial", dedupe_masters=True)
+
+    return _built(spark, sf_dir, "partial", build)
+
+
+def partial_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partial_masters(spark, sf_dir).quarantine().select(
+        "Order_ID", "Line_Number", "Product_ID", "Customer_ID", "Quantity", "Reject_Reason")
 
 
 def csv_batch_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact loaded through the delivered-CSV batch path (S1-S3, renames,
     text parsing, master de-duplication by file row)."""
-    key = hashlib.sha1(f"{BUILD_VERSION}|{_fingerprint(sf_dir, spark)}|csv".encode()).hexdigest()[:16]
-    root = f"{shared_dir(spark)}/martflow/csv-{key}"
-    wh = Warehouse(spark, f"{root}/warehouse")
-    with _csv_lock:
-        if not path_exists(spark, f"{root}/_COMPLETE"):
-            paths = testdata.export_delivered_csv(spark, sf_dir, f"{root}/delivered")
-            feed = csv_feed(spark, paths["customer"], paths["product"], paths["transaction"])
-            load_feed(wh, feed, batch="csv", dedupe_masters=True)
-            write_marker(spark, f"{root}/_COMPLETE", "ok")
-    return wh.fact
+    def build(wh: Warehouse, root: str) -> None:
+        paths = testdata.export_delivered_csv(spark, sf_dir, f"{root}/delivered")
+        feed = csv_feed(spark, paths["customer"], paths["product"], paths["transaction"], lines=True)
+        load_feed(wh, feed, batch="csv", dedupe_masters=True)
+
+    return _built(spark, sf_dir, "csv", build).fact
 
 
 def _wh(fn):
@@ -155,6 +215,11 @@ QUERIES = {
     "load_backfill_dim_product": _wh(lambda wh: recent_then_backfill(wh, L.dim_product)),
     "load_backfill_dim_customer": _wh(lambda wh: recent_then_backfill(wh, L.dim_customer)),
     "load_fk_check_recent_dims": _wh(fk_check_recent_dims),
+    "load_backfill_fact_sales": lambda spark, sf_dir: backfilled(spark, sf_dir).fact,
+    "load_partial_masters_fact": lambda spark, sf_dir: partial_masters(spark, sf_dir).fact,
+    "etl_quarantine_partial_masters": partial_quarantine,
     "stream_fact_sales": stream_fact,
+    "stream_dim_store": stream_store,
+    "stream_redelivered_fact": stream_redelivered_fact,
     "csv_batch_fact_sales": csv_batch_fact,
 }

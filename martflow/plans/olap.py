@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from martflow.functions.calendar import day_type, half_year, season
 from martflow.functions.measures import pct_change
-from martflow.operators.affinity import co_purchase_counts
+from martflow.operators.affinity import top_pairs
 from martflow.plans.star import Derived, star_aggregate
 from martflow.plans.warehouse import Warehouse
 
@@ -74,7 +74,7 @@ def q2(wh: Warehouse) -> DataFrame:
         _money(F.col("_rev")).alias("Total_Revenue"),
         _money(prev).alias("Prev_Month_Revenue"),
         pct_change(F.col("_rev"), prev).alias("Growth_Percentage"),
-    )
+    ).orderBy("Product_Category", "Month")
 
 
 def q2_year_month(wh: Warehouse) -> DataFrame:
@@ -87,40 +87,38 @@ def q2_year_month(wh: Warehouse) -> DataFrame:
         _money(F.col("_rev")).alias("Total_Revenue"),
         _money(prev).alias("Prev_Month_Revenue"),
         pct_change(F.col("_rev"), prev).alias("Growth_Percentage"),
-    )
+    ).orderBy("Product_Category", "Year", "Month")
 
 
 def q3(wh: Warehouse) -> DataFrame:
     """Revenue by occupation x product category."""
     return (total_by(wh, ["customer", "product"], ["Occupation", "Product_Category"],
-                     "Total_Sales").orderBy(F.col("Total_Sales").desc()))
+                     "Total_Sales").orderBy(F.col("Total_Sales").desc(), "Occupation", "Product_Category"))
 
 
 def q4(wh: Warehouse, n: int = 5) -> DataFrame:
     """The ``n`` product pairs most often bought in the same order."""
-    pairs = co_purchase_counts(wh.fact.select("Order_ID", "Product_ID"))
-    return pairs.orderBy(F.col("Times_Bought_Together").desc(),
-                         "Product_A", "Product_B").limit(n)
+    return top_pairs(wh.fact.select("Order_ID", "Product_ID"), n)
 
 
 def q5(wh: Warehouse) -> DataFrame:
     """Revenue by category x season."""
     return (total_by(wh, ["product", "time"], ["Product_Category", "Season"], "Total_Sales",
                      derived=SEASON)
-            .orderBy("Product_Category", F.col("Total_Sales").desc()))
+            .orderBy("Product_Category", F.col("Total_Sales").desc(), "Season"))
 
 
 # ----------------------------------------------------------------- section 2
 def q6(wh: Warehouse) -> DataFrame:
     """Revenue by gender x age x city category."""
     return (total_by(wh, ["customer"], ["Gender", "Age", "City_Category"], "Total_Purchase")
-            .orderBy(F.col("Total_Purchase").desc()))
+            .orderBy(F.col("Total_Purchase").desc(), "Gender", "Age", "City_Category"))
 
 
 def q7(wh: Warehouse) -> DataFrame:
     """Revenue by gender x age x quarter."""
     return (total_by(wh, ["customer", "time"], ["Gender", "Age", "Quarter"], "Total_Revenue")
-            .orderBy("Quarter", F.col("Total_Revenue").desc()))
+            .orderBy("Quarter", F.col("Total_Revenue").desc(), "Gender", "Age"))
 
 
 def q8(wh: Warehouse) -> DataFrame:
@@ -129,14 +127,14 @@ def q8(wh: Warehouse) -> DataFrame:
     agg = star_aggregate(wh, ["customer"], keys, sums={"_s": "Revenue"},
                          counts={"_n": "Revenue"})
     out = agg.select(*keys, (F.col("_s").cast("double") / F.col("_n")).alias("Avg_Purchase"))
-    return out.orderBy(F.col("Avg_Purchase").desc())
+    return out.orderBy(F.col("Avg_Purchase").desc(), *keys)
 
 
 def q9(wh: Warehouse) -> DataFrame:
     """Revenue by age band x day type."""
     return (total_by(wh, ["customer", "time"], ["Age", "DayType"], "Total_Sales",
                      derived=DAY_TYPE)
-            .orderBy(F.col("Total_Sales").desc()))
+            .orderBy(F.col("Total_Sales").desc(), "Age", "DayType"))
 
 
 def _category_occupation(wh: Warehouse) -> DataFrame:
@@ -169,14 +167,14 @@ def q12(wh: Warehouse) -> DataFrame:
     """Revenue by store x supplier x category."""
     return (total_by(wh, ["store", "supplier", "product"],
                      ["Store_Name", "Supplier_Name", "Product_Category"], "Total_Sales")
-            .orderBy("Store_Name", F.col("Total_Sales").desc()))
+            .orderBy("Store_Name", F.col("Total_Sales").desc(), "Supplier_Name", "Product_Category"))
 
 
 def q13(wh: Warehouse) -> DataFrame:
     """Revenue by city category x marital status x month."""
     return (total_by(wh, ["customer", "time"], ["City_Category", "Marital_Status", "Month"],
                      "Total_Revenue")
-            .orderBy("Month", F.col("Total_Revenue").desc()))
+            .orderBy("Month", F.col("Total_Revenue").desc(), "City_Category", "Marital_Status"))
 
 
 def q14(wh: Warehouse, year: int = 1998) -> DataFrame:
@@ -209,7 +207,7 @@ def q15(wh: Warehouse) -> DataFrame:
     out = agg.select("Store_Name", "Supplier_Name", "Month",
                      _money(F.col("_rev")).alias("Monthly_Revenue"),
                      pct_change(F.col("_rev"), F.lag("_rev").over(w)).alias("Revenue_Volatility"))
-    return out.orderBy(F.col("Revenue_Volatility").desc_nulls_last())
+    return out.orderBy(F.col("Revenue_Volatility").desc_nulls_last(), "Store_Name", "Supplier_Name")
 
 
 # ----------------------------------------------------------------- section 4
@@ -253,7 +251,7 @@ def q19(wh: Warehouse) -> DataFrame:
         "Product_Category", "Date",
         _money(F.col("_day")).alias("Daily_Sales"),
         (F.col("_sum").cast("double") / F.col("_n")).alias("Avg_Sales"),
-    ).orderBy("Product_Category", F.col("Daily_Sales").desc())
+    ).orderBy("Product_Category", F.col("Daily_Sales").desc(), "Date")
 
 
 def store_quarterly_sales(wh: Warehouse) -> DataFrame:

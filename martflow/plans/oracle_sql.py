@@ -9,13 +9,16 @@ aggregates, written tables and the DataFrame API.
 
 from __future__ import annotations
 
-from martflow.schemas import ARRIVAL_ORDER, FACT_KEY, FACT_KEY_REQUIRED
-from martflow.sources.testdata import AGE_BANDS, OLDEST_AGE_BAND
+# The oracle's own statement of the rules; nothing is taken from the engine.
+FACT_KEY = ["Order_ID", "Line_Number", "Product_ID", "Supplier_ID"]
+FACT_KEY_REQUIRED = FACT_KEY[:3]
+ARRIVAL_ORDER = ["Date", "Order_ID", "Line_Number", "Product_ID", "Supplier_ID", "Customer_ID", "Quantity"]
 
 
 def _age_case(col: str) -> str:
-    whens = " ".join(f"WHEN {col} < {bound} THEN '{label}'" for bound, label in AGE_BANDS)
-    return f"CASE {whens} ELSE '{OLDEST_AGE_BAND}' END"
+    return f"""CASE WHEN {col} < 0 THEN '0-17' WHEN {col} < 1500 THEN '18-25'
+              WHEN {col} < 3000 THEN '26-35' WHEN {col} < 4500 THEN '36-45'
+              WHEN {col} < 6000 THEN '46-50' WHEN {col} < 7500 THEN '51-55' ELSE '55+' END"""
 
 
 def _time_key(d: str) -> str:
@@ -196,10 +199,14 @@ FROM (SELECT *, lag(rev) OVER (PARTITION BY Product_Category ORDER BY Year, Mont
     "q03_occupation_category": f"""
 SELECT c.Occupation, p.Product_Category, {MONEY} AS Total_Sales
 FROM {FCP} GROUP BY 1, 2 ORDER BY Total_Sales DESC""",
+    # per order, a pair is bought as often as the product of its line counts
     "q04_product_affinity_top5": """
-SELECT f1.Product_ID AS Product_A, f2.Product_ID AS Product_B, COUNT(*) AS Times_Bought_Together
-FROM fact f1 JOIN fact f2 ON f1.Order_ID = f2.Order_ID AND f1.Product_ID <> f2.Product_ID
-GROUP BY 1, 2 ORDER BY Times_Bought_Together DESC, Product_A, Product_B LIMIT 5""",
+SELECT a.Product_ID AS Product_A, b.Product_ID AS Product_B,
+       CAST(SUM(a.n * b.n) AS BIGINT) AS Times_Bought_Together
+FROM (SELECT Order_ID, Product_ID, COUNT(*) AS n FROM fact GROUP BY ALL) a
+JOIN (SELECT Order_ID, Product_ID, COUNT(*) AS n FROM fact GROUP BY ALL) b
+  ON b.Order_ID = a.Order_ID AND b.Product_ID IS DISTINCT FROM a.Product_ID
+GROUP BY ALL ORDER BY 3 DESC, 1, 2 LIMIT 5""",
     "q05_season_category": f"""
 SELECT p.Product_Category, {SEASON} AS Season, {MONEY} AS Total_Sales
 FROM {FPT} GROUP BY 1, 2 ORDER BY Product_Category, Total_Sales DESC""",
@@ -336,22 +343,22 @@ UNION ALL SELECT 'fact_sales', COUNT(*) FROM fact"""),
 SELECT * FROM (SELECT f.*, {_reason} AS Reject_Reason FROM fact f {_joins})
 WHERE Reject_Reason IS NOT NULL"""),
     "stream_fact_sales": with_star("SELECT * FROM fact"),
-    # Delivered-CSV layout: no line number (1), product ids as text, no
-    # supplier; the first delivery of an (order, product) wins.
+    "stream_dim_store": with_star("SELECT Store_ID, Store_Name FROM dim_store"),
+    "stream_redelivered_fact": with_star("SELECT * FROM fact"),
+    # the history adds what the recent load lacks; both give a key the same row
+    "load_backfill_fact_sales": with_star("SELECT * FROM fact"),
+    # masters without customers divisible by 7 and products divisible by 11;
+    # the second listing of a product must not count
+    "load_partial_masters_fact": with_star(
+        "SELECT * FROM fact WHERE Customer_ID % 7 <> 0 AND Product_ID % 11 <> 0"),
+    "etl_quarantine_partial_masters": with_star("""
+SELECT Order_ID, Line_Number, Product_ID, Customer_ID, Quantity,
+       CASE WHEN Customer_ID % 7 = 0 THEN 'unknown Customer_ID' ELSE 'unknown Product_ID' END AS Reject_Reason
+FROM txn WHERE Customer_ID % 7 = 0 OR Product_ID % 11 = 0"""),
+    # Delivered CSV files: product ids are text
     "csv_batch_fact_sales": with_star("""
-SELECT Order_ID, Line_Number, Customer_ID, Product_ID, Store_ID, Supplier_ID, Time_ID,
-       Quantity, Revenue, Year
-FROM (
-  SELECT s.Order_ID, CAST(1 AS INTEGER) AS Line_Number, s.Customer_ID,
-         CAST(s.Product_ID AS VARCHAR) AS Product_ID, s.Store_ID,
-         CAST(NULL AS BIGINT) AS Supplier_ID,
-         CAST(year(s.Date) * 10000 + month(s.Date) * 100 + day(s.Date) AS INTEGER) AS Time_ID,
-         s.Quantity, CAST(s.Revenue AS DECIMAL(12,2)) AS Revenue,
-         CAST(year(s.Date) AS INTEGER) AS Year,
-         row_number() OVER (PARTITION BY s.Order_ID, s.Product_ID
-                            ORDER BY s.Date, s.Customer_ID, s.Quantity) AS rn
-  FROM staged s
-) WHERE rn = 1"""),
+SELECT Order_ID, Line_Number, Customer_ID, CAST(Product_ID AS VARCHAR) AS Product_ID, Store_ID,
+       Supplier_ID, Time_ID, Quantity, Revenue, Year FROM fact"""),
 }
 
 

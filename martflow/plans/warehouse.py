@@ -3,10 +3,10 @@
 Layout under one root folder (parquet):
 
     staging/batch=<id>/Status=staged|quarantined   enriched rows of a load (S6)
-    quarantine/                                  rejected rows, with reason (J8)
+    quarantine/batch=<id>/                       rejected rows, with reason (J8)
     dim_customer/ dim_product/ dim_store/ dim_supplier/ dim_time/
     fact_sales/Year=<yyyy>/                      order-line facts (S9)
-    load_report/                                 rows appended per load (S11)
+    load_report/batch=<id>/                      rows appended per load (S11)
 
 The root lives in the shared folder named by ``spark.checkpoint.dir``, so
 every executor sees it and a lost executor never loses a table.  Queries
@@ -18,8 +18,7 @@ query.
 from __future__ import annotations
 
 import hashlib
-import json
-import os
+import re
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
@@ -27,18 +26,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.operators.enrich import REASON, enrich
-from martflow.operators.load import LOADERS, LoadResult
-from martflow.schemas import STAGED_COLUMNS, STAR_TABLES
+from martflow.operators.load import LOADERS, LoadResult, foreign_key_check
+from martflow.schemas import PARTITIONS, STAGED_COLUMNS, STAR_TABLES, contract
 from pyspark.sql import types as T
 
 from martflow.session import (
-    apply_runtime_defaults, path_exists, read_marker, shared_dir, write_marker,
+    apply_runtime_defaults, delete_path, input_identity, path_exists, read_marker, shared_dir,
+    write_marker,
 )
 from martflow.sources.feed import Feed
 from martflow.sources.testdata import count_rows, testdata_feed
 
 # Bump when the load semantics change, so stale warehouses are not reused.
-BUILD_VERSION = "wh-10"
+BUILD_VERSION = "wh-20"
 TESTDATA_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")
 
 VERSIONED_TABLES = set(STAR_TABLES) | {"quarantine", "load_report"}
@@ -56,6 +56,7 @@ class Warehouse:
         self._counts: dict[str, int] | None = None
         self._tables: dict[str, DataFrame] = {}
         self._versions: dict[str, str | None] = {}
+        self._product_type: T.DataType | None = None
 
     def path(self, name: str) -> str:
         """Folder of a table; a compacted table lives in a versioned folder
@@ -72,24 +73,46 @@ class Warehouse:
         return path_exists(self.spark, self.path(name))
 
     def table(self, name: str) -> DataFrame:
-        """The table as a DataFrame; the file listing is reused until the
-        next load into this warehouse."""
+        """The table as a DataFrame under its contract; the file listing is
+        reused until the next load into this warehouse."""
         if name not in self._tables:
-            schema = self.schema(name)
-            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-            self._tables[name] = reader.parquet(self.path(name))
+            self._tables[name] = self.spark.read.schema(self.schema(name)).parquet(self.path(name))
         return self._tables[name]
 
-    def schema(self, name: str) -> T.StructType | None:
-        """The table's contract, recorded when it was first written."""
-        text = read_marker(self.spark, self.path(f"_schema/{name}.json"))
-        return None if not text else T.StructType.fromJson(json.loads(text))
-
-    def record_schema(self, name: str) -> None:
-        """Record the contract of a table that was just written (once)."""
-        if self.schema(name) is None:
-            schema = self.spark.read.parquet(self.path(name)).schema
-            write_marker(self.spark, self.path(f"_schema/{name}.json"), schema.json())
+    @property
+    def product_type(self) -> T.DataType:
+        """Type of Product_ID, set by the first load."""
+        if self._product_type is None:
+            text = read_marker(self.spark, f"{self.root}/_schema/product_id")
+            self._product_type = T.LongType() if (text or "").strip() == "bigint" else T.StringType()
+        return self._product_type
+
+    def declare(self, product_type: str) -> None:
+        """Fix the type of Product_ID, unless an earlier load has."""
+        path = f"{self.root}/_schema/product_id"
+        if not path_exists(self.spark, path):
+            write_marker(self.spark, path, product_type)
+            self._product_type = None
+
+    def schema(self, name: str) -> T.StructType:
+        return contract(name, self.product_type)
+
+    def write(self, name: str, df: DataFrame, mode: str = "append",
+              count: Observation | None = None) -> None:
+        """Write rows under the table's contract: its columns in its order,
+        cast to its types.  ``overwrite`` replaces only the partitions that
+        ``df`` has rows of, where the table is partitioned.  ``count`` gets the
+        number of rows written, as ``rows``."""
+        out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema(name).fields])
+        parts = PARTITIONS.get(name, [])
+        if name == "fact_sales":   # files of about one size per year, not one per task and year
+            out = out.hint("rebalance", "Year").sortWithinPartitions("Year", "Time_ID")
+        if count is not None:
+            out = out.observe(count, F.count(F.lit(1)).alias("rows"))
+        writer = out.write.mode(mode)
+        if parts:
+            writer = writer.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
+        writer.parquet(self.path(name))
 
     def invalidate(self) -> None:
         self._counts = None
@@ -110,8 +133,9 @@ class Warehouse:
         if name not in self._counts:
             if not self.exists(name):
                 return None
-            # count every star table that is still unknown in the same job
-            names = [t for t in STAR_TABLES if t not in self._counts and self.exists(t)]
+            # count the dimensions that are still unknown in the same job
+            dims = [t for t in STAR_TABLES if t.startswith("dim_") and name.startswith("dim_")]
+            names = [t for t in dims if t not in self._counts and self.exists(t)]
             names = list(dict.fromkeys(names + [name]))
             self._counts.update(count_rows({t: self.table(t) for t in names}))
         return self._counts[name]
@@ -140,17 +164,13 @@ class Warehouse:
     def time(self) -> DataFrame:
         return self.table("dim_time")
 
-    def staged_all(self) -> DataFrame:
-        """Every staged and quarantined row of every batch (fresh listing)."""
-        schema = self.schema("staging")
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path("staging"))
+    def staged_all(self, batch: str | None = None) -> DataFrame:
+        """Staged and quarantined rows; of one batch, only its folder is listed."""
+        reader = self.spark.read.schema(self.schema("staging")).option("basePath", self.path("staging"))
+        return reader.parquet(self.path("staging") + (f"/batch={batch}" if batch else ""))
 
     def staged(self, batch: str | None = None) -> DataFrame:
-        df = self.staged_all()
-        if batch is not None:
-            df = df.filter(F.col("batch") == batch)
-        return df.filter(F.col("Status") == "staged").select(*STAGED_COLUMNS)
+        return self.staged_all(batch).filter(F.col("Status") == "staged").select(*STAGED_COLUMNS)
 
     def quarantine(self) -> DataFrame:
         return self.table("quarantine")
@@ -159,70 +179,117 @@ class Warehouse:
 def stage(wh: Warehouse, enriched: DataFrame, batch: str) -> tuple[int, int]:
     """Write one batch of enriched rows, staged and quarantined, in one
     pass (the status is a partition column).  Returns the numbers of staged
-    and quarantined rows, counted during the write."""
+    and quarantined rows, counted during the write.  A batch staged again
+    replaces what it staged before."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
+        raise ValueError(f"batch id {batch!r}: letters, digits, '_', '.' and '-' only")
+    wh.declare(dict(enriched.dtypes)["Product_ID"])
+    if path_exists(wh.spark, f"{wh.path('staging')}/batch={batch}"):
+        delete_path(wh.spark, f"{wh.path('staging')}/batch={batch}")
     status = F.when(F.col(REASON).isNull(), F.lit("staged")).otherwise(F.lit("quarantined"))
     out = enriched.withColumn("Status", status).withColumn("batch", F.lit(batch))
     obs = Observation(f"staging_{batch}")
     out = out.observe(obs, F.sum(F.when(F.col(REASON).isNull(), 1).otherwise(0)).alias("staged"),
                       F.sum(F.when(F.col(REASON).isNull(), 0).otherwise(1)).alias("rejected"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch", "Status").parquet(wh.path("staging")))
-    wh.record_schema("staging")
+    wh.write("staging", out, "overwrite")
     got = obs.get
     return int(got.get("staged") or 0), int(got.get("rejected") or 0)
 
 
-def load_staged(wh: Warehouse, batch: str, staged_rows: int | None = None,
-                rejected_rows: int | None = None) -> LoadResult | None:
-    """Staging -> star for one batch.
+def _add_appended(wh: Warehouse, batch: str, name: str, rows: int) -> int:
+    """Rows a batch has appended to a table over all its attempts."""
+    path = f"{wh.root}/_appended/{batch}/{name}"
+    total = int(read_marker(wh.spark, path) or 0) + rows
+    write_marker(wh.spark, path, str(total))
+    return total
 
-    Dimensions are written before the fact; every table is insert-ignore
-    on its key against what is already there, so replaying a batch after a
-    failure appends nothing twice.  Returns None for an empty batch (S7).
+
+def load_staged(wh: Warehouse, batch: str, staged_rows: int | None = None,
+                rejected_rows: int | None = None, keep_staging: bool = True,
+                check_parents: bool = True) -> LoadResult | None:
+    """Staging -> star for one batch.
+
+    Rejected rows go to the quarantine first, also of a batch that has no
+    other rows.  Dimensions are written before the fact; every star table is
+    insert-ignore on its key against what is already there, and quarantine and
+    report replace the batch's own partition, so replaying a batch changes
+    nothing.  With ``check_parents``, fact rows without their dimension row
+    are quarantined.  Returns None for a batch without staged rows (S7).
     """
     spark = wh.spark
-    staged = wh.staged(batch)
-    if (staged.isEmpty() if staged_rows is None else staged_rows == 0):
-        return None
+    if staged_rows is None or rejected_rows is None:
+        counts = {r.Status: r["count"] for r in wh.staged_all(batch).groupBy("Status").count().collect()}
+        staged_rows, rejected_rows = counts.get("staged", 0), counts.get("quarantined", 0)
     wh.invalidate()
+    rejected = wh.staged_all(batch).filter(F.col("Status") == "quarantined").drop("Status")
+    if rejected_rows or not wh.exists("quarantine"):
+        wh.write("quarantine", rejected, "overwrite")
+    if not staged_rows:
+        _finish(wh, batch, {name: 0 for name in STAR_TABLES}, keep_staging)
+        return None
+    staged = wh.staged(batch)
     targets = {t: wh.maybe_table(t) for t in STAR_TABLES}
     for t in STAR_TABLES:  # resolve table folders before the writers run
         wh.path(t)
 
-    def append(name: str) -> tuple[str, DataFrame, Observation]:
-        rows = LOADERS[name](staged, targets.get(name))
+    def append(name: str, rows: DataFrame) -> tuple[str, DataFrame, Observation]:
         obs = Observation(f"{name}_{batch}")
-        df = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if name == "fact_sales":
-            writer = df.sortWithinPartitions("Year", "Time_ID").write.partitionBy("Year")
-        else:
-            writer = df.write
-        writer.mode("append").parquet(wh.path(name))
-        wh.record_schema(name)
+        wh.write(name, rows, count=obs)
         return name, rows, obs
 
     # The dimensions are independent: their (small) jobs run concurrently
     # and share the executors.  The fact is written only after all of them.
     dims = [t for t in STAR_TABLES if t != "fact_sales"]
     with ThreadPoolExecutor(max_workers=len(dims)) as pool:
-        done = list(pool.map(append, dims))
-    done.append(append("fact_sales"))
+        done = list(pool.map(lambda t: append(t, LOADERS[t](staged, targets.get(t))), dims))
+    wh.invalidate()
+    rows, orphans = LOADERS["fact_sales"](staged, targets.get("fact_sales")), None
+    if check_parents:   # counted while the fact is written, so it costs no pass of its own
+        checked = foreign_key_check(rows, {t: bounded_dimension(wh, t) for t in dims})
+        orphans = Observation(f"orphans_{batch}")
+        lost = F.sum(F.when(F.col(REASON).isNotNull(), 1).otherwise(0)).alias("rows")
+        rows = checked.observe(orphans, lost).filter(F.col(REASON).isNull()).drop(REASON)
+    done.append(append("fact_sales", rows))
+    if check_parents:
+        lost_rows = checked.filter(F.col(REASON).isNotNull())
+        # a plan found empty while it runs reports no metrics: look directly
+        wrote = done[-1][2].get.get("rows")
+        if orphans.get.get("rows") if wrote else not lost_rows.isEmpty():
+            _quarantine_orphans(wh, lost_rows, staged, rejected, batch)
+    appended = {n: _add_appended(wh, batch, n, int(obs.get.get("rows") or 0)) for n, _, obs in done}
     result = LoadResult(appended={n: rows for n, rows, _ in done},
                         observations={n: obs for n, _, obs in done})
-    if rejected_rows is None or rejected_rows > 0 or not wh.exists("quarantine"):
-        rejected = wh.staged_all().filter(
-            (F.col("batch") == batch) & (F.col("Status") == "quarantined")).drop("Status")
-        rejected.write.mode("append").parquet(wh.path("quarantine"))
-        wh.record_schema("quarantine")
-    report = result.report(spark).withColumn("batch", F.lit(batch))
-    report.write.mode("append").parquet(wh.path("load_report"))
-    wh.record_schema("load_report")
-    wh.invalidate()
-    # The staging batch is marked consumed only after the fact commit.
-    write_marker(spark, wh.path(f"_consumed/{batch}"), "loaded")
+    _finish(wh, batch, appended, keep_staging)
     return result
 
 
+def _quarantine_orphans(wh: Warehouse, orphans: DataFrame, staged: DataFrame, rejected: DataFrame,
+                        batch: str) -> None:
+    """Staged rows whose fact row lacks a parent join the batch's rejects."""
+    key = ["Order_ID", "Line_Number", "Product_ID"]
+    lost = staged.join(orphans.select(*key, REASON).distinct(), key).withColumn("batch", F.lit(batch))
+    wh.write("quarantine", rejected.unionByName(lost.select(*rejected.columns)), "overwrite")
+
+
+def bounded_dimension(wh: Warehouse, name: str) -> DataFrame:
+    """A dimension's rows, broadcast only where its counted size allows it."""
+    from martflow.plans.star import broadcast_limit, row_bytes
+    keys = wh.table(name)
+    small = (wh.row_count(name) or 0) * row_bytes(keys.schema) <= broadcast_limit(wh)
+    return F.broadcast(keys) if small else keys
+
+
+def _finish(wh: Warehouse, batch: str, appended: dict[str, int], keep_staging: bool) -> None:
+    """Report (S11), mark the batch consumed, and clear its staging."""
+    values = ", ".join(f"('{t}', CAST({n} AS BIGINT), '{batch}')" for t, n in appended.items())
+    report = wh.spark.sql(f"SELECT * FROM VALUES {values} AS report(table_name, rows_loaded, batch)")
+    wh.write("load_report", report, "overwrite")
+    wh.invalidate()
+    write_marker(wh.spark, wh.path(f"_consumed/{batch}"), "loaded")
+    if not keep_staging:
+        delete_path(wh.spark, f"{wh.path('staging')}/batch={batch}")
+
+
 def compact(wh: Warehouse, name: str, rows_per_file: int = COMPACT_ROWS_PER_FILE) -> str:
     """Rewrite a table into about ``rows / rows_per_file`` files in a new
     version folder, then switch the table's pointer to it.
@@ -238,72 +305,62 @@ def compact(wh: Warehouse, name: str, rows_per_file: int = COMPACT_ROWS_PER_FILE
     files = max(1, -(-rows // rows_per_file))
     version = f"c{uuid.uuid4().hex[:12]}"
     target = f"{wh.root}/{name}__{version}"
-    out = df.repartition(files)  # round-robin: no key, so no hot key
-    if name == "fact_sales":
-        out.sortWithinPartitions("Year", "Time_ID").write.partitionBy("Year").parquet(target)
+    if name == "fact_sales":   # rebalance: files of about the advisory size within each year
+        out = df.hint("rebalance", "Year").sortWithinPartitions("Year", "Time_ID")
+        out.write.partitionBy("Year").parquet(target)
     else:
-        out.write.parquet(target)
+        df.repartition(files).write.parquet(target)  # round-robin: no key, so no hot key
     write_marker(spark, f"{wh.root}/_current/{name}", version)
     wh.invalidate()
     return target
 
 
 def reset_warehouse(wh: Warehouse) -> None:
-    """S10 drop / recreate: every existing table is replaced by an empty table
-    with the same schema (the contracts stay, the rows go)."""
+    """S10 drop / recreate: every existing table is replaced by an empty one
+    under the same contract, and nothing says any more that it was loaded."""
+    for name in ["_COMPLETE", "_consumed", "_appended"]:
+        delete_path(wh.spark, f"{wh.root}/{name}")
     for name in ["staging", "quarantine", "load_report", *STAR_TABLES]:
-        if not wh.exists(name):
-            continue
-        empty = wh.spark.createDataFrame([], wh.table(name).schema)
-        writer = empty.write.mode("overwrite")
-        if name == "fact_sales":
-            writer = writer.partitionBy("Year")
-        elif name == "staging":
-            writer = writer.partitionBy("batch", "Status")
-        writer.parquet(wh.path(name))
+        if wh.exists(name):
+            empty = wh.spark.createDataFrame([], wh.schema(name))
+            delete_path(wh.spark, wh.path(name))
+            empty.write.parquet(wh.path(name))
+    with _lock:
+        for key in [k for k, w in _opened.items() if w.root == wh.root]:
+            del _opened[key]
     wh.invalidate()
 
 
-def load_feed(wh: Warehouse, feed: Feed, batch: str, dedupe_masters: bool = False) -> LoadResult | None:
+def load_feed(wh: Warehouse, feed: Feed, batch: str, dedupe_masters: bool = False,
+              keep_staging: bool = True) -> LoadResult | None:
     """Enrich, stage and load one batch of transactions."""
     apply_runtime_defaults(wh.spark)
     staged_rows, rejected_rows = stage(wh, enrich(feed, dedupe_masters=dedupe_masters), batch)
-    return load_staged(wh, batch, staged_rows, rejected_rows)
-
-
-def _fingerprint(sf_dir: str, spark: SparkSession | None = None) -> str:
-    """Identity of the input tables: sizes and times of local files; for a
-    remote store, the file names and exact row counts (one metadata-only
-    job), so changed data never reuses an old warehouse."""
-    parts = [BUILD_VERSION, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
-    if "://" not in sf_dir or sf_dir.startswith("file:"):
-        base = sf_dir[len("file:"):] if sf_dir.startswith("file:") else sf_dir
-        for name in TESTDATA_TABLES:
-            p = os.path.join(base, f"{name}.parquet")
-            if os.path.exists(p):
-                st = os.stat(p)
-                parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-    elif spark is not None:
-        frames = {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet")
-                  for n in TESTDATA_TABLES}
-        counts = count_rows(frames)
-        for n, df in frames.items():
-            parts.append(f"{n}:{counts[n]}:{','.join(sorted(df.inputFiles()))}")
+    return load_staged(wh, batch, staged_rows, rejected_rows, keep_staging)
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the input tables: length, files and last change of each, so
+    changed data never reuses an old warehouse."""
+    parts = [BUILD_VERSION, sf_dir.rstrip("/")]
+    for name in TESTDATA_TABLES:
+        parts.append(f"{name}:{input_identity(spark, f'{sf_dir.rstrip('/')}/{name}.parquet')}")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 def warehouse_root(spark: SparkSession, sf_dir: str) -> str:
-    return f"{shared_dir(spark)}/martflow/warehouse-{_fingerprint(sf_dir, spark)}"
+    return f"{shared_dir(spark)}/martflow/warehouse-{_fingerprint(spark, sf_dir)}"
 
 
 def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse loaded from the test tables in ``sf_dir``; built on
     first use, then reused (also across sessions, via the shared folder)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    root = warehouse_root(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, root)
     with _lock:
         if key in _opened:
             return _opened[key]
-        wh = Warehouse(spark, warehouse_root(spark, sf_dir))
+        wh = Warehouse(spark, root)
         if not path_exists(spark, wh.path("_COMPLETE")):
             build_warehouse(wh, sf_dir)
         _opened[key] = wh

@@ -127,14 +127,6 @@ DIM_TIME_COLUMNS = ["Time_ID", "Date", "Day", "Month", "Quarter", "Year",
 FACT_COLUMNS = ["Order_ID", "Line_Number", "Customer_ID", "Product_ID", "Store_ID",
                 "Supplier_ID", "Time_ID", "Quantity", "Revenue", "Year"]
 
-DIMENSION_KEYS = {
-    "dim_customer": ["Customer_ID"],
-    "dim_product": ["Product_ID"],
-    "dim_store": ["Store_ID"],
-    "dim_supplier": ["Supplier_ID"],
-    "dim_time": ["Date"],
-}
-
 # Foreign keys of the fact: (fact column, dimension table, dimension column).
 FACT_FOREIGN_KEYS = [
     ("Customer_ID", "dim_customer", "Customer_ID"),
@@ -146,3 +138,38 @@ FACT_FOREIGN_KEYS = [
 
 STAR_TABLES = ["dim_customer", "dim_product", "dim_store", "dim_supplier",
                "dim_time", "fact_sales"]
+
+# ------------------------------------------------------------ table contracts
+# Types of every column the warehouse stores.  Product_ID is text in the
+# delivered files and a number in the test tables; a warehouse keeps the type
+# of its first load.
+_TYPES = {
+    "Order_ID": T.LongType(), "Line_Number": T.IntegerType(), "Date": T.TimestampNTZType(),
+    "Quantity": T.IntegerType(), "Revenue": REVENUE_STAGED, "Customer_ID": T.LongType(),
+    "Gender": T.StringType(), "Age": T.StringType(), "Occupation": T.IntegerType(),
+    "City_Category": T.StringType(), "Stay_In_Current_City_Years": T.IntegerType(),
+    "Marital_Status": T.IntegerType(), "Product_Category": T.StringType(), "Price": PRICE,
+    "Store_ID": T.IntegerType(), "Store_Name": T.StringType(), "Supplier_ID": T.LongType(),
+    "Supplier_Name": T.StringType(), "Reject_Reason": T.StringType(), "Time_ID": T.IntegerType(),
+    "Day": T.IntegerType(), "Month": T.IntegerType(), "Quarter": T.IntegerType(),
+    "Year": T.IntegerType(), "Weekday_Name": T.StringType(), "Is_Weekend": T.IntegerType(),
+    "batch": T.StringType(), "Status": T.StringType(), "table_name": T.StringType(),
+    "rows_loaded": T.LongType(),
+}
+_TABLES = {
+    "staging": [*STAGED_COLUMNS, "Reject_Reason", "batch", "Status"],
+    "quarantine": [*STAGED_COLUMNS, "Reject_Reason", "batch"],
+    "dim_customer": DIM_CUSTOMER_COLUMNS, "dim_product": DIM_PRODUCT_COLUMNS,
+    "dim_store": DIM_STORE_COLUMNS, "dim_supplier": DIM_SUPPLIER_COLUMNS,
+    "dim_time": DIM_TIME_COLUMNS, "fact_sales": FACT_COLUMNS,
+    "load_report": ["table_name", "rows_loaded", "batch"],
+}
+_OWN_TYPES = {("dim_time", "Date"): T.DateType(), ("fact_sales", "Revenue"): REVENUE_FACT}
+PARTITIONS = {"staging": ["batch", "Status"], "quarantine": ["batch"], "load_report": ["batch"],
+              "fact_sales": ["Year"]}
+
+
+def contract(table: str, product_id: T.DataType) -> T.StructType:
+    """Columns and types of a warehouse table."""
+    types = _TYPES | {"Product_ID": product_id}
+    return T.StructType([T.StructField(c, _OWN_TYPES.get((table, c), types[c])) for c in _TABLES[table]])

@@ -3,7 +3,6 @@ folder used to cut lineage (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,6 +39,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def attach_session(app_name: str) -> SparkSession:
+    """The session of a submitted job: master and sizes are the submitter's."""
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in RUNTIME_DEFAULTS.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def apply_runtime_defaults(spark: SparkSession) -> None:
     for key, value in RUNTIME_DEFAULTS.items():
         if spark.conf.get(key, None) is None:
@@ -65,43 +72,50 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def _filesystem(spark: SparkSession, path: str):
+    """The Hadoop filesystem a path belongs to - the one Spark itself reads
+    and writes it with - and the path on it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there.  Any failure to find out (denied,
+    throttled, unreachable) is raised: it must never pass for "absent"."""
+    fs, p = _filesystem(spark, path)
+    return fs.exists(p)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check for a marker written by :func:`write_marker`."""
-    if is_local_path(path):
-        return os.path.exists(local_path(path))
-    try:
-        spark.read.text(path).limit(1).collect()
-        return True
-    except Exception:  # AnalysisException: path does not exist
-        return False
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _filesystem(spark, path)
+    fs.delete(p, True)
+
+
+def input_identity(spark: SparkSession, path: str) -> str:
+    """Length, number of files and time of the last change of a file or
+    folder; constant work on the driver however many files there are."""
+    fs, p = _filesystem(spark, path)
+    summary = fs.getContentSummary(p)
+    changed = fs.getFileStatus(p).getModificationTime()
+    return f"{summary.getLength()}:{summary.getFileCount()}:{changed}"
 
 
 def write_marker(spark: SparkSession, path: str, text: str = "") -> None:
-    if is_local_path(path):
-        p = local_path(path)
-        os.makedirs(os.path.dirname(p), exist_ok=True)
-        with open(p, "w") as fh:
-            fh.write(text)
-        return
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    fs, p = _filesystem(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
 
 
 def read_marker(spark: SparkSession, path: str) -> str | None:
     """Text of a marker written by :func:`write_marker` (None if absent)."""
-    if is_local_path(path):
-        p = local_path(path)
-        if not os.path.exists(p):
-            return None
-        with open(p) as fh:
-            return fh.read()
-    if not path_exists(spark, path):
+    fs, p = _filesystem(spark, path)
+    if not fs.exists(p):
         return None
-    return "\n".join(r.value for r in spark.read.text(path).collect())
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -128,8 +128,8 @@ def export_delivered_csv(spark: SparkSession, sf_dir: str, directory: str) -> di
     """Write the feed in the delivered CSV layout (leading row index,
     original column names, ISO dates); returns the three paths.
 
-    The transaction file has no line number or supplier, as delivered;
-    products carry no supplier in the test tables."""
+    The transactions are delivered by order line, with its number and its
+    supplier; products carry no supplier in the test tables."""
     out = {k: f"{directory.rstrip('/')}/{k}" for k in ("customer", "product", "transaction")}
     cu = customers(spark, sf_dir)
     cu.select(F.col("Customer_ID").alias("idx"), *CUSTOMER_COLUMNS) \
@@ -141,8 +141,9 @@ def export_delivered_csv(spark: SparkSession, sf_dir: str, directory: str) -> di
               F.col("Supplier_Name").alias("supplierName")) \
         .write.mode("overwrite").option("header", True).csv(out["product"])
     tx = transactions(spark, sf_dir)
-    tx.select(F.lit(0).alias("idx"), F.col("Order_ID").alias("orderID"), "Customer_ID",
-              "Product_ID", F.col("Quantity").alias("quantity"),
+    tx.select(F.lit(0).alias("idx"), F.col("Order_ID").alias("orderID"),
+              F.col("Line_Number").alias("lineNumber"), "Customer_ID",
+              "Product_ID", F.col("Supplier_ID").alias("supplierID"), F.col("Quantity").alias("quantity"),
               F.date_format("Date", "yyyy-MM-dd").alias("date")) \
         .write.mode("overwrite").option("header", True).csv(out["transaction"])
     return out

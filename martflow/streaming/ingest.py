@@ -12,6 +12,7 @@ restarted query resumes where it stopped instead of re-reading the files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martflow.plans.warehouse import Warehouse, load_feed
@@ -21,22 +22,23 @@ from martflow.sources.feed import Feed, spread
 
 def start_ingest(spark: SparkSession, wh: Warehouse, drop_dir: str, masters: Feed,
                  checkpoint: str, max_files_per_trigger: int | None = None,
-                 lines: bool = True, product_type: str = "string",
+                 max_bytes_per_trigger: int | None = None, lines: bool = True, product_type: str = "string",
                  available_now: bool = True, processing_time: str | None = None,
-                 dedupe_masters: bool = False) -> StreamingQuery:
+                 dedupe_masters: bool = False, keep_staging: bool = False) -> StreamingQuery:
     """Start the ingest query.
 
     ``available_now`` drains what is in ``drop_dir`` (in bounded
     micro-batches) and stops - the reference's drain-then-stop; otherwise the
     query keeps polling every ``processing_time``."""
     stream = transaction_stream(spark, drop_dir, max_files_per_trigger, lines=lines,
-                                product_type=product_type)
+                                product_type=product_type, max_bytes_per_trigger=max_bytes_per_trigger)
 
     def load_micro_batch(batch: DataFrame, epoch_id: int) -> None:
         feed = Feed(transactions=spread(batch), customers=masters.customers,
                     products=masters.products, suppliers=masters.suppliers,
                     master_rows=masters.master_rows)
-        load_feed(wh, feed, batch=f"epoch-{epoch_id:08d}", dedupe_masters=dedupe_masters)
+        load_feed(wh, feed, batch=f"epoch-{epoch_id:08d}", dedupe_masters=dedupe_masters,
+                  keep_staging=keep_staging)
 
     writer = (stream.writeStream.foreachBatch(load_micro_batch)
               .option("checkpointLocation", checkpoint))
@@ -48,10 +50,23 @@ def start_ingest(spark: SparkSession, wh: Warehouse, drop_dir: str, masters: Fee
 
 
 def run_ingest(spark: SparkSession, wh: Warehouse, drop_dir: str, masters: Feed,
-               checkpoint: str, **kwargs) -> list[dict]:
-    """Drain ``drop_dir`` into ``wh`` and return the query's progress (T5)."""
+               checkpoint: str, **kwargs) -> dict[str, int]:
+    """Drain ``drop_dir`` into ``wh``; returns how many micro-batches the
+    warehouse has consumed and the rows it has loaded and quarantined so far
+    (T5), taken from its own report however long the stream ran."""
     query = start_ingest(spark, wh, drop_dir, masters, checkpoint, available_now=True, **kwargs)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return [p for p in query.recentProgress]
+    return ingest_totals(wh)
+
+
+def ingest_totals(wh: Warehouse) -> dict[str, int]:
+    wh.invalidate()
+    if not wh.exists("load_report"):
+        return {"micro_batches": 0, "fact_rows": 0, "quarantined": 0}
+    epochs = wh.table("load_report").filter(F.col("batch").startswith("epoch-"))
+    row = epochs.agg(F.countDistinct("batch"),
+                     F.sum(F.when(F.col("table_name") == "fact_sales", F.col("rows_loaded")))).first()
+    lost = wh.quarantine().filter(F.col("batch").startswith("epoch-")).count() if wh.exists("quarantine") else 0
+    return {"micro_batches": row[0], "fact_rows": int(row[1] or 0), "quarantined": lost}

@@ -151,9 +151,11 @@ def test_stream_equals_batch_and_absorbs_redelivery(spark, files, scratch):
     assert wh.fact.count() == 3
     # a new file arrives; the restarted query reads only that file
     write_csv(f"{drop}/part-2.csv", TXN_HEADER, TXNS_B)
-    progress = run_ingest(spark, wh, drop, masters, ckpt, max_files_per_trigger=1, lines=False,
-                          dedupe_masters=True)
-    assert sum(p["numInputRows"] for p in progress) == len(TXNS_B)
+    totals = run_ingest(spark, wh, drop, masters, ckpt, max_files_per_trigger=1, lines=False,
+                        dedupe_masters=True)
+    assert totals["micro_batches"] == 2     # not re-read: one epoch for each file
+    assert totals["fact_rows"] + totals["quarantined"] + 1 == len(TXNS_A + TXNS_B)   # one repeats a key
+    assert not os.path.isdir(f"{wh.root}/staging/batch=epoch-00000000")   # consumed
     assert _fact(wh) == EXPECTED_FACT
     # the same content delivered again under a new name is absorbed by the keys
     shutil.copy(f"{drop}/part-1.csv", f"{drop}/part-3.csv")
@@ -220,3 +222,141 @@ def test_compact_after_many_micro_batches(spark, files):
     _load(spark, files, batch="later", wh=wh)
     assert _fact(wh) == EXPECTED_FACT
     assert Warehouse(spark, wh.root).fact.count() == len(EXPECTED_FACT)
+
+
+# ------------------------------------------------------------- bad deliveries
+LINE_HEADER = ",orderID,lineNumber,Customer_ID,Product_ID,supplierID,quantity,date"
+
+
+def test_all_rejected_batch_keeps_its_rejects(spark, files):
+    write_csv(files["txn"], TXN_HEADER, ["0,1,9999999,P00000001,1,2020-12-26", "1,x,1000001,P00000001,1,2020-12-26"])
+    wh, result = _load(spark, files)
+    assert result is None and wh.quarantine().count() == 2
+    assert {r.rows_loaded for r in wh.table("load_report").collect()} == {0}
+    assert not wh.exists("fact_sales")
+    write_csv(files["txn"], TXN_HEADER, TXNS_A)
+    _load(spark, files, batch="good", wh=wh)
+    assert wh.fact.count() == 3 and wh.quarantine().count() == 4
+
+
+def test_replay_changes_nothing(spark, files):
+    wh, _ = _load(spark, files)
+    tables = ["quarantine", "load_report", "dim_customer", "dim_store", "dim_time", "fact_sales", "staging"]
+    before = {t: sorted(map(repr, wh.table(t).collect())) for t in tables}
+    _load(spark, files, wh=wh)
+    assert {t: sorted(map(repr, wh.table(t).collect())) for t in tables} == before
+
+
+def test_bad_values_become_rejects(spark, files):
+    write_csv(files["product"], PRODUCT_HEADER, PRODUCTS[:1] + [
+        "1,P00000002,Toys,abc,1,11,Shop,Maker", "2,P00000003,Toys,99999999.99,1,11,Shop,Maker",
+        "3,P00000004,Toys,999999999.99,1,11,Shop,Maker"])
+    write_csv(files["txn"], TXN_HEADER, [
+        "0,1,1000001,P00000001,1,2020-03-08 02:30:00", "1,2,1000001,P00000002,1,2020-12-26",
+        "2,3,1000001,P00000003,3,2020-12-26", "3,4,1000001,P00000004,1,2020-12-26"])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")   # the hour does not exist there
+    try:
+        wh, _ = _load(spark, files)
+        assert [str(r.Date) for r in wh.staged().collect()] == ["2020-03-08 02:30:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted(r.Reject_Reason for r in wh.quarantine().collect()) == [
+        "Price out of range", "Revenue out of range", "unreadable Price"]
+    assert wh.fact.filter("Revenue IS NULL").isEmpty()
+
+
+def test_columns_are_found_by_name(spark, files):
+    write_csv(files["txn"], ",date,quantity,Product_ID,Customer_ID,orderID", ["0,2020-12-26,3,P00000001,1000001,1"])
+    wh, _ = _load(spark, files)
+    assert _fact(wh) == EXPECTED_FACT[:1]
+    write_csv(files["txn"], ",orderID,Customer_ID,Product_ID,date", ["0,1,1000001,P00000001,2020-12-26"])
+    with pytest.raises(ValueError, match="quantity"):
+        _load(spark, files, batch="b2", wh=wh)
+
+
+def test_batch_load_of_order_lines(spark, files):
+    from martflow.__main__ import main
+    write_csv(files["txn"], LINE_HEADER, ["0,1,1,1000001,P00000001,77,3,2020-12-26", "1,1,2,1000001,P00000001,78,1,2020-12-26"])
+    whp = f"{files['root']}/line_wh"
+    assert main(["load", "--customers", files["customer"], "--products", files["product"], "--transactions",
+                 files["txn"], "--warehouse", whp, "--lines"], spark=spark) == 0
+    got = sorted((r.Line_Number, r.Customer_ID, r.Supplier_ID, r.Quantity) for r in Warehouse(spark, whp).fact.collect())
+    assert got == [(1, 1000001, 77, 3), (2, 1000001, 78, 1)]
+
+
+def test_fact_rows_without_a_parent_are_quarantined(spark, files, monkeypatch):
+    from martflow.plans import warehouse as w
+    withheld = dict(w.LOADERS)
+    withheld["dim_product"] = lambda staged, target=None: w.LOADERS_ALL["dim_product"](staged, target).filter(
+        "Product_ID <> 'P00000002'")
+    monkeypatch.setattr(w, "LOADERS_ALL", dict(w.LOADERS), raising=False)
+    monkeypatch.setattr(w, "LOADERS", withheld)
+    wh, _ = _load(spark, files)
+    assert _fact(wh) == [r for r in EXPECTED_FACT if r[1] != "P00000002"]
+    lost = wh.quarantine().filter("Product_ID = 'P00000002'").collect()
+    assert {r.Reject_Reason for r in lost} == {"no dim_product row for Product_ID"} and len(lost) == 2
+
+
+def test_tables_keep_their_contract(spark, files):
+    from martflow.schemas import contract
+    from pyspark.sql import types as T
+    wh, _ = _load(spark, files)
+    for name in ["staging", "quarantine", "dim_customer", "dim_product", "dim_store", "dim_supplier",
+                 "dim_time", "fact_sales", "load_report"]:
+        want = {f.name: f.dataType for f in contract(name, T.StringType()).fields}
+        assert {f.name: f.dataType for f in wh.table(name).schema.fields} == want, name
+        stored = spark.read.parquet(wh.path(name)).schema     # what the files themselves say
+        parts = {"batch", "Status", "Year"}
+        assert all(want[f.name] == f.dataType for f in stored.fields if f.name not in parts), name
+
+
+def test_reset_is_not_taken_for_loaded(spark, files):
+    from martflow.plans.warehouse import reset_warehouse
+    from martflow.session import path_exists, write_marker
+    wh, _ = _load(spark, files)
+    write_marker(spark, wh.path("_COMPLETE"), "x")
+    reset_warehouse(wh)
+    assert not path_exists(spark, wh.path("_COMPLETE")) and wh.quarantine().count() == 0
+
+
+def test_paths_belong_to_the_default_filesystem(spark, files):
+    """A path without a scheme is looked up where Spark writes it, not on the
+    driver's disk: here the default filesystem maps /wh to another folder."""
+    conf = spark._jsc.hadoopConfiguration()
+    target = f"{files['root']}/cluster"
+    os.makedirs(target)
+    conf.set("fs.viewfs.mounttable.cluster.link./wh", f"file://{target}")
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://cluster")
+    try:
+        wh = Warehouse(spark, "/wh/star")
+        feed = csv_feed(spark, *[f"file://{files[k]}" for k in ("customer", "product", "txn")])
+        for batch in ("one", "two"):
+            load_feed(wh, feed, batch=batch, dedupe_masters=True)
+        assert _fact(wh) == EXPECTED_FACT and wh.customer.count() == 3
+        assert os.path.isdir(f"{target}/star/fact_sales") and not os.path.exists("/wh")
+    finally:
+        if before:
+            conf.set("fs.defaultFS", before)
+        else:
+            conf.unset("fs.defaultFS")
+
+
+def test_a_denied_read_is_not_an_absent_table(spark, scratch):
+    from martflow.session import path_exists
+    with pytest.raises(Exception, match="[Nn]o FileSystem|UnsupportedFileSystem"):
+        path_exists(spark, "nosuchscheme://host/table")
+    assert path_exists(spark, f"{scratch}/absent") is False
+
+
+def test_results_come_in_their_order(spark):
+    from martflow.plans import olap
+    from martflow.plans.warehouse import open_warehouse
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("test data not present")
+    wh = open_warehouse(spark, "/root/testdata/sf0.001")
+    keys = [(r.Product_Category, r.Month) for r in olap.q2(wh).collect()]
+    assert keys == sorted(keys)
+    sales = [(-r.Total_Sales, r.Occupation, r.Product_Category) for r in olap.q3(wh).collect()]
+    assert sales == sorted(sales)
