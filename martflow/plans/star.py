@@ -1,19 +1,18 @@
 """Star joins with a proven broadcast bound and eager aggregation.
 
 A dimension is broadcast only when its size is *known* to be small: the
-warehouse is insert-only and every load records how many rows it appended
-to each table, so the exact row count of a dimension is the sum of its load
-report rows.  Row count x estimated row width (of the columns actually used)
+exact row count of a dimension is read from its files' metadata, once per
+load.  Row count x estimated row width (of the columns actually used)
 must stay under ``BROADCAST_LIMIT_BYTES``.
 
 A dimension over the limit is not broadcast.  Then the fact is first joined
 with the broadcastable dimensions (map-side, no shuffle) and pre-aggregated
-on the keys of the large dimensions plus the grouping columns already
-known; only those aggregated rows are shuffle-joined with the large
-dimensions, and a final aggregate combines the partial sums.  So a query
-never shuffles the whole fact to reach a dimension that outgrew memory.
-Only decomposable measures (sum, count) are used, which makes the two-step
-aggregate exact.
+on the large dimension's key plus the grouping columns already known; only
+those aggregated rows are shuffle-joined with it, and a final aggregate
+combines the partial sums.  With several large dimensions the needed columns of
+the fact are shuffled once, to the largest; everything after that join moves
+aggregated rows.  Only decomposable measures (sum, count) are used, which makes
+the two-step aggregate exact.
 """
 
 from __future__ import annotations
@@ -130,11 +129,20 @@ def star_aggregate(wh: Warehouse, dims: list[str], group_by: list[str],
     if not large:
         return df.groupBy(*group_by).agg(*aggs)
 
-    # Eager aggregation below the shuffle joins with the large dimensions.
-    keys = [c for c in group_by if c in df.columns] + [DIM_KEY[d] for d in large]
-    partial = df.groupBy(*list(dict.fromkeys(keys))).agg(*aggs)
-    for d in large:
-        partial = partial.join(frames[d], DIM_KEY[d], "inner")
-    partial = add_derived(partial)
+    # Eager aggregation below the shuffle joins with the large dimensions.  One
+    # of them: aggregate on its key first, then join.  Several: their keys
+    # together are nearly as many as the fact's rows, so the fact is joined
+    # with the largest as it is, and only then aggregated - by that one's
+    # attributes and the other keys - below each further join.
+    large.sort(key=lambda d: -(wh.row_count(DIM_TABLE[d]) or 0))
     final = [F.sum(n).alias(n) for n in list(sums) + list(counts)]
-    return partial.groupBy(*group_by).agg(*final)
+    summed = False
+    for i, d in enumerate(large):
+        rest = [DIM_KEY[x] for x in large[i:]]
+        if i or len(large) == 1:
+            keys = list(dict.fromkeys([c for c in group_by if c in df.columns]
+                                      + [c for dv in pending.values() for c in dv.needs if c in df.columns] + rest))
+            df = df.groupBy(*keys).agg(*(final if summed else aggs))
+            summed = True
+        df = add_derived(df.join(frames[d], DIM_KEY[d], "inner"))
+    return df.groupBy(*group_by).agg(*final)
