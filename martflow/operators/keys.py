@@ -36,8 +36,8 @@ def first_per_key_few(df: DataFrame, keys: list[str], order_by: list[str],
     (a dimension: stores, suppliers, customers of a batch).
 
     Phase 1 is a hash aggregate (numeric / date buffers) that finds, per
-    key, the smallest value of the leading order column.  Its size is
-    counted; when it fits ``limit_bytes`` it is broadcast and phase 2 keeps
+    key, the smallest value of the leading order column.  It is checkpointed
+    and counted; when it fits ``limit_bytes`` it is broadcast and phase 2 keeps
     only the rows at that leading value (map-side), so the sort-based
     tie-break runs on those few rows instead of sorting the whole batch.
     The lexicographic minimum of (o0, o1, ...) is the minimum of (o1, ...)
@@ -46,10 +46,13 @@ def first_per_key_few(df: DataFrame, keys: list[str], order_by: list[str],
     :func:`first_per_key`.
     """
     from martflow.plans.star import row_bytes
+    from martflow.session import shared_dir
     lead = next(c for c in order_by if c not in keys)
     phase1 = df.groupBy(*keys).agg(
         F.min(lead).alias("_lead_min"),
         F.max(F.col(lead).isNull().cast("int")).alias("_lead_null"))
+    shared_dir(df.sparkSession)  # make sure the checkpoint folder is set
+    phase1 = phase1.checkpoint(eager=True)  # counted and broadcast from there: one scan, not two
     n = phase1.count()
     if n * row_bytes(phase1.schema) > limit_bytes:
         return first_per_key(df, keys, order_by, payload)
