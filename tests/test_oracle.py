@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 def test_all_registered_queries_match_oracle(spark):
-    results = compare(spark, SF, verbose=False)
+    from martflow.plans import etl_queries, olap
+    results = compare(spark, SF, [*olap.QUERIES, *etl_queries.QUERIES], verbose=False)
     bad = {k: v for k, v in results.items() if v is False}
     assert not bad
     import __spark_entry__ as e
