@@ -16,8 +16,8 @@ link when they share at least ``need(a, b) = ceil(t / (1 + t) * (a + b))``.
 Every list first compares its members with one hub.  Members that end up in
 the hub's component need no further comparison; pairs of a list across
 components are then all compared.  So the components are exact, while a group
-of n near copies costs about n comparisons.  Candidates are verified on the
-whole sets.
+of n near copies costs about n comparisons.  Candidates are held against the
+bound that their prefixes give, and then verified on the whole sets.
 
 Null or empty texts have an empty set, size 0 and no link; texts with fewer
 words than a shingle have one shingle, the whole sequence; repeated rows are
@@ -212,7 +212,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, t: Fraction) -> Dat
     numbered = keep(pairs.withColumn("pair", F.monotonically_increasing_id()), "pairs")
     sides = keep(numbered.select(F.col("a").alias("_id"), "pair", F.lit(0).alias("side")).unionByName(
         numbered.select(F.col("b").alias("_id"), "pair", F.lit(1).alias("side"))), "sides")
-    texts = docs.join(sides, docs["doc_id"] == F.col("_id")).select("doc_id", "text", "pair", "side")
+    # the same join at every size: most corpora have more pairs than a broadcast holds
+    texts = docs.join(sides.hint("merge"), docs["doc_id"] == F.col("_id")).select("doc_id", "text", "pair", "side")
     sets = texts.mapInArrow(_sets(words), "pair long, side int, shingles array<long>")
     both = sets.groupBy("pair").agg(F.collect_list(F.struct("side", "shingles")).alias("s"))
     # one row each, as ids are unique; where one is repeated, any of its texts may link
@@ -237,6 +238,23 @@ def _possible(t: Fraction):
     return sizes & (best * (t.numerator + t.denominator) >= (a + b) * t.numerator)
 
 
+def _likely(pairs: DataFrame, heads: DataFrame, light: int, t: Fraction) -> DataFrame:
+    """The pairs that may still link by what their prefixes share.  Of two
+    prefixes, take the one that ends first in the common order: whatever the
+    sets share up to there lies in both prefixes, so the overlap is at most
+    that and the rest of its set.  (Two light sets met in a subset already.)"""
+    left = heads.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sigs").alias("sa"))
+    right = heads.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sigs").alias("sb"))
+
+    def rest(n: str) -> Column:
+        return F.floor((F.col(n) * t.numerator + t.denominator - 1) / t.denominator) - 1
+
+    most = F.size(F.array_intersect("sa", "sb")) + F.greatest(rest("na"), rest("nb"))
+    enough = most * (t.numerator + t.denominator) >= (F.col("na") + F.col("nb")) * t.numerator
+    return pairs.join(left, "a").join(right, "b").where(
+        enough | ((F.col("na") <= light) & (F.col("nb") <= light))).select("a", "b")
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = SIMILARITY,
                        light: int | None = None) -> DataFrame:
     """One row per row of ``docs (doc_id, text)``: ``doc_id, n_shingles,
@@ -259,9 +277,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = SIMILA
     rows = keep(docs.mapInArrow(_signatures(words, t, light, frequent),
                                 "sig long, doc long, n int, pos int, hot boolean"), "lists")
     # lists with a single member drop out here; those of frequent shingles stay as they are
-    inside = Window.partitionBy("sig").orderBy("doc")
-    cold = (rows.where(~F.col("hot")).withColumn("near", F.coalesce(F.lag("doc").over(inside), F.lead("doc").over(inside)))
-            .where("near is not null").drop("near"))
+    cold = (rows.where(~F.col("hot")).withColumn("times", F.count("*").over(Window.partitionBy("sig")))
+            .where("times > 1").drop("times"))
     copies = sized.join(classes, "key").where("doc_id <> rep").select(F.col("doc_id").alias("doc"), "rep").distinct()
     members = keep(cold.unionByName(rows.where("hot")).join(keep(copies, "copies"), "doc", "left")
                    .select("sig", F.coalesce("rep", "doc").alias("doc"), "n", "pos")
@@ -272,7 +289,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = SIMILA
     star = members.join(lists, "sig").where("doc <> hub.doc").select(
         F.struct("doc", "n", "pos").alias("x"), F.col("hub").alias("y"))
     pairs = keep(star.where(_possible(t)).select(F.col("y.doc").alias("a"), F.col("x.doc").alias("b")).distinct(), "star")
-    links = _verified(pairs, docs, words, t)
+    heads = keep(members.groupBy("doc").agg(F.max("n").alias("n"), F.collect_set("sig").alias("sigs")), "heads")
+    links = _verified(_likely(pairs, heads, light, t), docs, words, t)
     group = components(links)
 
     # lists that still join several components: all their pairs across them
@@ -286,7 +304,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = SIMILA
             .where(_possible(t))
             .select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct())
     rest = keep(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
-    links = links.unionByName(_verified(rest, docs, words, t))
+    links = links.unionByName(_verified(_likely(rest, heads, light, t), docs, words, t))
 
     label = components(links).withColumnRenamed("node", "rep")
     named = classes.join(label, "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
@@ -300,7 +318,7 @@ def one_of_each_group(docs: DataFrame, words: int = WORDS, t: Fraction = SIMILAR
     with a smaller id.  Rows that repeat an id are the same document."""
     found = jaccard_components(docs, words, t)
     gone = keep(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"] == F.col("_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
