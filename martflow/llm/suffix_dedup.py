@@ -124,15 +124,23 @@ def _first_pass(match: int, kmer: int):
         done: set[int] = set()
         seen, counts = np.empty(0, np.int64), np.empty(0, np.int64)
 
-        def found(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        met: list[np.ndarray] = []
+
+        def count_met() -> None:
             nonlocal seen, counts
-            piece, start, offset, more, anchor = units([p for _, _, p in held], match, kmer)
-            got, n = np.unique(anchor, return_counts=True)
+            got, n = np.unique(np.concatenate(met), return_counts=True)
+            met.clear()
             every, at = np.unique(np.concatenate([seen, got]), return_inverse=True)
             total = np.bincount(at, np.concatenate([counts, n]), len(every)).astype(np.int64)
             top = np.argsort(-total, kind="stable")[:COUNTERS]
             top = top[total[top] > 1]
             seen, counts = every[top], total[top]
+
+        def found(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+            piece, start, offset, more, anchor = units([p for _, _, p in held], match, kmer)
+            met.append(anchor)
+            if sum(map(len, met)) > 1_000_000:
+                count_met()
             docs = np.array([d for d, _, _ in held])[piece]
             begin = np.array([o for _, o, _ in held])[piece] + start
             return batch_of(2, anchor, docs, (begin << 14) | (offset << 7) | more)
@@ -157,6 +165,8 @@ def _first_pass(match: int, kmer: int):
                 yield batch_of(0, *zip(*rows))
         if held:
             yield found(held)
+        if met:
+            count_met()
         if len(seen):
             yield batch_of(1, seen, counts, np.zeros(len(seen)))
     return run
@@ -171,34 +181,38 @@ def _cut(match: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[tuple[int, int]] = set()
         for batch in batches:
-            out: list[tuple] = []
-            for doc, text, key, places in zip(*(batch.column(i) for i in range(4))):
+            docs, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            lists = batch.column(3)
+            bounds = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+            anchor, place = (lists.flatten().field(c).to_numpy() for c in ("anchor", "place"))
+            anchors, starts, sizes = anchor.tolist(), (place >> 14).tolist(), (match + (place & 127)).tolist()
+            contents, pieces, kept = [], [], []
+            for i, text in enumerate(batch.column(1)):
                 raw = _utf8(text.as_py())
-                if text_key(raw) != key.as_py():
+                if text_key(raw) != keys[i]:
                     continue
-                doc = doc.as_py()
-                for place in places.as_py():
-                    start, n = place["place"] >> 14, match + (place["place"] & 127)
-                    piece = raw[start:start + n]
+                for j in range(bounds[i], bounds[i + 1]):
+                    piece = raw[starts[j]:starts[j] + sizes[j]]
+                    if len(piece) < sizes[j]:
+                        continue
                     content = text_key(piece)
-                    if len(piece) == n:
-                        new = (place["anchor"], content) not in sent
-                        sent.add((place["anchor"], content))
-                        out.append((place["anchor"], content, doc, start, n, piece if new else None))
-                if len(out) > 50_000:
-                    yield _table(out)
-                    out = []
-            if out:
-                yield _table(out)
+                    unit = (anchors[j], content)
+                    if unit in sent:
+                        piece = None
+                    else:
+                        sent.add(unit)
+                    contents.append(content)
+                    pieces.append(piece)
+                    kept.append(j)
+            kept = np.array(kept, np.int64)
+            doc = np.repeat(np.array(docs, np.int64), np.diff(bounds))[kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor[kept], pa.int64()), pa.array(contents, pa.int64()), pa.array(doc, pa.int64()),
+                 pa.array((place >> 14)[kept], pa.int64()), pa.array((match + (place & 127))[kept], pa.int32()),
+                 pa.array(pieces, pa.binary())], names=["anchor", "content", "doc", "start", "n", "bytes"])
     return run
 
 
-def _table(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                                      names=["anchor", "content", "doc", "start", "n", "bytes"])
-
-
 class Level:
     """Distinct strings of a batch: its text and the sorted places in it."""
 
@@ -337,9 +351,8 @@ def covered(docs: DataFrame, first: DataFrame, match: int, hot: int) -> tuple[Da
     frequent = keep(frequent.withColumn("hot", F.lit(True)), "frequent")     # at most MAX_FREQUENT rows
     places = (first.where("kind = 2").select(F.col("a").alias("anchor"), F.col("b").alias("doc"), F.col("c").alias("place"))
               .join(F.broadcast(frequent), "anchor", "left"))
-    inside = Window.partitionBy("anchor").orderBy("doc", "place")
-    cold = (places.where("hot is null").withColumn("near", F.coalesce(F.lag("doc").over(inside), F.lead("doc").over(inside)))
-            .where("near is not null"))
+    cold = (places.where("hot is null").withColumn("times", F.count("*").over(Window.partitionBy("anchor")))
+            .where("times > 1"))
     members = keep(cold.select("anchor", "doc", "place").unionByName(
         places.where("hot").select("anchor", "doc", "place")), "members")
 
