@@ -19,8 +19,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
 from collections.abc import Iterator
-from os.path import commonprefix
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read
 
 #: Characters of text whose distinct words are encoded together, and words a
-#: task remembers; both bound its memory, neither changes a result.
+#: worker remembers; both bound its memory, neither changes a result.
 CHUNK_CHARS = 4_000_000
-MAX_WORDS = 500_000
+MAX_WORDS = 600_000
 #: Below this code point, normalising is lower-casing: no character composes
 #: with another, and all libraries agree on the letter classes.
 PLAIN = re.compile("[^\x00-ɏ]")
@@ -70,7 +71,7 @@ class WordBpe:
         pattern = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern).findall
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.ids: dict[str, str] = {s: str(i) for s, i in self.special.items()}
         self.tokens: dict[str, str] = {s: s for s in self.special}
         self._library = None
@@ -133,46 +134,56 @@ class WordBpe:
             else:
                 return True
 
+    def _last(self, word: str, end: int, mark: str, path: list[tuple[int, int]]) -> tuple[int, int]:
+        """Last token of ``word[:end]`` with ``mark`` behind it, and where that
+        token starts: the longest that fits what stands before it."""
+        endings, pairs = self.endings, self.pairs
+        found, start = [], end - 1
+        token = endings.get(word[start:end] + mark)
+        while token is not None:
+            if token >= 0:
+                found.append((token, start))
+            if not start:
+                break
+            start -= 1
+            token = endings.get(word[start:end] + mark)
+        while found:
+            state = found.pop()
+            pair = path[state[1]][0] * 65536 + state[0]
+            fit = pairs.get(pair)
+            if fit is None:
+                fit = pairs[pair] = self.fits(path[state[1]][0], state[0])
+            if fit:
+                return state
+        raise ValueError(f"no encoding for {word[:end]!r}")
+
     def learn(self, words: set[str]) -> None:
         """Encode the words that are not known yet, in trie order.  The state
         ``path[i]`` of a prefix of length i is its last token and where that
         token starts; ``path[0]`` is the empty prefix."""
-        endings, pairs, end = self.endings, self.pairs, self.end
-        coded = sorted((w.encode("utf-8").decode("latin-1").translate(self.as_symbols), w) for w in words)
+        as_symbols, text, last = self.as_symbols, self.text, self._last
+        coded = sorted([(w if w.isascii() and w.isprintable()       # these stand for themselves
+                         else w.encode("utf-8").decode("latin-1").translate(as_symbols), w) for w in words])
         path, before = [(-1, 0)], ""
         for word, raw in coded:
-            n = len(word)
-            del path[len(commonprefix((before, word))) + 1:]
-            for i in range(len(path), n + 1):
-                # the whole word once more, with its end mark, comes last
-                for mark in ("", end) if i == n else ("",):
-                    found = []
-                    for start in range(i - 1, -1, -1):
-                        token = endings.get(word[start:i] + mark)
-                        if token is None:
-                            break
-                        if token >= 0:
-                            found.append((token, start))
-                    while found:
-                        token, start = found.pop()
-                        left = path[start][0]
-                        fit = pairs.get((left, token))
-                        if fit is None:
-                            fit = pairs[left, token] = self.fits(left, token)
-                        if fit:
-                            break
-                    else:
-                        raise ValueError(f"no encoding for {word[:i]!r}")
-                    if not mark:
-                        path.append((token, start))
+            n, shared = len(word), 0
+            for a, b in zip(word, before):
+                if a != b:
+                    break
+                shared += 1
+            del path[shared + 1:]
+            for i in range(len(path), n):
+                path.append(last(word, i, "", path))
+            token, start = last(word, n, self.end, path)
             out = [token]
             while start:
                 token, start = path[start]
                 out.append(token)
             out.reverse()
-            self.ids[raw] = " ".join([str(t) for t in out])
-            self.tokens[raw] = " ".join([self.text[t] for t in out])
-            before = word
+            self.ids[raw] = " ".join(map(str, out))
+            self.tokens[raw] = " ".join([text[t] for t in out])
+            # the next word may go on from here; its state without the mark is not known yet
+            before = word[:n - 1]
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, str]]:
         """Per text its ids, and its decoded tokens, each joined by a space."""
@@ -214,9 +225,19 @@ OUTPUTS = {
 }
 
 
+def _worker_bpe(spec: str) -> WordBpe:
+    """One encoder for the life of a Python worker: a later task knows the words
+    of the earlier ones.  It is kept beside the modules, as this function
+    itself travels with each task."""
+    held = sys.modules.setdefault("_martflow_word_bpe", ModuleType("_martflow_word_bpe"))
+    if getattr(held, "spec", None) != spec:
+        held.spec, held.bpe = spec, WordBpe(spec)
+    return held.bpe
+
+
 def _encoder(spec, wanted: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(spec.value)
+        bpe = _worker_bpe(spec.value)
         for batch in batches:
             start = 0
             for chunk in _chunks([t or "" for t in batch.column(1).to_pylist()]):
