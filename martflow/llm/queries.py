@@ -6,6 +6,7 @@ from .block_search import OP7_SQL, op7_block_search
 from .bpe import op8_bpe
 from .html_extract import op9_html_extract
 from .jaccard_join import op5_jaccard_join
+from .license_scan import op6_license_scan
 from .mixing import OP1_SQL, op1_mixing
 from .projection_dedup import op10_projection_dedup
 from .quality_crf import op2_quality_crf
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_license_scan": op6_license_scan,
     "op7_block_search": op7_block_search,
     "op8_bpe": op8_bpe,
     "op9_html_extract": op9_html_extract,
