@@ -2,8 +2,8 @@
 exact shingle containment verifies them.
 
 A text's words (runs of ASCII letters and digits, in lower case) are cut into
-overlapping windows a little longer than a template, so that some window holds
-any occurrence whole.  Each window gets ``BANDS`` MinHash values of its word
+overlapping windows one word longer than a template, one from each word on, so
+that some window holds any occurrence whole.  Each window gets ``BANDS`` MinHash values of its word
 pairs, one to a band: a window with Jaccard similarity 0.5 or more to a template
 shares a band with it with probability over 0.9999.  Retrieved pairs match when
 the window holds at least 85 % of the template's word pairs.  Texts without any
@@ -46,9 +46,12 @@ def _pairs(words: Column) -> Column:
                                        lambda a, b: F.concat_ws(" ", a, b)))
 
 
+def _least(pairs: Column, band: int) -> Column:
+    return F.array_min(F.transform(pairs, lambda s: F.xxhash64(s, F.lit(band))))
+
+
 def _bands(pairs: Column) -> Column:
-    return F.array(*[F.struct(F.lit(i).alias("band"), F.array_min(F.transform(
-        pairs, lambda s, i=i: F.xxhash64(s, F.lit(i)))).alias("least")) for i in range(BANDS)])
+    return F.array(*[F.struct(F.lit(i).alias("band"), _least(pairs, i).alias("least")) for i in range(BANDS)])
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, telling: str = TELLING) -> DataFrame:
@@ -64,10 +67,12 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, telling: str =
     words = rows.where(F.col("text").rlike(telling)).select("row", _words(F.col("text")).alias("words")) \
                 .where(F.size("words") > 1)
     lengths = F.array(*[F.lit(n) for n in sorted(set(sizes.values()))])
-    cut = words.withColumn("size", F.explode(lengths)).withColumn("step", F.greatest(F.lit(1), F.floor(F.col("size") / 8)))
-    cut = cut.withColumn("at", F.explode(F.expr("sequence(1L, greatest(1L, size(words) - size + 1L), step)")))
-    window = F.slice("words", F.col("at").cast("int"), (F.col("size") + F.col("step")).cast("int"))
-    near = (cut.select("row", "size", _pairs(window).alias("pairs")).where(F.size("pairs") > 0)
+    # only the window leaves the row, never the whole list of words with it
+    sized = words.withColumn("size", F.explode(lengths))
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - F.col("size") + 1))
+    cut = sized.select("row", "size", F.explode(F.transform(
+        starts, lambda s: F.slice("words", s, F.col("size") + 1))).alias("window"))
+    near = (cut.select("row", "size", _pairs(F.col("window")).alias("pairs")).where(F.size("pairs") > 0)
             .withColumn("key", F.explode(_bands(F.col("pairs"))))
             .select("row", "size", "pairs", "key.band", "key.least").join(keys, ["size", "band", "least"]))
     held = F.size(F.array_intersect("pairs", "wanted")) >= F.size("wanted") * CONTAINED
