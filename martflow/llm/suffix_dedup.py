@@ -112,8 +112,9 @@ FIRST = "kind byte, a long, b long, c long, sha string"
 
 def _first_pass(match: int, kmer: int):
     """Rows of three kinds: 0 a document (id, bytes, key of its text, digest),
-    2 a unit (anchor, id, place), 1 an anchor the task met often (anchor,
-    count).  Equal texts in one task give units once."""
+    2 a unit (anchor, key of its text, place), 1 an anchor the task met often
+    (anchor, count).  Equal texts in one task give units once, whichever copy
+    the task meets first."""
     def batch_of(kind: int, a, b, c, sha=None) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(a), kind), pa.int8()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
@@ -141,9 +142,9 @@ def _first_pass(match: int, kmer: int):
             met.append(anchor)
             if sum(map(len, met)) > 1_000_000:
                 count_met()
-            docs = np.array([d for d, _, _ in held])[piece]
+            keys = np.array([k for k, _, _ in held], np.int64)[piece]
             begin = np.array([o for _, o, _ in held])[piece] + start
-            return batch_of(2, anchor, docs, (begin << 14) | (offset << 7) | more)
+            return batch_of(2, anchor, keys, (begin << 14) | (offset << 7) | more)
 
         held, size = [], 0
         for batch in batches:
@@ -156,7 +157,7 @@ def _first_pass(match: int, kmer: int):
                     continue
                 done.add(key)
                 for at in range(0, len(raw) - match + 1, PIECE):
-                    held.append((doc, at, raw[at:at + PIECE + match - 1]))
+                    held.append((key, at, raw[at:at + PIECE + match - 1]))
                     size += len(held[-1][2])
                     if size >= BUFFER:
                         yield found(held)
@@ -349,15 +350,19 @@ def covered(docs: DataFrame, first: DataFrame, match: int, hot: int) -> tuple[Da
     frequent = (first.where("kind = 1").groupBy(F.col("a").alias("anchor")).agg(F.sum("b").alias("n"))
                 .where(F.col("n") >= hot).orderBy(F.desc("n"), "anchor").limit(MAX_FREQUENT).select("anchor"))
     frequent = keep(frequent.withColumn("hot", F.lit(True)), "frequent")     # at most MAX_FREQUENT rows
-    places = (first.where("kind = 2").select(F.col("a").alias("anchor"), F.col("b").alias("doc"), F.col("c").alias("place"))
+    places = (first.where("kind = 2").select(F.col("a").alias("anchor"), F.col("b").alias("key"), F.col("c").alias("place"))
               .join(F.broadcast(frequent), "anchor", "left"))
-    cold = (places.where("hot is null").withColumn("times", F.count("*").over(Window.partitionBy("anchor")))
-            .where("times > 1"))
-    members = keep(cold.select("anchor", "doc", "place").unionByName(
-        places.where("hot").select("anchor", "doc", "place")), "members")
-
-    by_doc = members.groupBy("doc").agg(F.collect_list(F.struct("anchor", "place")).alias("places"))
-    wanted = by_doc.join(reps, "doc").withColumnRenamed("doc", "_id")
+    # tasks that met the same text gave the same units: those are one place, no repeat
+    same = Window.partitionBy("anchor")
+    cold = (places.where("hot is null")
+            .withColumn("several", (F.min("key").over(same) < F.max("key").over(same))
+                        | (F.min("place").over(same) < F.max("place").over(same)))
+            .where("several"))
+    members = keep(cold.select("anchor", "key", "place").unionByName(
+        places.where("hot").select("anchor", "key", "place")), "members")
+
+    by_text = members.groupBy("key").agg(F.collect_set(F.struct("anchor", "place")).alias("places"))
+    wanted = by_text.join(reps, "key").withColumnRenamed("doc", "_id")
     texts = docs.join(wanted, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "key", "places")
     cut = keep(texts.mapInArrow(_cut(match), UNITS), "units")
     forget(members)

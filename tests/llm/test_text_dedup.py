@@ -84,6 +84,22 @@ def test_repeats_match_every_window(spark, hot):
     assert got == want
 
 
+@pytest.mark.parametrize("hot", [10_000, 2])
+@pytest.mark.parametrize("parts", [1, 4])
+def test_repeats_of_copies_met_out_of_order(spark, parts, hot):
+    """A task that meets a later copy first must not lose the units of the text."""
+    rng = random.Random(7)
+    passage, inner = words(rng, 20), words(rng, 15)
+    text = f"{words(rng, 10)} {passage} {inner} {words(rng, 10)} {inner} tail"
+    rows = [(1, f"{words(rng, 10)} {inner}"), (3, text), (7, text), (9, text), (10, f"{passage} {words(rng, 10)}")]
+    one = docs_frame(spark, rows[::-1]).coalesce(1)
+    frame = one if parts == 1 else one.repartition(parts)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+           for r in dedup(frame, match=40, kmer=8, hot=hot).collect()}
+    assert got == without_repeats(rows, 40)
+    assert got[10][1] > 0 and 0 < got[3][1] < got[3][0] == got[7][1]
+
+
 def test_repeats_keep_the_bytes_they_say(spark):
     import hashlib
     for r in dedup(docs_frame(spark, repeats(2)), match=40, kmer=8).collect():
