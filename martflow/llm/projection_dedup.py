@@ -4,8 +4,12 @@ Each pass gives a vector the signs of random projections as a bit string,
 sorts all vectors by it and compares every vector with its next ``WINDOW``
 neighbours in that order; pairs verified by cosine in double precision are
 united over the passes (of a block's pairs, those that connect its rows).  Close vectors share long bit prefixes, so they meet
-in some pass: the number of passes follows from the number of vectors and the
-recall wanted.
+in some pass: the number of first passes follows from the number of vectors and
+the recall wanted.  Each pass also measures how crowded a vector's place is: the
+bits it shares with the vector one window away are those a pair must agree on.
+Vectors whose measured chance leaves more misses than wanted get further passes
+among themselves, or, where passes would cost more, are compared all with all by
+tiles of bounded size.
 
 The order is cut into blocks of bounded size that overlap by one window, so no
 task holds more than a block.  Equal vectors are one class with a count.  A
@@ -25,10 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, keep, read, row_numbers
+from .common import components, keep, read, row_numbers, union_all
 from .vectors import dots, matrix, usable
 
 COSINE = 0.95
@@ -77,7 +81,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _windows(window: int, cosine: float):
-    """Verified pairs of a block, as many as it takes to connect its linked rows."""
+    """Verified pairs of a block, as many as it takes to connect its linked rows;
+    and, with ``depth``, the bits that row ``a`` must share to meet a row on one
+    side of it in the pass."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("rank")
         ids, own = table["vec_id"].to_numpy(), table["own"].to_numpy()
@@ -85,10 +91,17 @@ def _windows(window: int, cosine: float):
         lists = table["v"].combine_chunks()
         left: list[int] = []
         right: list[int] = []
+        codes = np.frombuffer(b"".join(table["code"].to_pylist()), np.uint8).reshape(len(ids), -1)
+        crowding = []
         for g in np.unique(group).tolist():
             at = np.nonzero(group == g)[0]
             x, vid, first = _unit(matrix(lists.take(pa.array(at)))), ids[at], own[at]
             root = np.arange(len(at))
+            if len(at) > window:
+                apart = np.unpackbits(codes[at[:-window]] ^ codes[at[window:]], axis=1)[first[:-window]]
+                depth = np.where(apart.any(axis=1), apart.argmax(axis=1), BITS) + 1
+                for who in (vid[:-window], vid[window:]):
+                    crowding.append((who[first[:-window]], np.full(len(depth), g % 100_000), depth))
             for d in range(1, min(window, len(at) - 1) + 1):
                 hit = np.nonzero((dots(x[:-d], x[d:]) >= cosine) & first[:-d])[0]
                 for i in hit[root[hit] != root[hit + d]].tolist():
@@ -104,7 +117,46 @@ def _windows(window: int, cosine: float):
                 while (root[root] != root).any():
                     root = root[root]
         a, b = np.array(left, np.int64), np.array(right, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        who, turn, depth = (np.concatenate(c) for c in zip(*crowding)) if crowding else (np.empty(0),) * 3
+        blank = [None] * len(a)
+        return pa.table({"a": pa.array(np.concatenate([np.minimum(a, b), who.astype(np.int64)])),
+                         "b": pa.array(np.concatenate([np.maximum(a, b), who.astype(np.int64)])),
+                         "pass": pa.array(blank + turn.tolist(), pa.int32()),
+                         "depth": pa.array(blank + depth.tolist(), pa.int32())})
+    return run
+
+
+def _all_pairs(cosine: float):
+    """Pairs of a tile of two chunks: each row's links, by what they connect."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        i, j = int(key[0].as_py()), int(key[1].as_py())
+        ids, chunk = table["vec_id"].to_numpy(), table["chunk"].to_numpy()
+        lists = table["v"].combine_chunks()
+        dims = np.asarray(lists.value_lengths())
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for dim in np.unique(dims).tolist():
+            at = np.nonzero(dims == dim)[0]
+            x, vid = _unit(matrix(lists.take(pa.array(at)))), ids[at]
+            root = np.arange(len(at))
+            a, b = np.nonzero(chunk[at] == i)[0], np.nonzero(chunk[at] == j)[0]
+            for s in range(0, len(a), 512):
+                rows = a[s:s + 512]
+                near = x[rows] @ x[b].T
+                link = near >= cosine
+                r, c = np.nonzero(np.abs(near - cosine) < 1e-9)
+                link[r, c] = dots(x[rows[r]], x[b[c]]) >= cosine
+                for m in range(len(rows)):
+                    to = b[link[m]]
+                    own = root[rows[m]]
+                    # one link to every tree not yet joined to this row's
+                    trees, one = np.unique(root[to], return_index=True)
+                    one, trees = one[trees != own], trees[trees != own]
+                    if len(one):
+                        left.append(np.full(len(one), vid[rows[m]]))
+                        right.append(vid[to[one]])
+                        root[np.isin(root, trees)] = own
+        p, q = np.concatenate(left), np.concatenate(right)
+        return pa.table({"a": np.minimum(p, q), "b": np.maximum(p, q)})
     return run
 
 
@@ -139,6 +191,46 @@ def _counts(cosine: float):
     return run
 
 
+def _meet(reps: DataFrame, some: DataFrame, rounds: int, seed: int, cosine: float, window: int,
+          block: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs that passes over ``some`` of the vectors find, and those (``vec_id,
+    log_missed``) that may still miss more of theirs than ``MISSED``."""
+    vectors = reps.select("vec_id", "v")
+    before = some.select("vec_id", (F.col("log_missed") if "log_missed" in some.columns else F.lit(0.0)).alias("so_far"))
+    chosen = vectors.join(before.select("vec_id"), "vec_id") if "log_missed" in some.columns else vectors
+    codes = chosen.mapInArrow(_codes(rounds, seed), "vec_id long, dim int, pass int, code binary")
+    ranked = row_numbers(codes, F.col("dim"), F.col("pass"), F.col("code"), F.col("vec_id"))
+    home = F.floor(F.col("rank") / block)
+    spread = F.when((F.col("rank") % block < window) & (F.col("rank") >= block), F.array(home, home - 1)) \
+              .otherwise(F.array(home))
+    placed = (ranked.withColumn("home", home).withColumn("block", F.explode(spread))
+              .withColumn("own", F.col("home") == F.col("block")).drop("home"))
+    met = keep(placed.join(vectors, "vec_id").groupBy("block").applyInArrow(
+        _windows(window, cosine), "a long, b long, pass int, depth int"), "met")
+
+    agree = 1 - math.acos(cosine) / math.pi
+
+    # by the more crowded side, and by the mean over the passes: a pass in which a
+    # vector stands alone is one in which its bits are near zero, and its partner's differ
+    each = met.where("depth is not null").groupBy(F.col("a").alias("vec_id"), "pass").agg(F.max("depth").alias("depth"))
+    total = (each.groupBy("vec_id").agg(F.count("*").alias("n"), F.avg("depth").alias("depth"))
+             .withColumn("gained", rounds * F.log1p(-F.pow(F.lit(agree), F.col("depth")))))
+    # a pass without a row saw the vector's whole side of the table: nothing is missed
+    crowd = (total.where(F.col("n") == rounds).join(before, "vec_id")
+             .select("vec_id", (F.col("so_far") + F.col("gained")).alias("log_missed"))
+             .where(F.col("log_missed") > math.log(MISSED)))
+    return met.where("depth is null").select("a", "b"), keep(crowd, "crowd")
+
+
+def _tiled(vectors: DataFrame, n: int, cosine: float) -> DataFrame:
+    chunks = -(-n // CHUNK)
+    tiles = vectors.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
+    return (tiles.select(F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
+                         "chunk", "vec_id", "v")
+            .groupBy("lo", "hi").applyInArrow(_all_pairs(cosine), "a long, b long"))
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, window: int = WINDOW, block: int = BLOCK,
                     rounds: int | None = None, seed: int = 7) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of
@@ -150,15 +242,16 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, window: int = WI
     reps = classes.select(F.col("rep").alias("vec_id"), "v", "copies").dropDuplicates(["vec_id"])
     rounds = rounds or passes(classes.count(), cosine, window)
 
-    codes = reps.select("vec_id", "v").mapInArrow(_codes(rounds, seed), "vec_id long, dim int, pass int, code binary")
-    ranked = row_numbers(codes, F.col("dim"), F.col("pass"), F.col("code"), F.col("vec_id"))
-    home = F.floor(F.col("rank") / block)
-    spread = F.when((F.col("rank") % block < window) & (F.col("rank") >= block), F.array(home, home - 1)) \
-              .otherwise(F.array(home))
-    placed = (ranked.withColumn("home", home).withColumn("block", F.explode(spread))
-              .withColumn("own", F.col("home") == F.col("block")).drop("home", "code"))
-    pairs = keep(placed.join(reps.select("vec_id", "v"), "vec_id").groupBy("block")
-                 .applyInArrow(_windows(window, cosine), "a long, b long").distinct(), "pairs")
+    found, crowd = _meet(reps, reps, rounds, seed, cosine, window, block)
+    pairs, spent = [found], rounds
+    while n := crowd.count():
+        if 2 * spent * window >= n:
+            pairs.append(_tiled(reps.join(crowd, "vec_id").select("vec_id", "v"), n, cosine))
+            break
+        found, crowd = _meet(reps, crowd, spent, seed + spent, cosine, window, block)
+        pairs.append(found)
+        spent *= 2
+    pairs = keep(union_all(pairs).distinct(), "pairs")
     label = keep(components(pairs), "components")
 
     # all links lie inside components: count them there, tile by tile

@@ -110,3 +110,28 @@ def test_near_duplicates_of_empty_tables_and_repeated_rows(spark):
 def test_more_vectors_need_more_passes():
     assert passes(10 ** 3) <= passes(10 ** 6) <= passes(10 ** 9)
     random.seed(0)
+
+
+def test_pairs_inside_a_dense_cone_are_found(spark):
+    """Unlinked vectors at mutual cosine 0.9 stand between the true pairs."""
+    rng = np.random.default_rng(11)
+    n, dim, planted = 2400, 64, 100
+    axis = np.zeros(dim)
+    axis[0] = 3.0
+
+    def flat(size):
+        x = rng.standard_normal((size, dim))
+        x[:, 0] = 0
+        return x / np.linalg.norm(x, axis=1)[:, None]
+
+    cone = axis + flat(n)
+    side = flat(planted)
+    twins = axis + (cone[:planted] - axis) * 0.6 + 0.8 * side
+    vectors = [(i, [float(v) for v in x]) for i, x in enumerate(np.concatenate([cone, twins]))]
+    x = np.array([v for _, v in vectors], np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert near.sum() >= planted
+    got = {r["vec_id"]: r["n_links"] for r in near_duplicates(frame(spark, vectors), window=8).collect()}
+    assert sum(got.values()) >= 0.99 * near.sum()
