@@ -64,6 +64,35 @@ def row_numbers(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
             .drop("_part", "_before", "_n"))
 
 
+def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, columns: list[str],
+               small: int = 1 << 17) -> DataFrame:
+    """``rows`` with ``columns`` of the row of ``groups`` that has their ``key``
+    (text; null has none), null where there is none.  ``groups`` has one row per
+    key, of a few numbers, and ``size`` counts the rows of the group.
+
+    Up to ``small`` groups are counted and broadcast.  Beyond that the groups
+    with a thousandth of all rows or more, 1,000 at most, are broadcast, and the
+    others joined by a shuffle in which the rows of those large ones are spread."""
+    told = groups.select(F.col(key).alias("_k"), F.col(size).alias("_n"), F.struct(*columns).alias("_g"))
+    sums = told.agg(F.count("*").alias("groups"), F.sum("_n").alias("rows")).first()
+    plain = [F.col(c) for c in rows.columns if c not in columns]
+
+    def joined(left: DataFrame, right: DataFrame, on: Column, into: str) -> DataFrame:
+        return left.join(right.select(F.col("_k").alias("_key"), F.col("_g").alias(into)),
+                         on == F.col("_key"), "left").drop("_key")
+
+    if sums["groups"] <= small:
+        out = joined(rows, F.broadcast(told), F.col(key), "_found")
+    else:
+        large = F.col("_n") * 1000 >= sums["rows"]
+        near = joined(rows, F.broadcast(told.where(large)), F.col(key), "_near")
+        spread = F.when(F.col("_near").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(
+            F.concat(F.lit("~"), F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("string")))
+        far = joined(near.withColumn("_spread", spread), told.where(~large), F.col("_spread"), "_far")
+        out = far.withColumn("_found", F.coalesce("_near", "_far"))
+    return out.select(*plain, *[F.col("_found").getField(c).alias(c) for c in columns])
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of ``edges (a, b)``: the component
     is its smallest node.  Labels take the minimum of the neighbourhood and then

@@ -12,6 +12,7 @@ from .projection_dedup import op10_projection_dedup
 from .quality_crf import op2_quality_crf
 from .secret_scan import op3_secret_scan
 from .suffix_dedup import op4_suffix_dedup
+from .warc_index import OP11_SQL, op11_warc_index
 
 QUERIES = {
     "op1_mixing": op1_mixing,
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_html_extract": op9_html_extract,
     "op10_projection_dedup": op10_projection_dedup,
+    "op11_warc_index": op11_warc_index,
 }
 
 ORACLE_SQL = {
     "op1_mixing": OP1_SQL,
     "op7_block_search": OP7_SQL,
+    "op11_warc_index": OP11_SQL,
 }
