@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
