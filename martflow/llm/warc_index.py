@@ -51,8 +51,8 @@ ARCHIVE_BYTES = 64 << 20
 FAN_IN = 64
 #: Captures of a range, and the largest number of ranges of one merge.
 RANGE_ROWS, RANGES = 65_536, 4_096
-#: Keys looked at to choose the splitters of one level, at most.
-SAMPLE = 262_144
+#: Keys looked at to choose the splitters of one level: so many a range, and in all.
+RANGE_SAMPLE, SAMPLE = 64, 65_536
 #: Pages hold no time of capture: the query takes this one (2024-01-01 UTC) and
 #: a second for each id, starting anew after a year.
 FIRST_CAPTURE, YEAR = 1_704_067_200, 365 * 86_400
@@ -351,7 +351,7 @@ def _merge(key: tuple, table: pa.Table) -> pa.Table:
 def _splitters(runs: DataFrame, groups: int, total: int) -> dict[int, list[tuple]]:
     """Range bounds of each group of runs, from keys chosen by a hash of their
     place: about ``SAMPLE`` keys at most, and so about ``RANGES`` bounds."""
-    step = max(16, -(-total // SAMPLE))
+    step = max(1, RANGE_ROWS // RANGE_SAMPLE, -(-total // SAMPLE))
     held = max(RANGE_ROWS, -(-total // RANGES))
     rows = (runs.where(F.pmod(F.xxhash64("run", "seq"), F.lit(step)) == 0)
             .select(F.pmod("run", F.lit(groups)).alias("grp"), *ARROW.names).collect())
