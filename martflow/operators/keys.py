@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,17 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str],
                                for c in payload if c not in keys])
 
 
+#: Buckets of the fact's key index, and orders with consecutive numbers that share one.
+KEY_BUCKETS, ORDERS_PER_BLOCK_BITS = 256, 10
+
+
+def order_bucket(order: Column) -> Column:
+    """Bucket of an order in the key index: a hash of its block of consecutive
+    numbers.  Orders are numbered as they come, so a batch falls into few
+    buckets; blocks are spread evenly, however hot an order is."""
+    return F.pmod(F.xxhash64(F.shiftright(order, ORDERS_PER_BLOCK_BITS)), F.lit(KEY_BUCKETS)).cast("int")
+
+
 # A key set is "few" when (number of keys x row width) is under this.
 FEW_KEYS_BYTES = 64 * 1024 * 1024
 
@@ -151,10 +162,15 @@ def insert_ignore_rare(batch: DataFrame, keys: list[str], order_by: list[str],
             F.max("_exists").alias("_exists"))
     shared_dir(batch.sparkSession)  # make sure the checkpoint folder is set
     special = special.checkpoint(eager=True)
-    if special.count() * row_bytes(special.schema) > limit_bytes:
+    found = {r["_exists"]: r["count"] for r in special.groupBy("_exists").count().collect()}
+    if sum(found.values()) * row_bytes(special.schema) > limit_bytes:
         return insert_ignore(batch, keys, order_by, columns, target, required)
+    if not found:       # every key is new and comes once
+        return rows.select(*columns)
     flagged = F.broadcast(special)
     passthrough = rows.join(flagged, group_keys, "left_anti")
+    if False not in found:
+        return passthrough.select(*columns)
     repeated = rows.join(flagged.filter(~F.col("_exists")).select(*group_keys), group_keys,
                          "left_semi")
     payload = [c for c in columns if c not in group_keys]

@@ -1,21 +1,27 @@
 """Staging -> star schema loaders.
 
-Every loader is ``(staged, existing target) -> rows to append``; the same
-functions serve the one-shot batch load and each streaming micro-batch.
-Dimensions go first and the fact last, and all are insert-ignore on their
-business key, so re-running a load (or replaying a micro-batch) appends
-nothing twice.
+Every loader is ``(staged, existing target) -> rows to append``.  Dimensions go
+first and the fact last, and all are insert-ignore on their business key, so
+re-running a load (or replaying a micro-batch) appends nothing twice.
+
+A load of all tables shares its scans of the staged rows: :func:`batch_keys`
+finds the keys of the batch for all dimensions in one scan, :func:`dimension_rows`
+fetches the attributes of the new ones in a second (none when no key is new), and
+the foreign keys are checked on those keys (:func:`missing_parents`), not on the
+rows.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.calendar import calendar_columns, time_key
-from martflow.operators.keys import insert_ignore, insert_ignore_rare
+from martflow.operators.keys import FEW_KEYS_BYTES, first_per_key, insert_ignore, insert_ignore_rare
 from martflow.schemas import (
     ARRIVAL_ORDER, DIM_CUSTOMER_COLUMNS, DIM_PRODUCT_COLUMNS, DIM_STORE_COLUMNS,
     DIM_SUPPLIER_COLUMNS, DIM_TIME_COLUMNS, FACT_COLUMNS, FACT_FOREIGN_KEYS, FACT_KEY,
@@ -50,7 +56,10 @@ def dim_time(staged: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """One row per calendar day, keyed by the date itself; Time_ID is the
     yyyymmdd number, so the fact needs no lookup join to find it."""
     days = staged.select(F.to_date("Date").alias("Date")).filter(F.col("Date").isNotNull())
-    days = days.distinct()  # a hash aggregate, combined map-side
+    return calendar_rows(days.distinct(), target)  # a hash aggregate, combined map-side
+
+
+def calendar_rows(days: DataFrame, target: DataFrame | None = None) -> DataFrame:
     rows = days.select(time_key(F.col("Date")).alias("Time_ID"), "Date",
                        *calendar_columns(F.col("Date")))
     rows = rows.select(*DIM_TIME_COLUMNS)
@@ -79,9 +88,10 @@ def fact_sales(staged: DataFrame, target: DataFrame | None = None) -> DataFrame:
                               required=FACT_KEY_REQUIRED)
 
 
-def foreign_key_check(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def foreign_key_check(fact: DataFrame, dims: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
     """Fact rows with ``Reject_Reason`` naming the first missing parent (J7);
-    NULL when every non-NULL foreign key has its dimension row.
+    NULL when every non-NULL foreign key has its dimension row.  ``columns``
+    limits the check to some foreign keys.
 
     One left join per key against the key column of the dimension (which
     is unique there).  A caller that has counted a dimension may pass it with
@@ -90,6 +100,8 @@ def foreign_key_check(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     df = fact
     reasons = []
     for i, (col, dim, dim_col) in enumerate(FACT_FOREIGN_KEYS):
+        if columns is not None and col not in columns:
+            continue
         hit = f"_fk{i}"
         parent = dims[dim].select(F.col(dim_col).alias(col), F.lit(True).alias(hit))
         df = df.join(parent, col, "left")
@@ -105,18 +117,102 @@ def foreign_key_split(fact: DataFrame, dims: dict[str, DataFrame]) -> tuple[Data
     return ok, checked.filter(F.col("Reject_Reason").isNotNull())
 
 
+#: The dimensions that come from sales: table -> key and columns.
+SALE_DIMENSIONS = {
+    "dim_customer": ("Customer_ID", DIM_CUSTOMER_COLUMNS), "dim_product": ("Product_ID", DIM_PRODUCT_COLUMNS),
+    "dim_store": ("Store_ID", DIM_STORE_COLUMNS), "dim_supplier": ("Supplier_ID", DIM_SUPPLIER_COLUMNS),
+}
+_KEYS = ["Customer_ID", "Product_ID", "Store_ID", "Supplier_ID", "Day"]
+
+
+def _of(keys: DataFrame, key: str) -> DataFrame:
+    """The rows of :func:`batch_keys` that hold keys of one dimension."""
+    return keys.where((F.col("_set") == _set(key)) & F.col(key).isNotNull())
+
+
+def batch_keys(staged: DataFrame) -> DataFrame:
+    """Every dimension key of a batch with its earliest date, from one scan: a hash
+    aggregate over the five grouping sets, combined map-side, so a hot key
+    is one row per task before the shuffle.  Checkpointed in the shared folder."""
+    from martflow.session import shared_dir
+    rows = staged.select(*_KEYS[:-1], F.to_date("Date").alias("Day"), "Date")
+    keys = rows.groupingSets([[k] for k in _KEYS], *_KEYS).agg(
+        F.min("Date").alias("_lead"), F.grouping_id().alias("_set"))
+    shared_dir(staged.sparkSession)
+    return keys.checkpoint(eager=True)
+
+
+def _set(key: str) -> int:
+    return (1 << len(_KEYS)) - 1 - (1 << (len(_KEYS) - 1 - _KEYS.index(key)))
+
+
+def dimension_rows(staged: DataFrame, keys: DataFrame, targets: dict[str, DataFrame | None],
+                   limit_bytes: int = FEW_KEYS_BYTES) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Rows to append to each dimension that has new keys, and the numbers of those
+    keys.  Keys that are already there are left
+    out first; only where keys are new are the staged rows scanned, once for all
+    dimensions: the rows of a new key's earliest date are kept map-side and the
+    first of them by arrival order is taken.  A dimension whose new keys are too
+    many to broadcast takes the general plan."""
+    from martflow.plans.star import row_bytes
+    fresh = []
+    dims = {**SALE_DIMENSIONS, "dim_time": ("Day", DIM_TIME_COLUMNS)}
+    for table, (key, _) in dims.items():
+        mine, target = _of(keys, key), targets.get(table)
+        if target is not None:
+            loaded = target.select(F.col("Date").alias("Day") if key == "Day" else key)
+            mine = mine.join(loaded, key, "left_anti").select(*keys.columns)
+        fresh.append(mine)
+    fresh_keys = reduce(DataFrame.unionByName, fresh).checkpoint(eager=True)
+    found = {r["_set"]: r["count"] for r in fresh_keys.groupBy("_set").count().collect()}
+    counts = {table: found.get(_set(key), 0) for table, (key, _) in dims.items()}
+    out = {}
+    if counts["dim_time"]:
+        out["dim_time"] = calendar_rows(_of(fresh_keys, "Day").select(F.col("Day").alias("Date")))
+    picked, rows = [], staged
+    for table, (key, columns) in SALE_DIMENSIONS.items():
+        if not counts[table]:
+            continue
+        mine = _of(fresh_keys, key).select(key, F.col("_lead").alias(f"_{table}"))
+        if counts[table] * row_bytes(mine.schema) > limit_bytes:
+            out[table] = insert_ignore(staged, [key], ARRIVAL_ORDER, columns, targets.get(table))
+        else:
+            picked.append(table)
+            rows = rows.join(F.broadcast(mine), key, "left")
+    if picked:
+        first = {t: F.col("Date") == F.col(f"_{t}") for t in picked}
+        wanted: Column = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in first.values()])
+        candidates = rows.where(wanted).checkpoint(eager=True)
+        for t in picked:
+            key, columns = SALE_DIMENSIONS[t]
+            out[t] = first_per_key(candidates.where(first[t]), [key], ARRIVAL_ORDER, columns).select(*columns)
+    return out, counts
+
+
+def missing_parents(keys: DataFrame, dims: dict[str, DataFrame]) -> dict[str, int]:
+    """J7 on the keys of a batch: foreign-key column -> number of keys without
+    their dimension row (columns without such keys are left out).  The rows of the
+    fact are joined with nothing."""
+    missing = []
+    for col, dim, dim_col in FACT_FOREIGN_KEYS:
+        if col == "Time_ID":
+            mine = _of(keys, "Day").select(time_key(F.col("Day")).alias(col))
+        else:
+            mine = _of(keys, col).select(col)
+        parent = dims[dim].select(F.col(dim_col).alias(col))
+        missing.append(mine.join(parent, col, "left_anti").select(F.lit(col).alias("fk")))
+    return {r["fk"]: r["count"] for r in reduce(DataFrame.unionByName, missing).groupBy("fk").count().collect()}
+
+
 @dataclass
 class LoadResult:
     """What one load appended, per table."""
 
-    appended: dict[str, DataFrame]
-    observations: dict[str, Observation] = field(default_factory=dict)
+    rows: dict[str, int]
 
     def report(self, spark: SparkSession) -> DataFrame:
-        """Rows newly loaded per table (needs the writes to have run)."""
-        rows = [(t, int(self.observations[t].get.get("rows", 0))) for t in STAR_TABLES
-                if t in self.observations]
-        values = ", ".join(f"('{t}', CAST({n} AS BIGINT))" for t, n in rows)
+        """Rows newly loaded per table."""
+        values = ", ".join(f"('{t}', CAST({self.rows[t]} AS BIGINT))" for t in STAR_TABLES if t in self.rows)
         return spark.sql(f"SELECT * FROM VALUES {values} AS report(table_name, rows_loaded)")
 
 

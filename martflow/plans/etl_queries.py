@@ -14,8 +14,15 @@ on the staged rows:
 * partial masters: customers and products withheld, one product listed twice;
   their sales must be quarantined, the others loaded.
 * stream: the transactions delivered as CSV files and loaded by the
-  Structured Streaming ingest must give the same fact as the batch load, also
-  when a file is delivered a second time.
+  Structured Streaming ingest, in four micro-batches at least, must give the same
+  fact and stores as the batch load, also when a file is delivered a second time.
+* duplicates in the stream: files sent twice within the watermark reach the
+  load once.
+* mixed headers: files of two column orders in one folder.
+* re-drive: masters that arrive after their sales empty the quarantine.
+* a load that dies before the fact: nothing of it is seen.
+* constraints: sales with null keys and over-long text, and a batch of rejects only.
+* events: hourly sums of the event stream.
 """
 
 from __future__ import annotations
@@ -23,19 +30,22 @@ from __future__ import annotations
 import hashlib
 import threading
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.operators import load as L
+from martflow.plans.views import store_quarterly_view
 from martflow.plans.warehouse import (
-    BUILD_VERSION, Warehouse, _fingerprint, load_feed, open_warehouse,
+    BUILD_VERSION, Warehouse, _fingerprint, load_feed, open_warehouse, redrive,
 )
-from martflow.schemas import STAGED_COLUMNS
-from martflow.session import path_exists, shared_dir, write_marker
+from martflow.schemas import STAGED_COLUMNS, STAR_TABLES
+from martflow.session import folder_bytes, input_identity, path_exists, shared_dir, write_marker
 from martflow.sources import testdata
-from martflow.sources.csv_files import csv_feed, write_transaction_files
+from martflow.sources.csv_files import csv_feed, read_transactions, write_transaction_files
 from martflow.sources.feed import Feed
+from martflow.streaming.events import deliver_events, hourly, run_hourly
 from martflow.streaming.ingest import run_ingest
 
 INCREMENTAL_CUTOFF = "1998-01-01"
@@ -82,8 +92,14 @@ def fk_check_recent_dims(wh: Warehouse, cutoff: str = INCREMENTAL_CUTOFF) -> Dat
 
 ROWS_PER_DELIVERED_FILE = 1_000_000
 MIN_DELIVERED_FILES = 4
-#: Intake of one micro-batch: constant, whatever the number of files.
+#: Intake of one micro-batch, however much is delivered; less where the whole
+#: delivery would make under `MIN_MICRO_BATCHES` of them.
 MICRO_BATCH_BYTES = 512 << 20
+MIN_MICRO_BATCHES = 4
+
+
+def micro_batch_bytes(spark: SparkSession, drop: str) -> int:
+    return max(1, min(MICRO_BATCH_BYTES, folder_bytes(spark, drop) // MIN_MICRO_BATCHES))
 
 
 def delivered_files(spark: SparkSession, sf_dir: str) -> int:
@@ -121,7 +137,7 @@ def streamed(spark: SparkSession, sf_dir: str, files: int | None = None,
         drop = f"{root}/drop"
         write_transaction_files(testdata.transactions(spark, sf_dir), drop, files)
         bound = ({"max_files_per_trigger": max_files_per_trigger} if max_files_per_trigger
-                 else {"max_bytes_per_trigger": MICRO_BATCH_BYTES})
+                 else {"max_bytes_per_trigger": micro_batch_bytes(spark, drop)})
         run_ingest(spark, wh, drop, _masters(spark, sf_dir), f"{root}/checkpoint", lines=True,
                    product_type="bigint", **bound)
 
@@ -133,9 +149,16 @@ def stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stores by id and name; their city is that of the first buyer *of the
-    first micro-batch*, which depends on how the feed is cut, so it is left out."""
-    return streamed(spark, sf_dir).store.select("Store_ID", "Store_Name")
+    """Files come in the order of their dates, so a store's first buyer is in the
+    first micro-batch that sells there."""
+    return streamed(spark, sf_dir).store
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: what the stream has read, and what it says is left, at its end."""
+    p = streamed(spark, sf_dir).table("stream_progress")
+    return p.agg(F.sum("rows_read").alias("rows_read"), F.min("files_left").alias("files_left"),
+                 (F.count(F.lit(1)) >= MIN_MICRO_BATCHES).alias("several_micro_batches"))
 
 
 def stream_redelivered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,6 +174,115 @@ def stream_redelivered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _built(spark, sf_dir, "redelivered", build).fact
 
 
+def stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file is sent twice before the stream reads them, one by one; how
+    often each row reached the load."""
+    def build(wh: Warehouse, root: str) -> None:
+        lines = testdata.transactions(spark, sf_dir)
+        for turn in ("first", "again"):
+            write_transaction_files(lines, f"{root}/drop/{turn}", MIN_DELIVERED_FILES)
+        run_ingest(spark, wh, f"{root}/drop/*", _masters(spark, sf_dir), f"{root}/checkpoint", lines=True,
+                   product_type="bigint", max_files_per_trigger=2, dedupe_within="7 days", keep_staging=True)
+
+    wh = _built(spark, sf_dir, "deduplicated", build)
+    return wh.staged().groupBy("Order_ID", "Line_Number", "Product_ID", "Supplier_ID", "Customer_ID", "Quantity", "Date") \
+        .agg(F.count(F.lit(1)).alias("times_loaded"))
+
+
+def mixed_headers_fact(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """Half of the sales are delivered with their columns in another
+    order, into the same folder."""
+    other = ["quantity", "Product_ID", "date", "lineNumber", "supplierID", "_c0", "Customer_ID", "orderID"]
+
+    def build(wh: Warehouse, root: str) -> None:
+        drop, lines = f"{root}/drop", testdata.transactions(spark, sf_dir)
+        write_transaction_files(lines.where(F.col("Order_ID") % 2 == 0), drop, 2)
+        write_transaction_files(lines.where(F.col("Order_ID") % 2 == 1), drop, 2, order=other, mode="append")
+        masters = _masters(spark, sf_dir)
+        if streaming:
+            run_ingest(spark, wh, drop, masters, f"{root}/checkpoint", lines=True, product_type="bigint",
+                       max_files_per_trigger=2)
+        else:
+            rows = read_transactions(spark, drop, lines=True, product_type="bigint")
+            load_feed(wh, replace(masters, transactions=rows), batch="mixed")
+
+    return _built(spark, sf_dir, f"mixed-{'stream' if streaming else 'batch'}", build).fact
+
+
+def summary_after_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept summary after two loads and a replay of the second, opened
+    anew as another session would."""
+    wh = backfilled(spark, sf_dir)
+    load_feed(wh, testdata.testdata_feed(spark, sf_dir), batch="history")
+    return store_quarterly_view(Warehouse(spark, wh.root))
+
+
+def committed_only(spark: SparkSession, sf_dir: str, cutoff: str = INCREMENTAL_CUTOFF) -> DataFrame:
+    """Recent sales are loaded; a load of the whole history then dies when its
+    dimensions are written and its fact is not.  The rows that readers see."""
+    class Killed(RuntimeError):
+        pass
+
+    class Dying(Warehouse):
+        def add(self, name: str, *args, **kwargs):
+            if name == "fact_sales":
+                raise Killed
+            return super().add(name, *args, **kwargs)
+
+    def build(wh: Warehouse, root: str) -> None:
+        feed = testdata.testdata_feed(spark, sf_dir)
+        recent = feed.transactions.filter(F.col("Date") >= F.lit(cutoff).cast("timestamp_ntz"))
+        load_feed(wh, replace(feed, transactions=recent), batch="recent")
+        try:
+            load_feed(Dying(spark, wh.root), feed, batch="history")
+        except Killed:
+            return
+        raise AssertionError("the load should have died")
+
+    wh = _built(spark, sf_dir, f"killed-{cutoff}", build)
+    tables = [wh.table(t).agg(F.count(F.lit(1)).alias("rows_seen")).select(F.lit(t).alias("table_name"), "rows_seen")
+              for t in STAR_TABLES]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def redriven(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The masters of :func:`partial_masters`, then the withheld ones."""
+    def build(wh: Warehouse, root: str) -> None:
+        feed = testdata.testdata_feed(spark, sf_dir)
+        load_feed(wh, replace(feed, customers=feed.customers.filter(F.col("Customer_ID") % 7 != 0),
+                              products=feed.products.filter(F.col("Product_ID") % 11 != 0), master_rows=None),
+                  batch="partial")
+        redrive(wh, feed, batch="redrive")
+
+    return _built(spark, sf_dir, "redriven", build)
+
+
+def constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales without a customer or a date, of a product whose category
+    is too long and of a store without an id; and before them a batch of rejects only.
+    Rows per table and reason after both loads."""
+    def build(wh: Warehouse, root: str) -> None:
+        feed = testdata.testdata_feed(spark, sf_dir)
+        order = F.col("Order_ID")
+        load_feed(wh, replace(feed, transactions=feed.transactions.where(order % 5 == 0)
+                              .withColumn("Parse_Error", F.lit("unparsable Quantity"))), batch="rejects")
+        sales = (feed.transactions.withColumn("Date", F.when(order % 13 != 0, F.col("Date")))
+                 .withColumn("Customer_ID", F.when(order % 11 != 0, F.col("Customer_ID"))))
+        products = (feed.products.withColumn("Product_Category", F.when(F.col("Product_ID") % 17 == 0, F.repeat(
+            F.col("Product_Category"), 60)).otherwise(F.col("Product_Category")))
+            .withColumn("Store_ID", F.when(F.col("Product_ID") % 3 != 0, F.col("Store_ID"))))
+        load_feed(wh, replace(feed, transactions=sales, products=products, master_rows=None), batch="sales")
+
+    wh = _built(spark, sf_dir, "constraints", build)
+    held = wh.quarantine().groupBy("batch", F.col("Reject_Reason").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    stores = wh.store.agg(F.count(F.lit(1)).alias("n")).select(F.lit("sales").alias("batch"), F.lit("stores").alias("what"), "n")
+    fact = wh.fact.groupBy(F.when(F.col("Store_ID").isNull(), "sales without a store").otherwise("sales of a store")
+                           .alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    loads = (wh.table("load_report").where("table_name = 'fact_sales' AND rows_loaded = 0")
+             .select("batch", F.lit("loads of nothing").alias("what"), F.lit(1).cast("long").alias("n")))
+    return held.unionByName(stores).unionByName(fact.withColumn("batch", F.lit("sales"))).unionByName(loads)
+
+
 def backfilled(spark: SparkSession, sf_dir: str, cutoff: str = INCREMENTAL_CUTOFF) -> Warehouse:
     """Recent sales loaded first, then the full history into the same tables."""
     def build(wh: Warehouse, root: str) -> None:
@@ -194,6 +326,22 @@ def csv_batch_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _built(spark, sf_dir, "csv", build).fact
 
 
+def hourly_events_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly count and value of each event type, from the event files read as a
+    stream in several micro-batches."""
+    key = hashlib.sha1(f"{BUILD_VERSION}|{input_identity(spark, f'{sf_dir.rstrip('/')}/events.parquet')}|{sf_dir}"
+                       .encode()).hexdigest()[:16]
+    root = f"{shared_dir(spark)}/martflow/events-{key}"
+    with _stream_lock:
+        if not path_exists(spark, f"{root}/_COMPLETE"):
+            events = testdata.table(spark, sf_dir, "events")
+            deliver_events(events, f"{root}/drop", MIN_DELIVERED_FILES)
+            run_hourly(spark, f"{root}/drop", f"{root}/hourly", f"{root}/checkpoint", events.schema,
+                       max_files_per_trigger=1)
+            write_marker(spark, f"{root}/_COMPLETE", "ok")
+    return hourly(spark, f"{root}/hourly")
+
+
 def _wh(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(open_warehouse(spark, sf_dir))
@@ -221,5 +369,15 @@ QUERIES = {
     "stream_fact_sales": stream_fact,
     "stream_dim_store": stream_store,
     "stream_redelivered_fact": stream_redelivered_fact,
+    "stream_deduplicated_rows": stream_deduplicated,
+    "stream_progress_totals": stream_progress,
+    "stream_mixed_headers_fact": lambda spark, sf_dir: mixed_headers_fact(spark, sf_dir, streaming=True),
+    "csv_mixed_headers_fact": mixed_headers_fact,
+    "stream_hourly_events": hourly_events_streamed,
+    "view_store_quarterly_after_replay": summary_after_replay,
+    "load_killed_before_fact": committed_only,
+    "load_redriven_fact": lambda spark, sf_dir: redriven(spark, sf_dir).fact,
+    "etl_quarantine_redriven": lambda spark, sf_dir: quarantine(redriven(spark, sf_dir)),
+    "etl_constraints": constraints,
     "csv_batch_fact_sales": csv_batch_fact,
 }

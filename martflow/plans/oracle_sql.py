@@ -343,7 +343,37 @@ UNION ALL SELECT 'fact_sales', COUNT(*) FROM fact"""),
 SELECT * FROM (SELECT f.*, {_reason} AS Reject_Reason FROM fact f {_joins})
 WHERE Reject_Reason IS NOT NULL"""),
     "stream_fact_sales": with_star("SELECT * FROM fact"),
-    "stream_dim_store": with_star("SELECT Store_ID, Store_Name FROM dim_store"),
+    "stream_dim_store": with_star("SELECT * FROM dim_store"),
+    # what is sent twice reaches the load once
+    "stream_deduplicated_rows": with_star("""
+SELECT DISTINCT Order_ID, Line_Number, Product_ID, Supplier_ID, Customer_ID, Quantity, Date,
+       CAST(1 AS BIGINT) AS times_loaded FROM staged"""),
+    "stream_progress_totals": with_star("""
+SELECT COUNT(*) AS rows_read, CAST(0 AS BIGINT) AS files_left, TRUE AS several_micro_batches FROM txn"""),
+    "stream_mixed_headers_fact": with_star("SELECT * FROM fact"),
+    "csv_mixed_headers_fact": with_star("SELECT * FROM fact"),
+    "stream_hourly_events": """
+SELECT date_trunc('hour', ts) AS hour, event_type, COUNT(*) AS events,
+       CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS value
+FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
+    "view_store_quarterly_after_replay": with_star(OLAP["q20_store_quarterly_view"]),
+    "load_killed_before_fact": _with_recent("\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS rows_seen FROM r_{'fact' if t == 'fact_sales' else t}"
+        for t in ["dim_customer", "dim_product", "dim_store", "dim_supplier", "dim_time", "fact_sales"])),
+    "load_redriven_fact": with_star("SELECT * FROM fact"),
+    "etl_quarantine_redriven": with_star("SELECT * FROM quarantine"),
+    "etl_constraints": with_star("""
+, told AS (
+  SELECT *, CASE WHEN Order_ID % 11 = 0 THEN 'unknown Customer_ID' WHEN Order_ID % 13 = 0 THEN 'Date is NULL'
+    WHEN Product_ID % 17 = 0 THEN 'Product_Category longer than 255' END AS what
+  FROM staged),
+good AS (SELECT DISTINCT Order_ID, Line_Number, Product_ID, Supplier_ID, Store_ID FROM told WHERE what IS NULL)
+SELECT 'rejects' AS batch, 'unparsable Quantity' AS what, COUNT(*) AS n FROM txn WHERE Order_ID % 5 = 0
+UNION ALL SELECT 'rejects', 'loads of nothing', 1
+UNION ALL SELECT 'sales', what, COUNT(*) FROM told WHERE what IS NOT NULL GROUP BY what
+UNION ALL SELECT 'sales', 'stores', COUNT(DISTINCT Store_ID) FROM good WHERE Product_ID % 3 <> 0
+UNION ALL SELECT 'sales', CASE WHEN Product_ID % 3 = 0 THEN 'sales without a store' ELSE 'sales of a store' END, COUNT(*)
+FROM good GROUP BY 2"""),
     "stream_redelivered_fact": with_star("SELECT * FROM fact"),
     # the history adds what the recent load lacks; both give a key the same row
     "load_backfill_fact_sales": with_star("SELECT * FROM fact"),

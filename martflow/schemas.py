@@ -154,7 +154,9 @@ _TYPES = {
     "Day": T.IntegerType(), "Month": T.IntegerType(), "Quarter": T.IntegerType(),
     "Year": T.IntegerType(), "Weekday_Name": T.StringType(), "Is_Weekend": T.IntegerType(),
     "batch": T.StringType(), "Status": T.StringType(), "table_name": T.StringType(),
-    "rows_loaded": T.LongType(),
+    "rows_loaded": T.LongType(), "bucket": T.IntegerType(), "Sales": T.LongType(),
+    "run": T.StringType(), "batch_id": T.LongType(), "rows_read": T.LongType(), "seconds": T.DoubleType(),
+    "rows_per_second": T.DoubleType(), "files_read": T.LongType(), "files_left": T.LongType(),
 }
 _TABLES = {
     "staging": [*STAGED_COLUMNS, "Reject_Reason", "batch", "Status"],
@@ -163,10 +165,15 @@ _TABLES = {
     "dim_store": DIM_STORE_COLUMNS, "dim_supplier": DIM_SUPPLIER_COLUMNS,
     "dim_time": DIM_TIME_COLUMNS, "fact_sales": FACT_COLUMNS,
     "load_report": ["table_name", "rows_loaded", "batch"],
+    # keys of the fact by blocks of orders, for telling what is already loaded
+    "fact_keys": [*FACT_KEY, "bucket"],
+    # partial sums of the store x quarter summary, one row per cell
+    "store_quarter_sums": ["Store_ID", "Year", "Quarter", "Revenue", "Sales"],
+    "stream_progress": ["run", "batch_id", "rows_read", "seconds", "rows_per_second", "files_read", "files_left"],
 }
-_OWN_TYPES = {("dim_time", "Date"): T.DateType(), ("fact_sales", "Revenue"): REVENUE_FACT}
-PARTITIONS = {"staging": ["batch", "Status"], "quarantine": ["batch"], "load_report": ["batch"],
-              "fact_sales": ["Year"]}
+_OWN_TYPES = {("dim_time", "Date"): T.DateType(), ("fact_sales", "Revenue"): REVENUE_FACT,
+              ("store_quarter_sums", "Revenue"): T.DecimalType(38, 2)}
+PARTITIONS = {"staging": ["batch", "Status"], "fact_sales": ["Year"], "fact_keys": ["bucket"]}
 
 
 def contract(table: str, product_id: T.DataType) -> T.StructType:

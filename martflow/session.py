@@ -91,6 +91,27 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none if it is absent)."""
+    fs, p = _filesystem(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> bool:
+    fs, p = _filesystem(spark, source)
+    return fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target))
+
+
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
+    fs, p = _filesystem(spark, path)
+    fs.setTimes(p, millis, -1)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, p = _filesystem(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def input_identity(spark: SparkSession, path: str) -> str:
     """Length, number of files and time of the last change of a file or
     folder; constant work on the driver however many files there are."""
