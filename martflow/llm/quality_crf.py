@@ -7,11 +7,12 @@ A document's share of good text is the mean of its lines' forward-backward
 marginals, weighted by their lengths; its score is that share on a logistic
 scale fitted with the field.
 
-The field is fitted on the driver on a bounded sample, ``TRAIN_DOCUMENTS``
-labelled documents (the first in hash order) with ``TRAIN_LINES`` lines each at
-most; all else covers whole texts of all rows.  A line starts with its
-document's label; after a first fit, lines of bad documents that look good are
-relabelled, and the field is fitted again.
+The field is fitted on the driver on a bounded sample of whole documents,
+``TRAIN_DOCUMENTS`` labelled ones (the first in hash order); their texts stay
+on the executors, which send ``N_FEATURES`` numbers a line.  While it is fitted a
+chain longer than ``CHAIN`` lines counts as several; scores come from whole
+chains.  A line starts with its document's label; after a first fit, lines of bad
+documents that look good are relabelled, and the field is fitted again.
 
 Null, empty and blank texts have no line and score 0; without usable labels
 every line scores 0.5; labels that are null or contradict each other for one
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import read
 
 TRAIN_DOCUMENTS = 3000
-TRAIN_LINES = 100
+CHAIN = 100
 THRESHOLD = 0.7
 STEPS = 80
 
@@ -163,37 +164,47 @@ def calibration(share: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ab if ab[0] > 0 else np.array([1.0, 0.0])
 
 
-def learn(texts: list[str | None], quality: list[int]) -> dict[str, np.ndarray]:
-    """The fitted field from labelled texts."""
-    x, _, owner = line_features(["\n".join((t or "").split("\n")[:TRAIN_LINES]) for t in texts])
-    labels = np.array(quality, np.int64)
+def shorter(owner: np.ndarray, most: int = CHAIN) -> np.ndarray:
+    """Owners of lines with longer chains cut into several."""
+    new = np.concatenate([[True], owner[1:] != owner[:-1]])
+    pos = np.arange(len(owner)) - np.maximum.accumulate(np.where(new, np.arange(len(owner)), 0))
+    return np.cumsum(new | (pos % most == 0))
+
+
+def learn(x: np.ndarray, length: np.ndarray, owner: np.ndarray, quality: list[int]) -> dict[str, np.ndarray]:
+    """The fitted field from the lines of labelled texts."""
+    labels, n = np.array(quality, np.int64), len(quality)
     if not len(x) or len(set(quality)) < 2:
         return {"mean": np.zeros(N_FEATURES), "scale": np.ones(N_FEATURES),
                 "w": np.zeros(3 * N_FEATURES + 3), "trans": np.zeros((2, 2)), "curve": np.array([1.0, 0.0])}
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    z, y = with_neighbours(x, owner, mean, scale), labels[owner]
+    z, y, chains = with_neighbours(x, owner, mean, scale), labels[owner], shorter(owner)
     for again in (False, True):
-        w, trans = fit(z, owner, y)
+        w, trans = fit(z, chains, y)
         if not again:
             # a good line inside a bad document, as long as the document keeps a bad one
             own = 1 / (1 + np.exp(-np.clip(z[:, :N_FEATURES] @ w[:N_FEATURES] + w[3 * N_FEATURES], -50, 50)))
             good = (y == 0) & (own > 0.9)
-            left = np.bincount(owner, (y == 0) & ~good, len(texts))
+            left = np.bincount(owner, (y == 0) & ~good, n)
             y = np.where(good & (left[owner] > 0), 1, y)
     field = {"mean": mean, "scale": scale, "w": w, "trans": trans}
-    share, has_lines = good_share(texts, field)
+    share, has_lines = share_of_lines(x, length, owner, n, field)
     return field | {"curve": calibration(share[has_lines], labels[has_lines])}
 
 
 def good_share(texts: list[str | None], field: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Share of each text that lies in good lines, and whether it has lines."""
-    x, length, owner = line_features(texts)
+    return share_of_lines(*line_features(texts), len(texts), field)
+
+
+def share_of_lines(x: np.ndarray, length: np.ndarray, owner: np.ndarray, n: int,
+                   field: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     if not len(x):
-        return np.zeros(len(texts)), np.zeros(len(texts), bool)
+        return np.zeros(n), np.zeros(n, bool)
     z = with_neighbours(x, owner, field["mean"], field["scale"])
     good, _ = Chains(owner).marginals(z @ field["w"], field["trans"])
-    total = np.bincount(owner, length, len(texts))
-    return np.bincount(owner, good * length, len(texts)) / np.maximum(total, 1), total > 0
+    total = np.bincount(owner, length, n)
+    return np.bincount(owner, good * length, n) / np.maximum(total, 1), total > 0
 
 
 def document_scores(texts: list[str | None], field: dict[str, np.ndarray]) -> np.ndarray:
@@ -202,12 +213,31 @@ def document_scores(texts: list[str | None], field: dict[str, np.ndarray]) -> np
     return np.where(has_lines, score, 0.0)
 
 
-def _scorer(field: dict[str, np.ndarray], step: int = 512):
+#: Characters scored in one go, and so about what a task holds beside its batch.
+PIECE = 1 << 20
+
+
+def pieces(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``PIECE`` characters."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held >= PIECE or i - start >= 512:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _scores(texts: list[str | None], field: dict[str, np.ndarray]) -> np.ndarray:
+    parts = [document_scores(texts[a:b], field) for a, b in pieces(texts)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
+def _scorer(field: dict[str, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            parts = [document_scores(texts[i:i + step], field) for i in range(0, len(texts), step)]
-            score = np.concatenate(parts) if parts else np.empty(0)
+            score = _scores(batch.column(1).to_pylist(), field)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc_id", "score"])
     return run
 
@@ -217,11 +247,25 @@ def _good_rows(field: dict[str, np.ndarray], text_at: int, threshold: float, ste
         for batch in batches:
             for start in range(0, len(batch), step):
                 part = batch.slice(start, step)
-                scores = document_scores(part.column(text_at).to_pylist(), field)
-                yield part.filter(pa.array(scores >= threshold))
+                yield part.filter(pa.array(_scores(part.column(text_at).to_pylist(), field) >= threshold))
     return run
 
 
+LINES = "doc_id long, quality int, x binary, length binary"
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of each text's lines, as bytes."""
+    for batch in batches:
+        xs, lengths = [], []
+        for text in batch.column("text").to_pylist():
+            x, length, _ = line_features([text])
+            xs.append(x.tobytes())
+            lengths.append(length.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(xs, pa.binary()),
+                                          pa.array(lengths, pa.binary())], names=["doc_id", "quality", "x", "length"])
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
@@ -234,10 +278,13 @@ def fitted(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
     sample = (usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS)
               .select(F.col("doc_id").alias("_id"), "quality"))
     rows = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-            .select("_id", F.col("quality").cast("int").alias("quality"),
-                    F.substring_index("text", "\n", TRAIN_LINES).alias("text")).collect())
-    rows.sort(key=lambda r: (r["_id"], r["text"] or ""))
-    return learn([r["text"] for r in rows], [r["quality"] for r in rows])
+            .select(F.col("_id").alias("doc_id"), F.col("quality").cast("int").alias("quality"), "text")
+            .mapInArrow(_lines, LINES).collect())
+    rows.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
+    x = np.frombuffer(b"".join(r["x"] for r in rows)).reshape(-1, N_FEATURES)
+    counts = [len(r["length"]) // 8 for r in rows]
+    return learn(x, np.frombuffer(b"".join(r["length"] for r in rows)), np.repeat(np.arange(len(rows)), counts),
+                 [r["quality"] for r in rows])
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
