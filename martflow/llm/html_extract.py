@@ -7,10 +7,15 @@ page's ``article`` count, else of its ``main``, else of its body.
 
 Around each block stay the hashes of the element subtrees that may be template:
 containers and classed elements (in a page without article or main, any
-element) that hold less than half of the page's text.  Spark counts them per
-host, over pages of different content; a subtree that recurs on many pages of
-its host is deleted from all of them.  Plain paragraphs of an article are never
-template, however often they recur.
+element).  Spark counts them per host, over pages of different content; a subtree
+that stands on ``MANY_PAGES`` of them is deleted from every page of its host,
+whatever its share of the host's pages or of a page's text.  Plain paragraphs of
+an article are never template, however often they recur.
+
+A class, id or role marks what is no article only by one of its whole names
+(``share-price-table`` is not ``share``), and inside an article only by names that
+mean one thing (comments, adverts, menus, forms of subscription): text that may be
+the article's stays.
 
 Null or empty html gives an empty text; a null or odd url has no host and only
 the first step; markup that ends early or nests wrongly is closed the way
@@ -31,9 +36,8 @@ from pyspark.sql import functions as F
 
 from .common import keep, read
 
-#: A template stands on so many different pages of its host, and on this share.
+#: A template stands on so many different pages of its host.
 MANY_PAGES = 5
-PAGE_SHARE = 0.1
 
 # Names of HTML elements.
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
@@ -45,29 +49,32 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img in
 CELLS = frozenset(("td", "th", "br"))
 CONTAINERS = frozenset("div section ul ol dl table figure details center header".split())
 CLOSES_ITSELF = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",)}
-# Words in a class, id or role that mark what is not article.
-MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies "
-                  "consent gdpr notice notices alert popup modal overlay menu nav navbar navigation breadcrumb "
-                  "breadcrumbs sidebar comment comments respond disqus footer masthead share sharing social related "
-                  "newsletter subscribe subscription login search widget toolbar pagination pager contentinfo "
-                  "complementary dialog form".split())
+# Names in a class, id or role that mark what is never article ...
+ALWAYS = frozenset("ad ads advert adverts advertisement advertising ad-box ad-slot ad-banner sponsored cookie cookies "
+                   "cookie-notice cookie-banner cookie-consent gdpr popup modal navbar nav menu navigation breadcrumb "
+                   "breadcrumbs sidebar comment comments comment-list respond disqus disqus_thread footer masthead "
+                   "social share sharing share-buttons social-share newsletter newsletter-signup subscribe pagination "
+                   "contentinfo complementary dialog search related related-posts promo".split())
+# ... and those that mark it outside an article or a main element only.
+OUTSIDE = frozenset("sponsor banner consent notice notices alert overlay login widget toolbar pager subscription form "
+                    "side-bar left-sidebar right-sidebar main-menu top-menu site-footer page-footer site-nav main-nav "
+                    "site-notice site-banner".split())
 PAGE_HEADS = frozenset(("header", "topbar"))
 
 TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[(.*?)(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)"
                  r"|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-WORDS = re.compile(r"[a-z0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "dropped", "article", "main", "candidate", "begin", "size")
+    __slots__ = ("tag", "dropped", "article", "main", "candidate", "begin")
 
     def __init__(self, tag: str, parent: _Element | None):
         self.tag = tag
         self.dropped = parent is not None and parent.dropped
         self.article = parent is not None and parent.article
         self.main = parent is not None and parent.main
-        self.candidate = self.begin = self.size = 0
+        self.candidate = self.begin = 0
 
 
 def _marked(tag: str, attributes: str, element: _Element) -> tuple[bool, bool, bool]:
@@ -77,10 +84,10 @@ def _marked(tag: str, attributes: str, element: _Element) -> tuple[bool, bool, b
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id", "role"):
             classed = True
-            words = set(WORDS.findall(value))
+            names = set(value.split())
             is_main |= name == "role" and value == "main"
-            drop |= not MARKS.isdisjoint(words)
-            drop |= not (element.article or element.main) and not PAGE_HEADS.isdisjoint(words)
+            drop |= not ALWAYS.isdisjoint(names)
+            drop |= not (element.article or element.main) and not (OUTSIDE | PAGE_HEADS).isdisjoint(names)
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             drop = True
         elif name == "style" and "display:none" in value.replace(" ", ""):
@@ -95,7 +102,6 @@ def parse(html: str | None) -> tuple[list[tuple[str, list[int]]], int]:
     root = _Element("", None)
     stack, blocks, tokens = [root], [], []
     hashes: dict[int, int] = {}     # candidate -> hash
-    sizes: dict[int, int] = {}
     inside: dict[int, bool] = {}    # candidate -> may count in a page with an article
     buffer: list[str] = []
 
@@ -108,8 +114,6 @@ def parse(html: str | None) -> tuple[list[tuple[str, list[int]]], int]:
                 tokens.append(text)
                 blocks.append((text, 2 if top.article else 1 if top.main else 0,
                                [e.candidate for e in stack if e.candidate]))
-                for e in stack:
-                    e.size += len(text)
 
     def close(depth: int) -> None:
         """Close all elements above ``depth``."""
@@ -118,7 +122,6 @@ def parse(html: str | None) -> tuple[list[tuple[str, list[int]]], int]:
             e = stack.pop()
             if e.candidate:
                 hashes[e.candidate] = xxhash.xxh3_64_intdigest("\x00".join(tokens[e.begin:])) - (1 << 63)
-                sizes[e.candidate] = e.size
 
     def depth_of(tag: str, until: tuple[str, ...] = ()) -> int:
         """Where the innermost open element of that name is; 0: nowhere."""
@@ -203,8 +206,7 @@ def parse(html: str | None) -> tuple[list[tuple[str, list[int]]], int]:
     close(1)
     best = max((kind for _, kind, _ in blocks), default=0)
     chosen = [(text, own) for text, kind, own in blocks if kind == best]
-    total = sum(len(text) for text, _ in chosen)
-    out = [(text, [hashes[c] for c in own if 2 * sizes[c] < total and (best == 0 or inside[c])]) for text, own in chosen]
+    out = [(text, [hashes[c] for c in own if best == 0 or inside[c]]) for text, own in chosen]
     return out, xxhash.xxh3_64_intdigest("\n".join(t for t, _ in out)) - (1 << 63)
 
 
@@ -227,7 +229,7 @@ def host(url: Column) -> Column:
     return F.when(name != "", F.lower(name))
 
 
-def main_text(pages: DataFrame, many: int = MANY_PAGES, share: float = PAGE_SHARE) -> DataFrame:
+def main_text(pages: DataFrame, many: int = MANY_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages (page_id, url, html)``."""
     parsed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(
         _parser, "page_id long, url string, content long, blocks array<struct<text:string,subtrees:array<long>>>")
@@ -235,10 +237,8 @@ def main_text(pages: DataFrame, many: int = MANY_PAGES, share: float = PAGE_SHAR
 
     trees = F.array_distinct(F.flatten(F.col("blocks.subtrees")))
     found = keep(table.where("host is not null").select("row", "host", "content", F.explode(trees).alias("tree")), "trees")
-    pages_of = table.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     templates = (found.select("host", "tree", "content").distinct().groupBy("host", "tree").agg(F.count("*").alias("n"))
-                 .where(F.col("n") >= many).join(pages_of, "host").where(F.col("n") >= F.col("pages") * share)
-                 .select("host", "tree"))
+                 .where(F.col("n") >= many).select("host", "tree"))
     hits = keep(found.join(templates, ["host", "tree"]).groupBy("row").agg(F.collect_set("tree").alias("gone")), "hits")
     left = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["subtrees"], F.col("gone")))
     text = F.concat_ws("\n", F.transform(left, lambda b: b["text"]))
