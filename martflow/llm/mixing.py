@@ -5,9 +5,9 @@ a hash of its id, so reruns agree.  Inside its source, documents are taken in
 key order until the token budget is reached.  A target above the source's own
 size first takes complete epochs; only the rest is selected by key.
 
-No task sorts a whole source: keys fall into order-preserving buckets, bucket
-sizes are summed, and only the bucket in which the budget ends is sorted by
-row.  Null sources form a source of their own; null or empty texts have size 0
+No task sorts a whole source: the range of a source's keys is cut into buckets,
+their sizes are summed, and the bucket in which the budget ends is cut again until
+it holds few rows; only those are sorted by row.  Null sources form a source of their own; null or empty texts have size 0
 and nothing is taken from them; repeated rows count as rows; an empty table
 gives an empty result.  Other columns of the input are ignored.
 """
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import WORD, keep, read, row_numbers
 
+#: Rows of a source that one task may sort, and buckets that a range is cut into.
 ROWS_PER_BUCKET = 10_000
+CUTS = 1024
 
 
 def text_size(text: Column) -> Column:
@@ -65,6 +67,32 @@ def targets(sources: DataFrame, weights: tuple[int, ...], share: float, most: in
                       F.when(full, F.col("cap").cast("double")).otherwise(level).alias("target"))
 
 
+def _budget_ends(sized: DataFrame, goal: DataFrame) -> DataFrame:
+    """``source, low, high, before, rest``: the range of keys in which a source's
+    budget ends, few rows long, and the size of what comes before it.  A source
+    whose rest covers all its rows has none."""
+    ends = keep(sized.groupBy("source").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n"))
+                .withColumn("before", F.lit(0).cast("long")).alias("e")
+                .join(goal.alias("g"), F.col("e.source").eqNullSafe(F.col("g.source")))
+                .select("e.source", "low", "high", "n", "before", "rest"), "ends")
+    order = Window.partitionBy("s").orderBy("cut").rowsBetween(Window.unboundedPreceding, 0)
+    while True:
+        # the first time all sources are cut, to find those whose budget does not end
+        share = (F.col("key") - F.col("low")) / (F.col("high") - F.col("low"))
+        cut = F.when(F.col("high") > F.col("low"), F.least(F.floor(share * CUTS), F.lit(CUTS - 1))).otherwise(F.lit(0))
+        at = ends.withColumnRenamed("source", "s").drop("n")
+        counted = (sized.join(at, F.col("source").eqNullSafe(F.col("s")))
+                   .where(F.col("key").between(F.col("low"), F.col("high")))
+                   .groupBy("s", "before", "rest", cut.alias("cut"))
+                   .agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+                   .withColumn("upto", F.col("before") + F.sum("size").over(order)).where("upto > rest"))
+        ends = keep(counted.groupBy("s").agg(F.min(F.struct("cut", "low", "high", "n", (F.col("upto") - F.col("size"))
+                                                            .alias("before"), "rest")).alias("e"))
+                    .select(F.col("s").alias("source"), "e.low", "e.high", "e.n", "e.before", "e.rest"), "ends")
+        if ends.where((F.col("n") > ROWS_PER_BUCKET) & (F.col("high") > F.col("low"))).isEmpty():
+            return ends
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2,
         seed: str = "mix", size: Column | None = None, weight: Column | None = None) -> DataFrame:
     """One row per input row: ``doc_id, source, size, source_size, target,
@@ -72,33 +100,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     text = F.col("text")
     sized = keep(docs.select(
         "doc_id", "source", (text_size(text) if size is None else size).alias("size"),
-        (letter_share(text) if weight is None else weight).alias("weight")), "sized")
+        (-F.log(unit_draw(F.col("doc_id"), seed)) / (letter_share(text) if weight is None else weight)).alias("key")), "sized")
     goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     goal = keep(goal.withColumn("epochs", F.when(F.col("source_size") > 0,
                                                  F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
                 .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "targets")
 
-    stats = sized.groupBy("source").agg(F.count("*").alias("n"), F.avg("weight").alias("w")) \
-                 .agg(F.max("n"), F.avg("w")).first()
-    buckets = max(1, -(-(stats[0] or 0) // ROWS_PER_BUCKET))
-    keyed = (sized.withColumn("key", -F.log(unit_draw(F.col("doc_id"), seed)) / F.col("weight"))
-             .withColumn("bucket", F.floor(F.lit(buckets) * (1 - F.exp(-F.col("key") * F.lit(stats[1] or 1.0))))))
-    by_bucket = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
-    order = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    g = goal.alias("g")
-    ends = (by_bucket.withColumn("upto", F.sum("in_bucket").over(order)).alias("b")
-            .join(g, F.col("b.source").eqNullSafe(F.col("g.source")))
-            .where("b.upto > g.rest").groupBy("b.source")
-            .agg(F.min(F.struct("b.bucket", (F.col("b.upto") - F.col("b.in_bucket")).alias("before"))).alias("end"))
-            .select(F.col("source").alias("end_source"), "end.bucket", "end.before"))
-    goal = keep(g.join(ends, F.col("g.source").eqNullSafe(F.col("end_source")), "left")
-                .select(F.col("g.source").alias("s"), "source_size", "target", "epochs", "rest",
-                        F.col("bucket").alias("end_bucket"), "before"), "budgets")
-
-    rows = keyed.join(goal, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    on_edge = F.coalesce(F.col("bucket") == F.col("end_bucket"), F.lit(False))
-    inside = rows.where(~on_edge).withColumn(
-        "chosen", F.col("end_bucket").isNull() | (F.col("bucket") < F.col("end_bucket")))
+    ends = _budget_ends(sized, goal)
+    g, e = goal.alias("g"), ends.alias("e")
+    budgets = keep(g.join(e, F.col("g.source").eqNullSafe(F.col("e.source")), "left")
+                   .select(F.col("g.source").alias("s"), "source_size", "target", "epochs", "g.rest", "low", "high",
+                           "before"), "budgets")
+    rows = sized.join(budgets, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    on_edge = F.coalesce(F.col("key").between(F.col("low"), F.col("high")), F.lit(False))
+    inside = rows.where(~on_edge).withColumn("chosen", F.col("low").isNull() | (F.col("key") < F.col("low")))
     # only the bucket in which the budget ends is ordered row by row
     line = Window.partitionBy("source").orderBy("key", F.col("doc_id").asc_nulls_last(), "size") \
                  .rowsBetween(Window.unboundedPreceding, 0)
@@ -116,8 +131,9 @@ def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     often = (mixed.where("copies > 0").groupBy(F.col("doc_id").alias("_id"))
              .agg(F.max("copies").alias("_copies")))
     return (docs.join(often, docs["doc_id"].eqNullSafe(often["_id"]))
-            .select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), often["_copies"])).alias("_copy"))
-            .drop("_copy"))
+            .select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                    F.explode(F.sequence(F.lit(1), often["_copies"])))
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
