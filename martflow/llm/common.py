@@ -93,7 +93,7 @@ def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, columns:
     return out.select(*plain, *[F.col("_found").getField(c).alias(c) for c in columns])
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges (a, b)``: the component
     is its smallest node.  Labels take the minimum of the neighbourhood and then
     jump to their own label's label, until nothing changes."""
@@ -102,7 +102,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                 .distinct(), "edges")
     labels = keep(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component"))
                   .withColumnRenamed("a", "node"), "labels")
-    for _ in range(max_rounds):
+    while True:     # every round shortens the longest way to the smallest node
         lab = labels.select(F.col("node").alias("b"), F.col("component").alias("near"))
         best = (both.join(lab, "b").groupBy("a").agg(F.min("near").alias("near"))
                 .withColumnRenamed("a", "node"))
@@ -114,7 +114,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         labels = new.select("node", "component")
         if new.where("old <> component").isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -206,14 +206,30 @@ def _sets(words: int):
     return run
 
 
+#: Pairs of a document that one task checks, hubs that may be broadcast (12 bytes
+#: each), and members of a list that one task meets with all others.
+PAIRS_PER_PART, HUBS_BROADCAST, LIST_PART = 1000, 1_000_000, 2000
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, t: Fraction) -> DataFrame:
     """The pairs ``(a, b)`` of documents that link, checked on the whole sets:
     each document's set goes once to each of its pairs."""
     numbered = keep(pairs.withColumn("pair", F.monotonically_increasing_id()), "pairs")
     sides = keep(numbered.select(F.col("a").alias("_id"), "pair", F.lit(0).alias("side")).unionByName(
         numbered.select(F.col("b").alias("_id"), "pair", F.lit(1).alias("side"))), "sides")
+    # a hub stands in as many pairs as its group has members: it is dealt out in parts
+    hubs = keep(sides.groupBy("_id").agg(F.ceil(F.count("*") / PAIRS_PER_PART).cast("int").alias("parts"))
+                .where("parts > 1").withColumnRenamed("_id", "_hub"), "hubs")
+    if hubs.count() <= HUBS_BROADCAST:
+        hubs = F.broadcast(hubs)
+    parts = F.coalesce(F.col("parts"), F.lit(1))
+    dealt = (docs.join(hubs, docs["doc_id"] == F.col("_hub"), "left")
+             .select("doc_id", "text", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")))
+    asked = (sides.join(hubs, F.col("_id") == F.col("_hub"), "left")
+             .select("_id", "pair", "side", F.pmod("pair", parts).cast("int").alias("_part")))
     # the same join at every size: most corpora have more pairs than a broadcast holds
-    texts = docs.join(sides.hint("merge"), docs["doc_id"] == F.col("_id")).select("doc_id", "text", "pair", "side")
+    texts = dealt.join(asked.hint("merge"), (F.col("doc_id") == F.col("_id")) & (F.col("part") == F.col("_part"))) \
+                 .select("doc_id", "text", "pair", "side")
     sets = texts.mapInArrow(_sets(words), "pair long, side int, shingles array<long>")
     both = sets.groupBy("pair").agg(F.collect_list(F.struct("side", "shingles")).alias("s"))
     # one row each, as ids are unique; where one is repeated, any of its texts may link
@@ -299,8 +315,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = SIMILA
     mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
                   .where("lo <> hi").select("sig")
     open_lists = keep(placed.join(mixed, "sig", "left_semi"), "open")
-    x, y = open_lists.alias("x"), open_lists.alias("y")
-    rest = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")))
+    # a long list is dealt out: each part of it meets the whole
+    lengths = (open_lists.groupBy("sig").agg(F.ceil(F.count("*") / LIST_PART).cast("int").alias("parts")))
+    dealt = open_lists.join(lengths, "sig")
+    x = dealt.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")).alias("x")
+    y = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
+    rest = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.part") == F.col("y.part"))
+                   & (F.col("x.component") < F.col("y.component")))
             .where(_possible(t))
             .select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct())
     rest = keep(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
