@@ -11,7 +11,8 @@ precision, a heap keeps the k best of each tile, and the heaps of a query are
 merged.  So the result is exact.
 
 Every tile has bounded size.  Vectors that are null, zero or hold null or
-non-finite components take no part; repeated rows are candidates each; a query
+non-finite components take no part; repeated rows are candidates each, and one
+query, unless their vectors differ (then each gives its own neighbours); a query
 never meets rows with its own id; ties go to the smaller id; an empty table or
 a single vector gives no rows; vectors of another length than most are matched
 among their own length only; other columns are ignored.
@@ -43,7 +44,8 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def tile_best(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int,
               step: int = 256) -> Iterator[tuple[int, int, float]]:
-    """``query_id, vec_id, score`` of each query's k best in one tile."""
+    """``query, vec_id, score`` of each query's k best in one tile; a query is
+    told by its row."""
     cq, cs = quantise(c)
     c8 = cq.astype(np.float32).T        # products of int8 are exact in float32 up to 1,000 dimensions
     c_one = np.abs(c).sum(axis=1)
@@ -63,11 +65,11 @@ def tile_best(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray
         rows, cols = np.nonzero((near + error >= floor[:, None]) & (near > -np.inf))
         scores = dots(x[rows], c[cols])
         bounds = np.searchsorted(rows, np.arange(len(ids) + 1))
-        for i, query in enumerate(ids.tolist()):
+        for i in range(len(ids)):
             mine = slice(bounds[i], bounds[i + 1])
             found = zip(scores[mine].tolist(), c_ids[cols[mine]].tolist())
             for score, vec in heapq.nsmallest(k, found, key=lambda p: (-p[0], p[1])):
-                yield query, vec, score
+                yield at + i, vec, score
 
 
 def _tile(k: int):
@@ -77,8 +79,10 @@ def _tile(k: int):
         out = list(tile_best(ids[is_query], v[is_query], ids[~is_query], v[~is_query], k)) \
             if is_query.any() and not is_query.all() else []
         cols = list(zip(*out)) or [(), (), ()]
-        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()),
-                         "score": pa.array(cols[2], pa.float64())})
+        row = np.array(cols[0], np.int64)
+        return pa.table({"query_id": pa.array(ids[is_query][row], pa.int64()),
+                         "which": pa.array(table["h"].to_numpy()[is_query][row], pa.int64()),
+                         "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
     return run
 
 
@@ -90,15 +94,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, block: int = BLOC
     sizes = base.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
     c_blocks, q_blocks = max(1, -(-sizes["n"] // block)), max(1, -(-sizes["q"] // block))
     base = base.withColumn("h", F.xxhash64("vec_id", F.monotonically_increasing_id()))
+    asked = base.where(is_query).select("dim", "vec_id", "v").distinct().withColumn("h", F.xxhash64("vec_id", "v"))
     candidates = base.select(
-        "dim", F.pmod("h", F.lit(c_blocks)).alias("cb"), F.lit(False).alias("is_query"), "vec_id", "v",
+        "dim", "h", F.pmod("h", F.lit(c_blocks)).alias("cb"), F.lit(False).alias("is_query"), "vec_id", "v",
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))).alias("qb"))
-    queries = base.where(is_query).select(
-        "dim", F.pmod("h", F.lit(q_blocks)).alias("qb"), F.lit(True).alias("is_query"), "vec_id", "v",
+    queries = asked.select(
+        "dim", "h", F.pmod("h", F.lit(q_blocks)).alias("qb"), F.lit(True).alias("is_query"), "vec_id", "v",
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(c_blocks - 1).cast("long"))).alias("cb"))
     tiles = candidates.unionByName(queries).groupBy("dim", "cb", "qb").applyInArrow(
-        _tile(k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        _tile(k), "query_id long, which long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "which").orderBy(F.desc("score"), "vec_id")
     return (tiles.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
@@ -114,9 +119,9 @@ WITH v AS (
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
+  SELECT q.vec_id AS query_id, q.e AS asked, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS score
+  FROM (SELECT DISTINCT vec_id, e FROM v) q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id) AS rank FROM pairs)
 WHERE rank <= 20
 """
