@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import uuid
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +52,29 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function over batches that leaves its worker small.  Python workers live on
+    beside the stages after theirs: what one keeps for its life (an encoder) goes
+    when another operator's task begins, and freed memory goes back to the system."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name in [n for n in sys.modules if n.startswith("_martflow_")]:
+            del sys.modules[name]
+        _give_back()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+    return wrapped
+
+
 def row_numbers(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """Number all rows from 0 in the given order without one task seeing them
     all: range partitions, numbers inside each, plus the counts before it."""

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, keep, read
+from .common import components, keep, lean, read
 
 WORDS = 5
 SIMILARITY = Fraction(4, 5)
@@ -230,7 +230,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, t: Fraction) -> Dat
     # the same join at every size: most corpora have more pairs than a broadcast holds
     texts = dealt.join(asked.hint("merge"), (F.col("doc_id") == F.col("_id")) & (F.col("part") == F.col("_part"))) \
                  .select("doc_id", "text", "pair", "side")
-    sets = texts.mapInArrow(_sets(words), "pair long, side int, shingles array<long>")
+    sets = texts.mapInArrow(lean(_sets(words)), "pair long, side int, shingles array<long>")
     both = sets.groupBy("pair").agg(F.collect_list(F.struct("side", "shingles")).alias("s"))
     # one row each, as ids are unique; where one is repeated, any of its texts may link
     left = F.filter("s", lambda r: r["side"] == 0)
@@ -277,7 +277,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = SIMILA
     component_id``.  ``light`` fixes the boundary, for tests."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    first = keep(docs.mapInArrow(_first_pass(words, COUNTERS), "kind byte, id long, n long, key long"), "first")
+    first = keep(docs.mapInArrow(lean(_first_pass(words, COUNTERS)), "kind byte, id long, n long, key long"), "first")
     sized = first.where("kind = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "key")
     classes = keep(sized.where("n_shingles > 0 and doc_id is not null").groupBy("key")
                    .agg(F.min("doc_id").alias("rep")), "classes")
@@ -290,7 +290,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = SIMILA
     light = light_boundary(length, t) if light is None else light
     frequent = spark.sparkContext.broadcast((common, rank))
 
-    rows = keep(docs.mapInArrow(_signatures(words, t, light, frequent),
+    rows = keep(docs.mapInArrow(lean(_signatures(words, t, light, frequent)),
                                 "sig long, doc long, n int, pos int, hot boolean"), "lists")
     # lists with a single member drop out here; those of frequent shingles stay as they are
     cold = (rows.where(~F.col("hot")).withColumn("times", F.count("*").over(Window.partitionBy("sig")))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import lean, read
 
 TRAIN_DOCUMENTS = 3000
 CHAIN = 100
@@ -279,7 +279,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
               .select(F.col("doc_id").alias("_id"), "quality"))
     rows = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
             .select(F.col("_id").alias("doc_id"), F.col("quality").cast("int").alias("quality"), "text")
-            .mapInArrow(_lines, LINES).collect())
+            .mapInArrow(lean(_lines), LINES).collect())
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
     x = np.frombuffer(b"".join(r["x"] for r in rows)).reshape(-1, N_FEATURES)
     counts = [len(r["length"]) // 8 for r in rows]
@@ -290,7 +290,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
     field = fitted(docs, labels)
-    return (docs.select("doc_id", "text").mapInArrow(_scorer(field), "doc_id long, score double")
+    return (docs.select("doc_id", "text").mapInArrow(lean(_scorer(field)), "doc_id long, score double")
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 
@@ -299,7 +299,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """The rows of ``docs``, with all their columns, that score at least
     ``threshold``.  Rows are scored where they are; nothing is shuffled."""
     run = _good_rows(fitted(docs, labels), docs.columns.index("text"), threshold)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

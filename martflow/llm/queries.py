@@ -9,6 +9,7 @@ from .jaccard_join import op5_jaccard_join
 from .license_scan import op6_license_scan
 from .metric_tree_codes import OP12_SQL, op12_vector_codes
 from .mixing import OP1_SQL, op1_mixing
+from .oracle_sql import OP4_SQL, OP5_SQL, OP10_SQL
 from .projection_dedup import op10_projection_dedup
 from .quality_crf import op2_quality_crf
 from .secret_scan import op3_secret_scan
@@ -34,7 +35,10 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_mixing": OP1_SQL,
+    "op4_suffix_dedup": OP4_SQL,
+    "op5_jaccard_join": OP5_SQL,
     "op7_block_search": OP7_SQL,
+    "op10_projection_dedup": OP10_SQL,
     "op11_warc_index": OP11_SQL,
     "op12_vector_codes": OP12_SQL,
 }
