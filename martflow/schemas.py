@@ -136,6 +136,13 @@ FACT_FOREIGN_KEYS = [
     ("Time_ID", "dim_time", "Time_ID"),
 ]
 
+# Columns that are never NULL.
+NOT_NULL = {
+    "dim_customer": ["Customer_ID"], "dim_product": ["Product_ID"], "dim_store": ["Store_ID"],
+    "dim_supplier": ["Supplier_ID"], "dim_time": ["Time_ID", "Date"],
+    "fact_sales": ["Order_ID", "Line_Number", "Customer_ID", "Product_ID", "Time_ID"],
+}
+
 STAR_TABLES = ["dim_customer", "dim_product", "dim_store", "dim_supplier",
                "dim_time", "fact_sales"]
 

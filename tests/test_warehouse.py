@@ -10,8 +10,9 @@ from conftest import CUSTOMER_HEADER, PRODUCT_HEADER, TXN_HEADER, write_csv
 from martflow.operators.keys import KEY_BUCKETS, order_bucket
 from martflow.plans import warehouse as w
 from martflow.plans.olap import store_quarterly_sales
-from martflow.plans.views import register_views
+from martflow.plans.views import VIEW_NAMES, register_tables, register_views
 from martflow.plans.warehouse import Warehouse, compact, load_feed, redrive, reset_warehouse, vacuum
+from martflow.session import path_exists
 from martflow.sources.csv_files import csv_feed, read_customer_master, read_product_master, read_transactions
 from martflow.sources.feed import Feed
 from martflow.streaming.ingest import run_ingest
@@ -92,12 +93,12 @@ def test_a_micro_batch_reads_the_keys_of_its_orders_only(spark, files):  # noqa:
     """Batches of orders numbered as they come: a later one reads few buckets."""
     wh = Warehouse(spark, f"{files['root']}/wh")
     for i in range(4):
-        rows = [f"{k},{i * 100_000 + k},1000001,P0000000{1 + k % 3},1,2021-01-{1 + i:02d}" for k in range(40)]
+        rows = [f"{k},{i * 102_400 + k},1000001,P0000000{1 + k % 3},1,2021-01-{1 + i:02d}" for k in range(40)]
         write_csv(files["txn"], TXN_HEADER, rows)
         _load(spark, files, batch=f"b{i}", wh=wh)
     assert wh.fact.count() == 160 == wh.table("fact_keys").count()
     assert wh.table("fact_keys").where(F.col("bucket") != order_bucket(F.col("Order_ID"))).isEmpty()
-    again = [f"{k},{300_000 + k},1000001,P0000000{1 + k % 3},7,2022-01-01" for k in range(40)]     # sent again, changed
+    again = [f"{k},{307_200 + k},1000001,P0000000{1 + k % 3},7,2022-01-01" for k in range(40)]     # sent again, changed
     write_csv(files["txn"], TXN_HEADER, again)
     _, result = _load(spark, files, batch="again", wh=wh)
     assert result.rows["fact_sales"] == 0
@@ -167,6 +168,26 @@ def test_text_ids_in_a_warehouse_of_numbers_are_rejects(spark, files):  # noqa:
     assert dict(wh.fact.dtypes)["Product_ID"] == "string" and _fact(wh) == EXPECTED_FACT
 
 
+# ------------------------------------------------------------------ catalog
+def test_tables_of_the_catalog(spark, files):  # noqa: F811
+    wh, _ = _load(spark, files)
+    db = register_tables(wh)
+    assert {r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect()} == {v.lower() for v in VIEW_NAMES.values()}
+    assert spark.sql(f"SELECT count(*), sum(Quantity) FROM {db}.FactSales WHERE Year = 2020").first()[:] == (5, 9)
+    made = spark.sql(f"SHOW CREATE TABLE {db}.DimProduct").first()[0]
+    assert "Product_ID STRING COMMENT 'never null'" in made and "Price DECIMAL(10,2)" in made
+    write_csv(files["txn"], TXN_HEADER, ["0,77,1000001,P00000001,1,2021-01-01"])
+    _load(spark, files, batch="later", wh=wh)
+    assert spark.sql(f"SELECT count(*) FROM {db}.FactSales").first()[0] == 5      # the state registered
+    register_tables(wh)
+    assert spark.sql(f"SELECT count(*) FROM {db}.FactSales").first()[0] == 6
+    reset_warehouse(wh)
+    register_tables(wh)
+    assert spark.sql(f"SELECT count(*) FROM {db}.FactSales").first()[0] == 0
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    assert not wh.exists("fact_sales") and path_exists(spark, wh.path("staging"))
+
+
 # ------------------------------------------------------------------ headers
 SWAPPED = ",quantity,Product_ID,date,Customer_ID,orderID"
 

@@ -16,7 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from martflow.operators import load as L  # noqa: E402
 from martflow.operators.enrich import enrich  # noqa: E402
 from martflow.plans import olap, star  # noqa: E402
-from martflow.plans.warehouse import open_warehouse  # noqa: E402
+from martflow.operators.summary import merge_sums, partial_sums  # noqa: E402
+from martflow.plans.warehouse import known_keys, open_warehouse  # noqa: E402
 from martflow.session import build_session  # noqa: E402
 from martflow.sources.testdata import testdata_feed  # noqa: E402
 
@@ -48,8 +49,12 @@ def main() -> None:
 
     items = [
         ("enrich (feed x masters, before staging)", enrich(testdata_feed(spark, sf))),
-        ("fact load: insert-ignore against the existing fact", L.fact_sales(wh.staged(), wh.fact)),
-        ("dim_store load: first sale per store", L.dim_store(wh.staged(), wh.store)),
+        ("keys of a batch for all dimensions (one scan)", L.batch_keys(wh.staged())),
+        ("new customers: rows of their earliest date, after the scan shared by all dimensions",
+         L.dimension_rows(wh.staged(), L.batch_keys(wh.staged()), {})[0]["dim_customer"]),
+        ("known keys of the fact in the buckets of a batch", known_keys(wh, [3, 77])),
+        ("fact load: insert-ignore against the key index", L.fact_sales(wh.staged(), known_keys(wh, list(range(256))))),
+        ("kept store x quarter summary after a load", merge_sums(wh.table("store_quarter_sums"), partial_sums(wh.fact))),
         ("Q3 occupation x category, customers and products large", without_large(olap.q3)),
         ("Q10 category x occupation, customers and products large", without_large(olap.q10)),
         ("Q4 product affinity top 5", olap.q4(wh)),
