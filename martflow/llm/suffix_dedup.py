@@ -398,11 +398,18 @@ def covered(docs: DataFrame, first: DataFrame, match: int, hot: int) -> tuple[Da
     return union_all([whole, keep(found, "found"), one_by_one]), reps
 
 
+#: Longest match: a unit's places are kept in seven bits each.
+LONGEST = 128
+
+
 def dedup(docs: DataFrame, match: int = MATCH, kmer: int = KMER, hot: int = HOT,
           with_text: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` for every row
     of ``docs (doc_id, text)``.  ``kept`` holds the remaining bytes where some
-    were removed (null: all kept; always null without ``with_text``)."""
+    were removed (null: all kept; always null without ``with_text``).  ``match`` is
+    at most ``LONGEST``."""
+    if match > LONGEST:
+        raise ValueError(f"match is {match}: at most {LONGEST} bytes")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     first = keep(docs.mapInArrow(_first_pass(match, kmer), FIRST), "first")
     spans, reps = covered(docs, first, match, hot)

@@ -39,8 +39,32 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert old.count() == new.count() and new.where("size(ids) <> n_tokens").isEmpty()
 
 
+def test_pipeline_of_empty_tables_and_clashing_names(spark, tmp_path):
+    import corpus_pipeline as pipeline
+    from helpers import ODD_TEXTS, docs_frame
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    prose = "A plain line of words that reads like any other text here."
+    for name, rows in (("empty", []), ("odd", [(i, t, s) for i, t, s in ODD_TEXTS] + [(50, prose, "a"), (51, prose, "a")])):
+        docs_frame(spark, rows, extra=True).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    assert pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+    docs = first = spark.read.parquet(f"{tmp_path}/odd/documents.parquet")
+    for _, stage in pipeline.STAGES[1:-1]:      # without labels the first stage keeps nothing
+        docs = stage(spark, docs, f"{tmp_path}/odd")
+        assert docs.columns == first.columns
+    ids = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert 50 in ids and 51 not in ids
+
+
+def test_matches_too_long_are_refused(spark):
+    from helpers import docs_frame
+    from martflow.llm.suffix_dedup import dedup
+    with pytest.raises(ValueError, match="at most 128"):
+        dedup(docs_frame(spark, []), match=200)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
-@pytest.mark.parametrize("name", ["op1_mixing", "op7_block_search"])
+@pytest.mark.parametrize("name", ["op1_mixing", "op5_jaccard_join", "op7_block_search"])
 def test_sql_gives_the_same(spark, name):
     import duckdb
 

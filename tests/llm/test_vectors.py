@@ -57,6 +57,16 @@ def test_search_of_few_or_no_vectors(spark):
     assert sorted((r["query_id"], r["vec_id"], r["score"]) for r in two) == [(1, 2, 0.5), (2, 1, 0.5)]
 
 
+def test_repeated_query_rows_are_one_query(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.standard_normal(4)]) for i in range(1, 30)]
+    twice = rows + [rows[0], (1, [1.0, 0.0, 0.0, 0.0]), rows[5]]
+    got = [tuple(r) for r in nearest(frame(spark, twice), F.col("vec_id") == 1, k=6).collect()]
+    once = [tuple(r) for r in nearest(frame(spark, rows + [rows[5]]), F.col("vec_id") == 1, k=6).collect()]
+    assert sorted(r[1] for r in got) == sorted([1, 2, 3, 4, 5, 6] * 2)      # two vectors of one id
+    assert set(once) <= set(got) and [r[1] for r in sorted(once)] == [1, 2, 3, 4, 5, 6]
+
+
 def test_rounding_stays_inside_its_bound():
     x = np.random.default_rng(3).standard_normal((50, 24))
     q, s = quantise(x)
