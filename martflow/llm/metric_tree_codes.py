@@ -48,7 +48,7 @@ from .vectors import matrix
 
 PARTS, ENTRIES, ROUNDS, SCALE = 8, 16, 6, 4096
 #: Rows of a block, and points of a ball that is cut no further.
-BLOCK, LEAF = 8192, 24
+BLOCK, LEAF = 2048, 64
 LARGEST = float(1 << 28)
 #: Relative room for the rounding of distances between balls and entries.
 ROOM = 1e-9
