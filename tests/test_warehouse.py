@@ -71,18 +71,18 @@ def test_two_loads_at_once_are_noticed(spark, files):  # noqa: F811
 
 
 def test_small_folders_are_folded(spark, files, monkeypatch):  # noqa: F811
-    monkeypatch.setattr(w, "FOLD", 3)
+    monkeypatch.setattr(w, "FOLD", 2)
     wh = Warehouse(spark, f"{files['root']}/wh")
     rows = TXNS_A + TXNS_B
-    for i in range(5):
-        write_csv(files["txn"], TXN_HEADER, rows[2 * i:2 * i + 2])
+    for i in range(3):
+        write_csv(files["txn"], TXN_HEADER, rows[4 * i:4 * i + 4])
         _load(spark, files, batch=f"b{i}", wh=wh)
     assert all(len(wh.manifest.folders(t)) <= 6 for t in w.TABLES)
     # rows 1 and 10 share a key: the first delivered stays
     assert _fact(wh) == EXPECTED_FACT
     lost = sorted(map(repr, wh.quarantine().collect()))
     report = wh.table("load_report").groupBy("table_name").agg(F.sum("rows_loaded")).collect()
-    write_csv(files["txn"], TXN_HEADER, rows[2:4])
+    write_csv(files["txn"], TXN_HEADER, rows[4:8])
     _load(spark, files, batch="b1", wh=wh)          # replayed after its rejects were folded with others
     assert sorted(map(repr, wh.quarantine().collect())) == lost
     assert sorted(wh.table("load_report").groupBy("table_name").agg(F.sum("rows_loaded")).collect()) == sorted(report)
