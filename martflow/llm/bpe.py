@@ -28,12 +28,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read
+from .common import give_back, read, sliced
 
 #: Characters of text whose distinct words are encoded together, and words a
 #: worker remembers; both bound its memory, neither changes a result.
 CHUNK_CHARS = 4_000_000
-MAX_WORDS = 600_000
+MAX_WORDS = 200_000
 #: Below this code point, normalising is lower-casing: no character composes
 #: with another, and all libraries agree on the letter classes.
 PLAIN = re.compile("[^\x00-ɏ]")
@@ -235,10 +235,15 @@ def _worker_bpe(spec: str) -> WordBpe:
     return held.bpe
 
 
+#: Rows whose texts are taken out of a batch at a time.
+ROWS = 512
+
+
 def _encoder(spec, wanted: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()     # what earlier stages left in this worker
         bpe = _worker_bpe(spec.value)
-        for batch in batches:
+        for batch in sliced(batches, ROWS):
             start = 0
             for chunk in _chunks([t or "" for t in batch.column(1).to_pylist()]):
                 counts, out = [], {w: [] for w in wanted}

@@ -52,7 +52,15 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _give_back() -> None:
+def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of so many rows at most."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows)
+
+
+def give_back() -> None:
+    """Return freed memory to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # where the C library has it
@@ -67,11 +75,11 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name in [n for n in sys.modules if n.startswith("_martflow_")]:
             del sys.modules[name]
-        _give_back()
+        give_back()
         try:
             yield from run(batches)
         finally:
-            _give_back()
+            give_back()
     return wrapped
 
 
