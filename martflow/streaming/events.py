@@ -55,8 +55,9 @@ def run_hourly(spark: SparkSession, directory: str, table: str, checkpoint: str,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def write(changed: DataFrame, epoch: int) -> None:
+        # only the sums are dealt anew: to coalesce would put the whole aggregate into as few tasks
         rows = changed.withColumn("epoch", F.lit(epoch).cast("long"))
-        rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        rows.repartition(spark.sparkContext.defaultParallelism, "hour", "event_type").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("epoch").parquet(table)
 
     query = (hourly_sums(reader.parquet(directory), lateness).writeStream.outputMode("update").foreachBatch(write)
