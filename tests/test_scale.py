@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from martflow.operators import keys as K
 from martflow.operators import load as L
+from martflow.operators.enrich import MASTER_BROADCAST_CONF, enrich
 from martflow.plans import etl_queries
 from martflow.schemas import FACT_FOREIGN_KEYS
 from martflow.sources.csv_files import read_transactions
+from martflow.sources.feed import Feed
 from martflow.streaming.events import run_hourly
 
 
@@ -75,3 +77,47 @@ def test_hourly_sums_are_written_by_several_tasks(spark, scratch):
     run_hourly(spark, f"{scratch}/in", f"{scratch}/out", f"{scratch}/ckpt", events.schema)
     parts = [n for d, _, names in os.walk(f"{scratch}/out/epoch=0") for n in names if n.startswith("part-")]
     assert len(parts) > 1
+
+
+def test_loaded_keys_are_looked_up_in_the_shuffle_that_counts_them(spark):
+    cols = ["k", "s", "o", "v"]
+    types = "k long, s long, o int, v int"
+    rows = [(i, None if i % 3 else 1, 1, i) for i in range(30)] + [(7, None, 0, 70), (40, None, 2, 2), (40, None, 1, 1),
+                                                                  (None, 1, 1, 1)]
+    batch = spark.createDataFrame(rows, types)
+    target = spark.createDataFrame([(i, None if i % 3 else 1, 0, 0) for i in range(20)] + [(99, None, 0, 0)], types)
+
+    def load(batch, target, **known):
+        return K.insert_ignore_rare(batch, ["k", "s"], ["o"], cols, target, required=["k"], **known)
+
+    def rows_of(df):
+        return sorted(map(repr, map(tuple, df.collect())))
+    n, m = batch.count(), target.count()
+    assert rows_of(load(batch, target, batch_rows=n, target_rows=m)) == rows_of(load(batch, target))
+    for limit in (0, 10**9):
+        assert rows_of(load(batch, target, batch_rows=n, target_rows=m, limit_bytes=limit)) == rows_of(load(batch, target))
+    again = load(batch.where("k < 20"), target, batch_rows=batch.where("k < 20").count(), target_rows=m)
+    assert "Join" not in _plan(again) and again.count() == 0       # a replay ends with the lookup
+
+
+def test_sales_meet_a_large_customer_master_by_profile(spark):
+    tx = spark.createDataFrame([(1, 1, 1, 5), (2, 1, 2, 5), (3, 1, 9, 5), (4, 1, None, 5), (5, 1, 3, 6)],
+                               "Order_ID long, Line_Number int, Customer_ID long, Product_ID long").selectExpr(
+        "*", "CAST(NULL AS BIGINT) AS Supplier_ID", "2 AS Quantity", "TIMESTAMP_NTZ '2020-01-01' AS Date",
+        "CAST(NULL AS STRING) AS Parse_Error")
+    customers = spark.createDataFrame([(1, "F", "0-17", 4, "A", 2, 0), (2, None, "0-17", None, "B", 2, 1),
+                                       (3, "F", "0-17", 4, "A", 2, 0), (3, "M", None, None, None, None, None)],
+                                      "Customer_ID long, Gender string, Age string, Occupation int, City_Category string,"
+                                      " Stay_In_Current_City_Years int, Marital_Status int")
+    products = spark.createDataFrame([(5, "c", 1, "s", 8, "x")], "Product_ID long, Product_Category string, Store_ID int,"
+                                     " Store_Name string, Supplier_ID long, Supplier_Name string").withColumn(
+        "Price", F.lit("1.5").cast("decimal(18,6)"))
+    feed = Feed(transactions=tx, customers=customers, products=products, master_rows={"customers": 4, "products": 1})
+    expected = sorted(map(repr, map(tuple, enrich(feed).collect())))
+    spark.conf.set(MASTER_BROADCAST_CONF, "600")     # less than the four customers, no less than their profiles
+    try:
+        large = enrich(feed)
+        assert "_profile" in _plan(large)
+        assert sorted(map(repr, map(tuple, large.collect()))) == expected
+    finally:
+        spark.conf.unset(MASTER_BROADCAST_CONF)
