@@ -99,7 +99,7 @@ def q3(wh: Warehouse) -> DataFrame:
 
 def q4(wh: Warehouse, n: int = 5) -> DataFrame:
     """The ``n`` product pairs most often bought in the same order."""
-    return top_pairs(wh.fact.select("Order_ID", "Product_ID"), n)
+    return top_pairs(wh.fact.select("Order_ID", "Product_ID"), n, rows=wh.row_count("fact_sales"))
 
 
 def q5(wh: Warehouse) -> DataFrame:

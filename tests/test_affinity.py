@@ -1,7 +1,9 @@
 import random
 from collections import Counter
 
-from martflow.operators.affinity import co_purchase_counts
+from martflow import session
+from martflow.operators import affinity
+from martflow.operators.affinity import co_purchase_counts, top_pairs
 
 
 def brute_force(lines):
@@ -37,3 +39,21 @@ def test_block_split_spreads_a_hot_order(spark):
            for r in co_purchase_counts(df, block_size=8).collect()}
     assert len(got) == 60 * 59
     assert got[(1, 2)] == 2 and got[(2, 1)] == 2 and got[(0, 59)] == 1
+
+
+def test_many_pairs_are_dealt_out(spark, monkeypatch):
+    rnd = random.Random(8)
+    lines = [(o, rnd.randrange(30)) for o in range(80) for _ in range(rnd.randrange(1, 6))]
+    lines += [(None, 1), (3, None)] + [(500, rnd.randrange(30)) for _ in range(300)]
+    df = spark.createDataFrame(lines, "Order_ID long, Product_ID long")
+    want = brute_force([x for x in lines if None not in x])
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 20)
+    monkeypatch.setattr(affinity, "FEW_PAIRS", 0)
+    counted = co_purchase_counts(df, block_size=7)
+    assert {(r.Product_A, r.Product_B): r.Times_Bought_Together for r in counted.collect()} == dict(want)
+    best = sorted((-n, a, b) for (a, b), n in want.items())[:4]
+    top = top_pairs(df, 4)
+    assert [(-r.Times_Bought_Together, r.Product_A, r.Product_B) for r in top.collect()] == best
+    # tasks of a fixed size: the order lines by order, the pairs by pair
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 3
