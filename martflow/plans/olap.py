@@ -14,6 +14,8 @@ unique tie-breaker so the answer is deterministic.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from martflow.operators.affinity import top_pairs
 from martflow.plans.star import Derived, star_aggregate
 from martflow.plans.views import store_quarterly_view
 from martflow.plans.warehouse import Warehouse
+from martflow.session import dealt
 
 DAY_TYPE = {"DayType": Derived(["Is_Weekend"], lambda: day_type(F.col("Is_Weekend")))}
 SEASON = {"Season": Derived(["Month"], lambda: season(F.col("Month")))}
@@ -222,11 +225,21 @@ def q16(wh: Warehouse) -> DataFrame:
 
 
 def q17(wh: Warehouse) -> DataFrame:
-    """ROLLUP (store, supplier, category, year)."""
+    """ROLLUP (store, supplier, category, year).
+
+    The cells are nearly as many as the sales, and so are those of all years: the
+    first two levels are taken one from the other, dealt out so many rows to a
+    task, and only the rows of the second are expanded for the levels above."""
     keys = ["Store_Name", "Supplier_Name", "Product_Category", "Year"]
     base = revenue_by(wh, ["store", "supplier", "product", "time"], keys)
-    return base.rollup(*keys).agg(_money(F.sum("_rev")).alias("Total_Revenue"),
-                                  F.grouping_id().cast("int").alias("Grouping_ID"))
+    years = dealt(base, wh.row_count("fact_sales") or 0, *keys[:3]).groupBy(*keys[:3]).agg(F.sum("_rev").alias("_rev"))
+    above = years.rollup(*keys[:2]).agg(F.sum("_rev").alias("_rev"), F.grouping_id().cast("int").alias("_id"))
+    none = [F.lit(None).cast(base.schema[k].dataType).alias(k) for k in keys]
+    levels = [base.select(*keys, "_rev", F.lit(0).alias("Grouping_ID")),
+              years.select(*keys[:3], none[3], "_rev", F.lit(1).alias("Grouping_ID")),
+              above.select(*keys[:2], *none[2:], "_rev", (F.col("_id") * 4 + 3).alias("Grouping_ID"))]
+    return reduce(DataFrame.unionByName, levels).select(*keys, _money(F.col("_rev")).alias("Total_Revenue"),
+                                                        "Grouping_ID")
 
 
 def q18(wh: Warehouse) -> DataFrame:
