@@ -17,6 +17,16 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True)
+def views_dropped(request):
+    """Temporary views of a test do not outlast it in the common session."""
+    spark = request.getfixturevalue("spark") if "spark" in request.fixturenames else None
+    yield
+    if spark is not None:
+        for view in spark.sql("SHOW VIEWS").where("isTemporary").collect():
+            spark.catalog.dropTempView(view.viewName)
+
+
 @pytest.fixture()
 def scratch():
     """A fresh scratch folder per test (never reused, never cleared)."""
