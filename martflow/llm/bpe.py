@@ -20,7 +20,9 @@ import hashlib
 import json
 import re
 import sys
+from array import array
 from collections.abc import Iterator
+from os.path import commonprefix
 from types import ModuleType
 
 import numpy as np
@@ -30,13 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import give_back, read, sliced
 
-#: Characters of text whose distinct words are encoded together, and words a
-#: worker remembers; both bound its memory, neither changes a result.
+#: Characters of text whose distinct words are encoded together, and parts of
+#: texts a worker remembers; both bound its memory, neither changes a result.
 CHUNK_CHARS = 4_000_000
-MAX_WORDS = 200_000
-#: Below this code point, normalising is lower-casing: no character composes
-#: with another, and all libraries agree on the letter classes.
-PLAIN = re.compile("[^\x00-ɏ]")
+MAX_WORDS = 150_000
+#: Pairs of tokens a worker remembers.
+MAX_PAIRS = 150_000
+#: Without such characters, normalising is lower-casing: no character composes
+#: with another, and all libraries agree on letters and white space.
+OTHER = re.compile("[^\x00-\x1b\x20-ɏ]")
 
 
 def byte_symbols() -> list[str]:
@@ -59,35 +63,60 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.text = {i: t for t, i in (self.vocab | self.special).items()}
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.rank = {m: i for i, m in enumerate(merges)}
         self.symbols = byte_symbols()
         self.bytes = {s: b for b, s in enumerate(self.symbols)}
         ids = [(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in merges]
-        self.join_rank = {(a, b): i for i, (a, b, _) in enumerate(ids)}
+        self.join_rank = {a << 16 | b: i for i, (a, b, _) in enumerate(ids)}
         self.made = {t: (i, a, b) for i, (a, b, t) in enumerate(ids)}
-        #: every ending of a token, with the id where it is a token itself
-        self.endings = {t[i:]: -1 for t in self.vocab for i in range(len(t.removesuffix(self.end)))} | self.vocab
+        self.endings = self._endings()
         self.as_symbols = {i: c for i, c in enumerate(self.symbols)}
         pattern = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern).findall
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.pairs: dict[int, bool] = {}
-        self.ids: dict[str, str] = {s: str(i) for s, i in self.special.items()}
-        self.tokens: dict[str, str] = {s: s for s in self.special}
+        self.digits = {i: str(i) for i in self.text}
+        #: parts of texts to the bytes of their ids; special strings with a space before
+        #: them, as their characters may also be a part of a text
+        self.known: dict[str, bytes] = {}
+        #: those met again since something was forgotten
+        self.again: set[str] = set()
+        self._forget(set())
         self._library = None
 
+    def _forget(self, parts: set[str]) -> None:
+        """Remember only these parts, those met again if they are not many, and
+        the special strings."""
+        kept = parts & self.known.keys()
+        if len(self.again) <= MAX_WORDS // 2:
+            kept |= self.again
+        self.known = {p: self.known[p] for p in kept}
+        self.known |= {f" {s}": array("i", [i]).tobytes() for s, i in self.special.items()}
+        self.again = set()
+
+    def _endings(self) -> dict[str, tuple[tuple[int, int], ...]]:
+        """Every ending of a token, with the tokens that end it and the length
+        of each without the mark, the longest first."""
+        out: dict[str, tuple[tuple[int, int], ...]] = {}
+        ends = {t[i:] for t in self.vocab for i in range(len(t.removesuffix(self.end)))}
+        for e in sorted(ends, key=len):
+            shorter = out.get(e[1:], ())
+            out[e] = ((self.vocab[e], len(e.removesuffix(self.end))), *shorter) if e in self.vocab else shorter
+        return out
+
     def split(self, text: str) -> list[str]:
-        """The words of a text; special strings stand for themselves."""
+        """The parts of a text between white space, as no word crosses it;
+        special strings follow a space."""
         if "<|" not in text:
-            return self._plain_words(text)
+            return self._plain_parts(text)
         out = []
         for part in self.specials.split(text):
-            out += [part] if part in self.special else self._plain_words(part)
+            out += [f" {part}"] if part in self.special else self._plain_parts(part)
         return out
 
-    def _plain_words(self, text: str) -> list[str]:
-        if not PLAIN.search(text):
-            return self.words(text.lower())
+    def _plain_parts(self, text: str) -> list[str]:
+        lower = text.lower()
+        if not OTHER.search(text) and not OTHER.search(lower):
+            return lower.split()
         if self._library is None:   # other scripts: the library's own Unicode tables
             from tokenizers import Tokenizer
             self._library = Tokenizer.from_str(self.spec)
@@ -97,11 +126,12 @@ class WordBpe:
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Plain BPE: merge the pair of lowest rank until none is left."""
-        symbols = list(symbols)
+        symbols, none = list(symbols), len(self.join_rank)
         while len(symbols) > 1:
-            ranks = [self.rank.get(p, len(self.rank)) for p in zip(symbols, symbols[1:])]
+            ids = [self.vocab[s] for s in symbols]
+            ranks = [self.join_rank.get(a << 16 | b, none) for a, b in zip(ids, ids[1:])]
             best = min(ranks)
-            if best == len(self.rank):
+            if best == none:
                 break
             i = ranks.index(best)
             symbols[i:i + 2] = ["".join(symbols[i:i + 2])]
@@ -122,9 +152,9 @@ class WordBpe:
         join if at some moment the pair at the boundary could merge before the
         merge that used up one of its parts; of equal ranks the left one is
         first."""
-        before = len(self.rank)
+        before = len(self.join_rank)
         while True:
-            if self.join_rank.get((left, right), before) < before:
+            if self.join_rank.get(left << 16 | right, before) < before:
                 return False
             made_left, made_right = self.made.get(left), self.made.get(right)
             if made_left and (not made_right or made_left[0] > made_right[0]):
@@ -134,69 +164,87 @@ class WordBpe:
             else:
                 return True
 
-    def _last(self, word: str, end: int, mark: str, path: list[tuple[int, int]]) -> tuple[int, int]:
-        """Last token of ``word[:end]`` with ``mark`` behind it, and where that
-        token starts: the longest that fits what stands before it."""
+    def learn(self, words: set[str]) -> None:
+        """Encode the words that are not known yet, in trie order.  The state of
+        a prefix is its last token and where that token starts; the empty
+        prefix has the token -1."""
+        as_symbols, last, known = self.as_symbols, self._last, self.known
+        if len(self.pairs) > MAX_PAIRS:
+            self.pairs.clear()
+        coded = {w if w.isascii() and w.isprintable()       # these stand for themselves
+                 else w.encode("utf-8").decode("latin-1").translate(as_symbols): w for w in words}
+        tokens, starts, before = [-1], [0], ""
+        for word in sorted(coded):
+            before = before[:64] if before[:64] != word[:64] else commonprefix([before, word])
+            while not word.startswith(before):
+                before = before[:-1]
+            n, shared = len(word), len(before)
+            del tokens[shared + 1:], starts[shared + 1:]
+            for i in range(shared + 1, n):
+                last(word, i, "", tokens, starts)
+            last(word, n, self.end, tokens, starts)
+            # the next word may go on from here; its state without the mark is not known yet
+            token, start, before = tokens.pop(), starts.pop(), word[:n - 1]
+            out = [token]
+            while start:
+                out.append(tokens[start])
+                start = starts[start]
+            out.reverse()
+            known[coded[word]] = array("i", out).tobytes()
+
+    def _last(self, word: str, end: int, mark: str, tokens: list[int], starts: list[int]) -> None:
+        """Add the last token of ``word[:end]`` with ``mark`` behind it, and where
+        that token starts: the longest that fits what stands before it.  An
+        ending's endings are endings too, so the longest one is looked for from
+        where the token before starts."""
         endings, pairs = self.endings, self.pairs
-        found, start = [], end - 1
-        token = endings.get(word[start:end] + mark)
-        while token is not None:
-            if token >= 0:
-                found.append((token, start))
-            if not start:
-                break
-            start -= 1
-            token = endings.get(word[start:end] + mark)
-        while found:
-            state = found.pop()
-            pair = path[state[1]][0] * 65536 + state[0]
+        start = starts[-1]
+        found = endings.get(word[start:end] + mark)
+        if found is None:
+            while found is None and start < end:
+                start += 1
+                found = endings.get(word[start:end] + mark)
+        else:
+            while start:
+                longer = endings.get(word[start - 1:end] + mark)
+                if longer is None:
+                    break
+                found = longer
+                start -= 1
+        for token, size in found or ():
+            left = tokens[end - size]
+            pair = left << 16 | token
             fit = pairs.get(pair)
             if fit is None:
-                fit = pairs[pair] = self.fits(path[state[1]][0], state[0])
+                fit = pairs[pair] = self.fits(left, token)
             if fit:
-                return state
+                tokens.append(token)
+                starts.append(end - size)
+                return
         raise ValueError(f"no encoding for {word[:end]!r}")
 
-    def learn(self, words: set[str]) -> None:
-        """Encode the words that are not known yet, in trie order.  The state
-        ``path[i]`` of a prefix of length i is its last token and where that
-        token starts; ``path[0]`` is the empty prefix."""
-        as_symbols, text, last = self.as_symbols, self.text, self._last
-        coded = sorted([(w if w.isascii() and w.isprintable()       # these stand for themselves
-                         else w.encode("utf-8").decode("latin-1").translate(as_symbols), w) for w in words])
-        path, before = [(-1, 0)], ""
-        for word, raw in coded:
-            n, shared = len(word), 0
-            for a, b in zip(word, before):
-                if a != b:
-                    break
-                shared += 1
-            del path[shared + 1:]
-            for i in range(len(path), n):
-                path.append(last(word, i, "", path))
-            token, start = last(word, n, self.end, path)
-            out = [token]
-            while start:
-                token, start = path[start]
-                out.append(token)
-            out.reverse()
-            self.ids[raw] = " ".join(map(str, out))
-            self.tokens[raw] = " ".join([text[t] for t in out])
-            # the next word may go on from here; its state without the mark is not known yet
-            before = word[:n - 1]
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[str, str]]:
-        """Per text its ids, and its decoded tokens, each joined by a space."""
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text."""
         split = [self.split(t) for t in texts]
-        new = set().union(*split) - self.ids.keys()
-        if len(self.ids) + len(new) > MAX_WORDS:
-            self.pairs.clear()
-            self.ids = {s: str(i) for s, i in self.special.items()}
-            self.tokens = {s: s for s in self.special}
-            new = set().union(*split) - self.ids.keys()
-        self.learn(new)
-        for words in split:
-            yield " ".join(map(self.ids.__getitem__, words)), " ".join(map(self.tokens.__getitem__, words))
+        parts = set().union(*split)
+        new = parts - self.known.keys()
+        if len(self.known) + len(new) > MAX_WORDS:
+            self._forget(parts)
+        else:
+            self.again |= parts.difference(new)
+        # what the library has split is a word; so is a run of letters
+        several = {p: self.words(p) for p in new if not p.isalpha() and not OTHER.search(p)}
+        self.learn(new.difference(several).union(*several.values()) - self.known.keys())
+        ids = self.known.__getitem__
+        self.known |= [(p, b"".join(map(ids, words))) for p, words in several.items()]
+        for found in split:
+            yield array("i", b"".join(map(ids, found))).tolist()
+
+    def decode(self, ids: list[int]) -> str:
+        return " ".join(map(self.text.__getitem__, ids))
+
+    def numerals(self, ids: list[int]) -> str:
+        return " ".join(map(self.digits.__getitem__, ids))
 
 
 def _chunks(texts: list[str]) -> Iterator[list[str]]:
@@ -215,13 +263,12 @@ def _sha(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
-# What can be returned of a document's encoding, from its ids and its decoded
-# tokens as texts.
+# What can be returned of a document's encoding.
 OUTPUTS = {
-    "ids": ("array<int>", pa.list_(pa.int32()), lambda ids, decoded: np.array(ids.split(), np.int32)),
-    "decoded": ("string", pa.string(), lambda ids, decoded: decoded),
-    "ids_sha256": ("string", pa.string(), lambda ids, decoded: _sha(ids)),
-    "decoded_sha256": ("string", pa.string(), lambda ids, decoded: _sha(decoded)),
+    "ids": ("array<int>", pa.list_(pa.int32()), lambda bpe, ids: np.array(ids, np.int32)),
+    "decoded": ("string", pa.string(), lambda bpe, ids: bpe.decode(ids)),
+    "ids_sha256": ("string", pa.string(), lambda bpe, ids: _sha(bpe.numerals(ids))),
+    "decoded_sha256": ("string", pa.string(), lambda bpe, ids: _sha(bpe.decode(ids))),
 }
 
 
@@ -232,11 +279,12 @@ def _worker_bpe(spec: str) -> WordBpe:
     held = sys.modules.setdefault("_martflow_word_bpe", ModuleType("_martflow_word_bpe"))
     if getattr(held, "spec", None) != spec:
         held.spec, held.bpe = spec, WordBpe(spec)
+        give_back()     # what reading the file took
     return held.bpe
 
 
 #: Rows whose texts are taken out of a batch at a time.
-ROWS = 512
+ROWS = 256
 
 
 def _encoder(spec, wanted: tuple[str, ...]):
@@ -247,10 +295,10 @@ def _encoder(spec, wanted: tuple[str, ...]):
             start = 0
             for chunk in _chunks([t or "" for t in batch.column(1).to_pylist()]):
                 counts, out = [], {w: [] for w in wanted}
-                for ids, decoded in bpe.encode(chunk):
-                    counts.append(ids.count(" ") + 1 if ids else 0)
+                for ids in bpe.encode(chunk):
+                    counts.append(len(ids))
                     for w in wanted:
-                        out[w].append(OUTPUTS[w][2](ids, decoded))
+                        out[w].append(OUTPUTS[w][2](bpe, ids))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(chunk)).cast(pa.int64()), pa.array(counts, pa.int64())]
                     + [pa.array(out[w], OUTPUTS[w][1]) for w in wanted], names=["doc_id", "n_tokens", *wanted])

@@ -83,6 +83,29 @@ def test_bpe_forgetting_words_changes_nothing(monkeypatch):
     assert [x for t in texts for x in small.encode([t])] == want
 
 
+def test_bpe_words_in_use_are_not_learned_again(monkeypatch):
+    import martflow.llm.bpe as m
+    bpe = WordBpe(open(word_bpe_path(), encoding="utf-8").read())
+    monkeypatch.setattr(m, "MAX_WORDS", 60)
+    learned, learn = [], bpe.learn
+    monkeypatch.setattr(bpe, "learn", lambda words: (learned.extend(words), learn(words)))
+    rng = random.Random(3)
+    for _ in range(20):
+        fresh = ["".join(rng.choices("abcdefghij", k=12)) for _ in range(20)]
+        list(bpe.encode(["common, words: " + " ".join(fresh)]))
+    assert len(learned) > 400 and len(bpe.known) <= 110
+    assert [learned.count(w) for w in ("common", "words", ",", ":")] == [1, 1, 1, 1]
+
+
+def test_bpe_of_every_letter_below_u0600():
+    tokenizers = pytest.importorskip("tokenizers")
+    lib = tokenizers.Tokenizer.from_file(word_bpe_path())
+    texts = [f"a{c}b {c}." for c in map(chr, range(0x600))]
+    texts += ["<|STARTOFTEXT|> <|startoftext|>a <|endoftext|", "ab" * 3000 + "x " + "ab" * 3000 + "y"]
+    got = list(WordBpe(open(word_bpe_path(), encoding="utf-8").read()).encode(texts))
+    assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_bpe_pairs_agree_with_plain_merging():
     bpe, rng = WordBpe(open(word_bpe_path(), encoding="utf-8").read()), random.Random(2)
     tokens = [t for t in bpe.vocab if not t.endswith("</w>")]
