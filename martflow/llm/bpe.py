@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import give_back, read, sliced
 
 #: Characters of text whose distinct words are encoded together, and parts of
-#: texts a worker remembers; both bound its memory, neither changes a result.
+#: texts and words a worker remembers before it forgets some; both bound its
+#: memory, neither changes a result.
 CHUNK_CHARS = 4_000_000
 MAX_WORDS = 150_000
 #: Pairs of tokens a worker remembers.
