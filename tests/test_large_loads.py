@@ -12,6 +12,8 @@ from martflow.operators.enrich import MASTER_BROADCAST_CONF, _bounded
 from martflow.plans.warehouse import Warehouse
 from martflow.schemas import ARRIVAL_ORDER, DIM_CUSTOMER_COLUMNS, DIM_PRODUCT_COLUMNS
 from martflow.session import CLEAN, session_setting, shuffles_freed
+from martflow.sources.csv_files import csv_feed
+from test_csv_etl import CUSTOMERS, PRODUCTS, files  # noqa: F401  the fixture
 from test_scale import _plan
 
 
@@ -73,6 +75,11 @@ def test_sales_are_not_sorted_to_meet_a_master_of_bounded_parts(spark):
     assert spark.conf.get(MASTER_BROADCAST_CONF, None) is None
 
 
+def test_masters_of_delivered_files_are_counted(spark, files):  # noqa: F811
+    feed = csv_feed(spark, files["customer"], files["product"], files["txn"])
+    assert feed.master_rows == {"customers": len(CUSTOMERS), "products": len(PRODUCTS)}
+
+
 def test_staging_is_written_without_sorting_the_rows(spark, scratch):
     wh = Warehouse(spark, f"{scratch}/wh")
     schema = wh.schema("staging")
