@@ -11,8 +11,10 @@ from martflow.operators import load as L
 from martflow.operators.enrich import MASTER_BROADCAST_CONF, _bounded
 from martflow.plans.warehouse import Warehouse
 from martflow.schemas import ARRIVAL_ORDER, DIM_CUSTOMER_COLUMNS, DIM_PRODUCT_COLUMNS
-from martflow.session import CLEAN, session_setting, shuffles_freed
-from martflow.sources.csv_files import csv_feed
+from martflow.session import CLEAN, path_exists, session_setting, shuffles_freed
+from martflow.sources.csv_files import csv_feed, read_customer_master, read_product_master, write_transaction_files
+from martflow.sources.feed import Feed
+from martflow.streaming.ingest import run_ingest
 from test_csv_etl import CUSTOMERS, PRODUCTS, files  # noqa: F401  the fixture
 from test_scale import _plan
 
@@ -95,6 +97,24 @@ def test_staging_is_written_without_sorting_the_rows(spark, scratch):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) is None
 
 
+def test_stream_keeps_each_key_of_duplicates_once_on_disk(spark, files):  # noqa: F811
+    """No micro-batch without rows rewrites the state; compressed deliveries are read."""
+    drop, root = f"{files['root']}/drop", files["root"]
+    sales = spark.range(400).selectExpr(
+        "id AS Order_ID", "1 AS Line_Number", "1000001L AS Customer_ID", "'P00000001' AS Product_ID", "5L AS Supplier_ID",
+        "2 AS Quantity", "TIMESTAMP_NTZ '2020-01-01' + make_dt_interval(CAST(id % 40 AS INT)) AS Date")
+    for turn in ("first", "again"):
+        write_transaction_files(sales, f"{drop}/{turn}", 4, compression="gzip")
+    assert sum(n.endswith(".csv.gz") for n in os.listdir(f"{drop}/again")) == 4
+    masters = Feed(transactions=None, customers=read_customer_master(spark, files["customer"]),
+                   products=read_product_master(spark, files["product"]))
+    wh = Warehouse(spark, f"{root}/wh")
+    run_ingest(spark, wh, f"{drop}/*", masters, f"{root}/ckpt", max_files_per_trigger=2, lines=True, dedupe_masters=True,
+               dedupe_within="7 days", keep_staging=True)
+    assert wh.staged_all().count() == wh.staged_all().select("Order_ID").distinct().count() == 400
+    assert path_exists(spark, f"{root}/ckpt/commits/3") and not path_exists(spark, f"{root}/ckpt/commits/4")
+
+
 def test_settings_of_a_load_end_with_it(spark):
     before = spark.conf.get(CLEAN, None)
     with shuffles_freed(spark):
